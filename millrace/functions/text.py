@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+WHITE_SPACE = " \t\n\x0b\f\r"
+
+
 def strip(value: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def tokens(text: Column) -> Column:

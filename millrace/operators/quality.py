@@ -37,11 +37,10 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
     number, because Spark orders it above every value.
     """
     parts = F.split(strip(F.col(line)), spec.delimiter, -1)
-    raw = F.transform(parts, strip)
     columns: dict[str, Column] = {}
     checks: list[Column] = [F.size("__parts") == len(spec.fields)]
     for i, (name, kind) in enumerate(spec.fields):
-        value = F.try_element_at(F.col("__parts"), F.lit(i + 1))
+        value = strip(F.try_element_at(F.col("__parts"), F.lit(i + 1)))
         if kind == "string":
             if name in spec.upper:
                 value = F.upper(value)
@@ -63,7 +62,7 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
     for check in checks[1:]:
         valid = valid & check
     carried = [c for c in df.columns if c != line]
-    return df.withColumn("__parts", raw).select(
+    return df.withColumn("__parts", parts).select(
         *carried,
         *(value.alias(name) for name, value in columns.items()),
         F.coalesce(valid, F.lit(False)).alias("is_valid"),

@@ -28,12 +28,12 @@ class Track:
     """Rows of each key in order.
 
     ``order`` is the column that decides; ``tiebreak`` makes the order total
-    for functions that need one.
+    for functions that need one. ``bucket`` is a SQL expression.
     """
 
     keys: Sequence[str]
     order: str
-    bucket: Column
+    bucket: str
     tiebreak: Sequence[str] = ()
     descending: bool = False
 
@@ -64,7 +64,7 @@ def _with_summary(
     carry: Sequence[Column],
 ) -> DataFrame:
     """Rows plus, per key and bucket, values carried over from other buckets."""
-    rows = df.withColumn(_BUCKET, track.bucket)
+    rows = df.withColumn(_BUCKET, F.expr(track.bucket))
     per_bucket = rows.groupBy(*track.keys, _BUCKET).agg(*summary)
     names = [*track.keys, _BUCKET]
     carried = per_bucket.select(*(F.col(n).alias(f"__k{i}") for i, n in enumerate(names)), *carry)
