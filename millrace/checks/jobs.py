@@ -282,7 +282,7 @@ def booking_state(t):
     FROM report""",
 )
 def occupancy_report(t):
-    return reports.occupancy(t.spark, roles.inventory(t), _state(t))
+    return reports.occupancy(roles.inventory(t), _state(t))
 
 
 @check(
@@ -293,7 +293,7 @@ def occupancy_report(t):
     FROM report GROUP BY 1""",
 )
 def occupancy_by_type(t):
-    return reports.occupancy_by_type(reports.occupancy(t.spark, roles.inventory(t), _state(t)))
+    return reports.occupancy_by_type(reports.occupancy(roles.inventory(t), _state(t)))
 
 
 @check(
@@ -302,4 +302,4 @@ def occupancy_by_type(t):
     SELECT item_id, item_name, capacity, occupied FROM report WHERE occupied > capacity""",
 )
 def overbooked(t):
-    return reports.overbooked(reports.occupancy(t.spark, roles.inventory(t), _state(t)))
+    return reports.overbooked(reports.occupancy(roles.inventory(t), _state(t)))

@@ -1 +1,422 @@
-"""Streaming checks."""
+"""Streaming checks: the given tables as file streams, results read back."""
+
+from pyspark.sql import functions as F
+
+from millrace.checks import roles
+from millrace.checks.registry import check
+from millrace.session import fresh_folder
+from millrace.streaming import accounts, bookings, logs, shop, tables, vitals, windows
+
+
+def _table(t, label, aggregate, keys):
+    """Drain an update-mode aggregate and read the last value per key."""
+    out = fresh_folder(t.spark, label)
+    tables.drain(tables.changes_table(aggregate, out))
+    return tables.read_latest(t.spark, out, aggregate.schema, keys)
+
+
+def _appended(t, label, stream):
+    out = fresh_folder(t.spark, label)
+    tables.drain(tables.append_table(stream, out))
+    return tables.read_appended(t.spark, out)
+
+
+def _in_turns(t, label, name, order, turns, start):
+    """Let a table arrive in ``turns`` slices of its order column.
+
+    Each slice is appended to a folder and drained before the next one
+    arrives, so one slice is one micro-batch; every turn also restarts the
+    query from its checkpoint. ``start(stream, out)`` builds the writer.
+    """
+    out = fresh_folder(t.spark, label)
+    source = getattr(t, name).withColumn("__at", order)
+    low, high = source.agg(F.min("__at"), F.max("__at")).first()
+    width = high - low + 1
+    for turn in range(turns):
+        first = low + -(-turn * width // turns)
+        last = low + -(-(turn + 1) * width // turns)
+        arrived = source.filter((F.col("__at") >= first) & (F.col("__at") < last)).drop("__at")
+        arrived.write.mode("append").parquet(f"{out}/landing")
+        stream = t.spark.readStream.schema(arrived.schema).parquet(f"{out}/landing")
+        tables.drain(start(stream, f"{out}/result"))
+    return f"{out}/result"
+
+
+
+def _micros():
+    return F.unix_micros(F.col("ts").cast("timestamp"))
+
+
+def _turn_sql(table, order, turns):
+    return (
+        f"least({turns - 1}, (({order}) - (SELECT min({order}) FROM {table})) * {turns} "
+        f"// (SELECT max({order}) - min({order}) + 1 FROM {table}))"
+    )
+
+
+_EVENT_TURN = _turn_sql("events", "epoch_us(ts)", 3)
+
+
+def _window_sql(source, size, slide, keys, measures, having=""):
+    """Windowed aggregate over ``source`` (columns ts, keys); seconds."""
+    group = ", ".join(["ws", *keys])
+    size_us, slide_us = size * 1000000, slide * 1000000
+    return f"""
+    SELECT strftime(make_timestamp(ws), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp(ws + {size_us}), '%Y-%m-%d %H:%M:%S') AS window_end,
+           {", ".join([*keys, *measures])}
+    FROM (SELECT *, (epoch_us(ts) // {slide_us} - k) * {slide_us} AS ws
+          FROM (SELECT *, unnest(range(0, {size} // {slide})) AS k FROM ({source})))
+    GROUP BY {group} {having}"""
+
+
+_SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+HOUR, DAY = 3600, 86400
+
+
+# --- logs -------------------------------------------------------------------
+
+_LOG_SQL = "SELECT ts, upper(event_type) AS level FROM events"
+
+
+def _log(t):
+    lines = t.stream("events").select(roles.stamped_line().alias("value"))
+    return logs.parse_log(lines)
+
+
+@check(
+    "stream_error_count",
+    _window_sql(_LOG_SQL, HOUR, HOUR, [], ["count(CASE WHEN level = 'ERROR' THEN 1 END) AS errors"]),
+)
+def stream_error_count(t):
+    return _table(t, "error-count", logs.error_counts(_log(t), "1 hour"), ["window_start"])
+
+
+@check("stream_level_count", _window_sql(_LOG_SQL, DAY, DAY, ["level"], ["count(*) AS n"]))
+def stream_level_count(t):
+    return _table(t, "level-count", logs.level_counts(_log(t), "1 day"), ["window_start", "level"])
+
+
+@check(
+    "stream_top_words",
+    rf"""
+    WITH words AS (
+      SELECT {_turn_sql("documents", "doc_id", 3)} AS batch_id,
+             unnest(string_split_regex(text, '\s+')) AS word FROM documents),
+    counted AS (SELECT batch_id, word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1, 2)
+    SELECT batch_id, word, n
+    FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY n DESC, word) AS rn FROM counted)
+    WHERE rn <= 3""",
+)
+def stream_top_words(t):
+    def start(stream, out):
+        return tables.batch_report(stream, out, lambda batch: logs.batch_top_words(batch, "text"))
+
+    out = _in_turns(t, "top-words", "documents", F.col("doc_id"), 3, start)
+    return t.spark.read.parquet(f"{out}/data")
+
+
+# --- accounts ---------------------------------------------------------------
+
+# Event 53n has no number, 59n a negative amount, 61n a field too few.
+_ENTRIES_SQL = """
+    SELECT ts, event_id, CAST(user_id AS VARCHAR) AS account, value AS amount,
+           CAST(user_id % 30 AS VARCHAR) AS branch_id, event_type AS store
+    FROM events WHERE event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 <> 0"""
+
+
+def _entry_lines(events, fields, delimiter):
+    key = F.col("event_id")
+    amount = (
+        F.when(key % 53 == 0, "NaN")
+        .when(key % 59 == 0, "-1")
+        .otherwise(F.col("value").cast("string"))
+    )
+    head = F.concat_ws(delimiter, *fields)
+    line = F.when(key % 61 == 0, head).otherwise(F.concat_ws(delimiter, head, amount))
+    return events.select("ts", "event_id", line.alias("value"))
+
+
+def _account_entries(events):
+    lines = _entry_lines(events, [F.col("user_id"), F.col("event_type")], " ")
+    return accounts.parse(lines, accounts.ACCOUNT_LINE)
+
+
+def _store_entries(t):
+    lines = _entry_lines(t.stream("events"), [F.col("event_id"), F.col("event_type")], "  ")
+    return windows.timed(accounts.parse(lines, accounts.STORE_LINE), "ts")
+
+
+def _bank_entries(t):
+    fields = [F.col("event_id"), F.col("user_id"), F.col("user_id") % 30, F.col("event_type")]
+    lines = _entry_lines(t.stream("events"), fields, ", ")
+    return accounts.parse(lines, accounts.BANK_LINE)
+
+
+@check(
+    "stream_batch_totals",
+    f"""
+    SELECT {_EVENT_TURN} AS batch_id, account, count(*) AS n, {_SUM} AS amount
+    FROM ({_ENTRIES_SQL}) GROUP BY 1, 2""",
+)
+def stream_batch_totals(t):
+    def start(stream, out):
+        return tables.batch_report(_account_entries(stream), out, accounts.totals)
+
+    out = _in_turns(t, "batch-totals", "events", _micros(), 3, start)
+    return t.spark.read.parquet(f"{out}/data")
+
+
+@check("stream_running_totals", f"SELECT account, count(*) AS n, {_SUM} AS amount FROM ({_ENTRIES_SQL}) GROUP BY 1")
+def stream_running_totals(t):
+    return _table(t, "running-totals", accounts.totals(_account_entries(t.stream("events"))), ["account"])
+
+
+@check(
+    "stream_compare",
+    f"""
+    WITH turned AS (SELECT *, {_EVENT_TURN} AS turn FROM ({_ENTRIES_SQL})),
+    per AS (SELECT turn, account, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS a FROM turned GROUP BY 1, 2),
+    grid AS (SELECT account, unnest(range(min(turn), 3)) AS batch_id FROM per GROUP BY 1)
+    SELECT g.batch_id, g.account, CAST(coalesce(p.n, 0) AS BIGINT) AS batch_n,
+           CAST(sum(coalesce(p.n, 0)) OVER w AS BIGINT) AS total_n,
+           CAST(sum(coalesce(p.a, 0)) OVER w AS DOUBLE) AS total_amount
+    FROM grid g LEFT JOIN per p ON p.turn = g.batch_id AND p.account = g.account
+    WINDOW w AS (PARTITION BY g.account ORDER BY g.batch_id)""",
+)
+def stream_compare(t):
+    def start(stream, out):
+        entries = _account_entries(stream)
+        return tables.carried_state(entries, out, accounts.COMPARISON, accounts.compare_step, keep=None)
+
+    out = _in_turns(t, "compare", "events", _micros(), 3, start)
+    return tables.read_batches(t.spark, out, accounts.COMPARISON)
+
+
+@check(
+    "stream_sliding_count",
+    _window_sql(_ENTRIES_SQL, HOUR, HOUR // 6, [], ["count(*) AS n"]),
+)
+def stream_sliding_count(t):
+    counts = windows.sliding_counts(_store_entries(t), "1 hour", "10 minutes")
+    return _table(t, "sliding-count", counts, ["window_start"])
+
+
+@check(
+    "stream_sliding_sum",
+    _window_sql(_ENTRIES_SQL, 6 * HOUR, HOUR, ["store"], [f"{_SUM} AS total"]),
+)
+def stream_sliding_sum(t):
+    sums = windows.sliding_sums(_store_entries(t), "store", size="6 hours", slide="1 hour")
+    return _table(t, "sliding-sum", sums, ["window_start", "store"])
+
+
+@check(
+    "stream_sliding_total",
+    _window_sql(_ENTRIES_SQL, 6 * HOUR, HOUR, [], [f"{_SUM} AS total"]),
+)
+def stream_sliding_total(t):
+    sums = windows.sliding_sums(_store_entries(t), None, size="6 hours", slide="1 hour")
+    return _table(t, "sliding-total", sums, ["window_start"])
+
+
+@check(
+    "stream_spike",
+    f"""
+    WITH counts AS ({_window_sql(_ENTRIES_SQL, 900, 300, [], ["count(*) AS n", "ws"])})
+    SELECT c.window_start, c.window_end, c.n, coalesce(p.n, 0) AS previous
+    FROM counts c LEFT JOIN counts p ON p.ws = c.ws - 300 * 1000000
+    WHERE c.n >= 8 AND (coalesce(p.n, 0) = 0 OR c.n >= 2.0 * p.n)""",
+)
+def stream_spike(t):
+    counts = windows.sliding_counts(_store_entries(t), "15 minutes", "5 minutes")
+    return windows.spikes(_table(t, "spike", counts, ["window_start"]), "5 minutes")
+
+
+@check(
+    "stream_enrich",
+    f"""
+    SELECT CAST(event_id AS VARCHAR) AS txn_id, account, coalesce(n_name, 'UNKNOWN') AS branch_name,
+           coalesce(r_name, 'UNKNOWN') AS city,
+           CASE WHEN n_name IS NULL THEN 'UNKNOWN' WHEN n_regionkey = 0 THEN 'HIGH' ELSE 'LOW' END AS risk_level,
+           amount,
+           CASE WHEN n_name IS NULL THEN 'UNKNOWN BRANCH'
+                WHEN n_regionkey = 0 AND amount >= 100 THEN 'BIG AMOUNT' ELSE '' END AS flag
+    FROM ({_ENTRIES_SQL}) LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey)
+         ON branch_id = CAST(n_nationkey AS VARCHAR)""",
+)
+def stream_enrich(t):
+    branches = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("string").alias("branch_id"),
+        F.col("n_name").alias("branch_name"),
+        F.col("r_name").alias("city"),
+        F.when(F.col("n_regionkey") == 0, "HIGH").otherwise("LOW").alias("risk_level"),
+    )
+    enriched = accounts.with_branch(_bank_entries(t), branches, big_amount=100)
+    columns = ("txn_id", "account", "branch_name", "city", "risk_level", "amount", "flag")
+    return _appended(t, "enrich", enriched.select(*columns))
+
+
+@check(
+    "stream_burst",
+    _window_sql(
+        _ENTRIES_SQL, 6 * HOUR, HOUR, ["account"], ["count(*) AS n", f"{_SUM} AS amount"], "HAVING count(*) >= 5"
+    ),
+)
+def stream_burst(t):
+    entries = windows.timed(_bank_entries(t), "ts")
+    found = accounts.bursts(entries, limit=5, size="6 hours", slide="1 hour")
+    return _table(t, "burst", found, ["window_start", "account"])
+
+
+# --- vitals -----------------------------------------------------------------
+
+_VITALS_SQL = """
+    SELECT ts, event_id, patient_id, concat_ws(', ',
+             CASE WHEN heart_rate < 50 OR heart_rate > 120 THEN 'HeartRate=' || CAST(heart_rate AS VARCHAR) END,
+             CASE WHEN spo2 < 92 OR spo2 > 100 THEN 'SpO2=' || CAST(spo2 AS VARCHAR) END,
+             CASE WHEN systolic_bp < 90 OR systolic_bp > 140 THEN 'BP=' || CAST(systolic_bp AS VARCHAR) END,
+             CASE WHEN temperature < 95.0 OR temperature > 100.4 THEN 'Temp=' || CAST(temperature AS VARCHAR) END)
+             AS reasons
+    FROM (SELECT ts, event_id, CAST(user_id AS VARCHAR) AS patient_id, 45 + event_id * 37 % 90 AS heart_rate,
+                 88 + event_id % 13 AS spo2, 80 + event_id * 11 % 80 AS systolic_bp,
+                 (940 + event_id % 80) / 10.0 AS temperature
+          FROM events WHERE event_id % 47 <> 0)
+    WHERE reasons <> ''"""
+
+
+def _vital_alerts(t):
+    key = F.col("event_id")
+    heart = F.when(key % 47 == 0, "fast").otherwise((45 + key * 37 % 90).cast("string"))
+    temperature = (940 + key % 80) / F.lit(10.0)
+    line = F.concat_ws(
+        ", ", F.col("user_id"), heart, 88 + key % 13, 80 + key * 11 % 80, temperature
+    )
+    lines = t.stream("events").select("ts", "event_id", line.alias("value"))
+    valid = vitals.readings(lines).filter("is_valid")
+    return vitals.alerts(windows.timed(valid, "ts"))
+
+
+@check("stream_vital_alerts", f"SELECT event_id, patient_id, reasons FROM ({_VITALS_SQL})")
+def stream_vital_alerts(t):
+    return _appended(t, "vital-alerts", _vital_alerts(t).select("event_id", "patient_id", "reasons"))
+
+
+@check(
+    "stream_running_abnormal",
+    f"SELECT patient_id, count(*) AS total_abnormal FROM ({_VITALS_SQL}) GROUP BY 1",
+)
+def stream_running_abnormal(t):
+    return _table(t, "running-abnormal", vitals.running_abnormal(_vital_alerts(t)), ["patient_id"])
+
+
+@check(
+    "stream_repeated",
+    _window_sql(_VITALS_SQL, 6 * HOUR, HOUR, ["patient_id"], ["count(*) AS n"], "HAVING count(*) >= 3"),
+)
+def stream_repeated(t):
+    found = vitals.repeated(_vital_alerts(t), 3, "6 hours", "1 hour")
+    return _table(t, "repeated", found, ["window_start", "patient_id"])
+
+
+# --- bookings ---------------------------------------------------------------
+
+_BOOKED_SQL = f"SELECT *, event_time AS ts FROM ({roles.BOOKINGS_SQL})"
+
+
+def _booked(t, stream):
+    return bookings.known_items(roles.booking_events(stream), roles.inventory(t))
+
+
+def _timed_bookings(t):
+    return windows.timed(_booked(t, t.stream("events")), "event_time")
+
+
+@check(
+    "stream_item_activity",
+    _window_sql(
+        _BOOKED_SQL,
+        DAY,
+        DAY // 4,
+        ["item_id"],
+        [
+            "count(CASE WHEN action = 'BOOK' THEN 1 END) AS books",
+            "count(CASE WHEN action = 'CANCEL' THEN 1 END) AS cancels",
+        ],
+    ),
+)
+def stream_item_activity(t):
+    activity = bookings.item_activity(_timed_bookings(t), "1 day", "6 hours")
+    return _table(t, "item-activity", activity, ["window_start", "item_id"])
+
+
+@check(
+    "stream_cancel_alert",
+    _window_sql(
+        _BOOKED_SQL,
+        HOUR,
+        HOUR // 2,
+        [],
+        ["count(CASE WHEN action = 'CANCEL' THEN 1 END) AS cancels"],
+        "HAVING cancels >= 3",
+    ),
+)
+def stream_cancel_alert(t):
+    alerts = bookings.cancel_alerts(_timed_bookings(t), 3, "1 hour", "30 minutes")
+    return _table(t, "cancel-alert", alerts, ["window_start"])
+
+
+_BUCKET = "date_trunc('day', event_time)"
+
+
+@check("stream_booking_state", f"{roles.STATE_SQL} SELECT booking_id, item_id, seats, status FROM state")
+def stream_booking_state(t):
+    def start(stream, out):
+        return bookings.state_stream(_booked(t, stream), out, _BUCKET)
+
+    out = _in_turns(t, "booking-state", "events", _micros(), 3, start)
+    return tables.read_state(t.spark, out, bookings.schemas.BOOKING_STATE, batch_id=2)
+
+
+@check(
+    "stream_occupancy",
+    f"""{roles.OCCUPANCY_SQL}
+    SELECT item_id, item_name, item_type, capacity, occupied, capacity - occupied AS available,
+           ((occupied * 2000 + capacity) // (capacity * 2)) / 10.0 AS occupancy_pct, cancelled
+    FROM report""",
+)
+def stream_occupancy(t):
+    def start(stream, out):
+        return bookings.monitor(_booked(t, stream), roles.inventory(t), out, _BUCKET)
+
+    out = _in_turns(t, "occupancy", "events", _micros(), 3, start)
+    schema = (
+        "item_id string, item_name string, item_type string, capacity int, occupied long, "
+        "available long, occupancy_pct double, cancelled long"
+    )
+    return t.spark.read.schema(schema).csv(f"{out}/occupancy", header=True)
+
+
+# --- shop -------------------------------------------------------------------
+
+
+@check(
+    "stream_tumbling",
+    _window_sql(
+        """SELECT ts, p_type AS category, event_id % 5 * CAST(value AS DECIMAL(12,2)) AS amount
+           FROM events JOIN part ON user_id = p_partkey WHERE event_id % 5 > 0""",
+        30,
+        30,
+        ["category"],
+        [f"{_SUM} AS revenue", "count(*) AS orders"],
+    ),
+)
+def stream_tumbling(t):
+    orders = t.stream("events").select(
+        F.col("user_id").cast("string").alias("product_id"),
+        (F.col("event_id") % 5).cast("int").alias("qty"),
+        F.col("value").alias("price"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
+    )
+    revenue = shop.category_revenue(orders, roles.shop_products(t))
+    return _table(t, "tumbling", revenue, ["window_start", "category"])

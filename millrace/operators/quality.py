@@ -36,37 +36,36 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
     A bad row is flagged, never dropped or failed on. NaN counts as a bad
     number, because Spark orders it above every value.
     """
-    parts = F.split(strip(F.col(line)), spec.delimiter, -1)
-    columns: dict[str, Column] = {}
-    checks: list[Column] = [F.size("__parts") == len(spec.fields)]
+    typed: list[Column] = [(F.size("__parts") == len(spec.fields)).alias("__complete")]
+    checks: list[Column] = [F.col("__complete")]
     for i, (name, kind) in enumerate(spec.fields):
         value = strip(F.try_element_at(F.col("__parts"), F.lit(i + 1)))
-        if kind == "string":
-            if name in spec.upper:
-                value = F.upper(value)
-            if name in spec.lower:
-                value = F.lower(value)
-        else:
+        if kind != "string":
             value = value.try_cast(kind)
-            checks.append(value.isNotNull())
+            checks.append(F.col(name).isNotNull())
             if kind == "double":
-                checks.append(~F.isnan(value))
-        columns[name] = value
+                checks.append(~F.isnan(name))
+        elif name in spec.upper:
+            value = F.upper(value)
+        elif name in spec.lower:
+            value = F.lower(value)
+        typed.append(value.alias(name))
         if name in spec.required:
-            checks.append(value != "")
+            checks.append(F.col(name) != "")
         if name in spec.positive:
-            checks.append(value > 0)
+            checks.append(F.col(name) > 0)
         if spec.allowed and name in spec.allowed:
-            checks.append(value.isin(*spec.allowed[name]))
+            checks.append(F.col(name).isin(*spec.allowed[name]))
     valid = checks[0]
     for check in checks[1:]:
         valid = valid & check
+
     carried = [c for c in df.columns if c != line]
-    return df.withColumn("__parts", parts).select(
-        *carried,
-        *(value.alias(name) for name, value in columns.items()),
-        F.coalesce(valid, F.lit(False)).alias("is_valid"),
-    )
+    split = df.withColumn("__parts", F.split(strip(F.col(line)), spec.delimiter, -1))
+    # The generator keeps later filters above the parse. Without it Spark pushes
+    # each condition down as a copy of the whole split expression.
+    fields = split.select(*carried, F.inline(F.array(F.struct(*typed))))
+    return fields.withColumn("is_valid", F.coalesce(valid, F.lit(False))).drop("__complete")
 
 
 def valid_only(parsed: DataFrame) -> DataFrame:

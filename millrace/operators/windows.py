@@ -154,6 +154,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def top_n(df: DataFrame, keys: Sequence[str], value: str, n: int, name: str = "rank") -> DataFrame:
+    """Rows holding one of the key's ``n`` largest values, with dense rank.
+
+    For values that rarely tie, such as sums. Spark applies the limit in every
+    map task before the shuffle.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col(value).desc())
+    return df.withColumn(name, F.dense_rank().over(w)).filter(F.col(name) <= n)
+
+
 def top_n_with_ties(
     df: DataFrame, keys: Sequence[str], value: str, n: int, name: str = "rank"
 ) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import rules, text
 from millrace.functions.money import money, total
 from millrace.operators import aggregates, joins, quality
 from millrace.operators.layout import reused
-from millrace.sources.readers import as_views
 
 TRANSACTION_LINE = quality.LineSpec(
     fields=(("id", "int"), ("customer", "string"), ("category", "string"), ("amount", "double")),
@@ -64,24 +65,27 @@ def branch_totals(fact: DataFrame, branches: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def occupancy(spark: SparkSession, inventory: DataFrame, state: DataFrame) -> DataFrame:
+def occupancy(inventory: DataFrame, state: DataFrame) -> DataFrame:
     """Booked seats, free seats and cancellations per item, also for idle items.
 
     Bookings are summed per item before they meet the inventory.
     """
-    as_views(inventory_items=inventory, booking_rows=state)
-    return spark.sql(f"""
-        WITH per_item AS (
-          SELECT item_id,
-                 sum(seats) FILTER (WHERE status = '{rules.BOOKED}') AS booked_seats,
-                 count_if(status = '{rules.CANCELLED}') AS cancelled_bookings
-          FROM booking_rows GROUP BY item_id)
-        SELECT i.item_id, i.item_name, i.item_type, i.capacity,
-               coalesce(p.booked_seats, 0) AS occupied,
-               i.capacity - coalesce(p.booked_seats, 0) AS available,
-               round(coalesce(p.booked_seats, 0) * 100.0 / i.capacity, 1) AS occupancy_pct,
-               coalesce(p.cancelled_bookings, 0) AS cancelled
-        FROM inventory_items i LEFT JOIN per_item p USING (item_id)""")
+    per_item = state.groupBy("item_id").agg(
+        F.sum(F.when(F.col("status") == rules.BOOKED, F.col("seats"))).alias("occupied"),
+        F.count_if(F.col("status") == rules.CANCELLED).alias("cancelled"),
+    )
+    full = inventory.join(per_item, "item_id", "left").na.fill({"occupied": 0, "cancelled": 0})
+    percent = F.col("occupied") * F.lit(Decimal("100.0")) / F.col("capacity")
+    return full.select(
+        "item_id",
+        "item_name",
+        "item_type",
+        "capacity",
+        "occupied",
+        (F.col("capacity") - F.col("occupied")).alias("available"),
+        F.round(percent, 1).cast("double").alias("occupancy_pct"),
+        "cancelled",
+    )
 
 
 def occupancy_by_type(report: DataFrame) -> DataFrame:

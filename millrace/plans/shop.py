@@ -75,7 +75,7 @@ def monthly_revenue(enriched: DataFrame) -> DataFrame:
 def top_products(enriched: DataFrame, n: int = 3) -> DataFrame:
     """Best products per category by revenue, ties share a rank."""
     sums = enriched.groupBy("category", "product_name").agg(F.sum(money("revenue")).alias("cat_revenue"))
-    return windows.top_n_with_ties(sums, ["category"], "cat_revenue", n)
+    return windows.top_n(sums, ["category"], "cat_revenue", n)
 
 
 def running_spend(enriched: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def main(folder: str, *wanted: str) -> int:
             else:
                 rows, problems = query(spark, folder).count(), []
         except Exception as error:  # report and go on with the next query
-            rows, problems = 0, [str(error)[:1500]]
+            rows, problems = 0, [str(error)[:int(os.environ.get('ERROR_CHARS', 300))]]
         failures += bool(problems)
         state = "FAIL" if problems else "ok" if rows else "EMPTY"
         print(f"{state:5} {name:24} rows={rows:<7} {time.time() - start:6.2f}s", *problems, flush=True)
