@@ -111,8 +111,9 @@ def out_of_range(ranges: Sequence[tuple[str, float, float, str]]) -> Column:
 def counted(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
     """Attach row counters that fill in while the data flows by.
 
-    They count each row once, also when tasks are retried. Read
-    ``observation.get`` after the first action.
+    Read ``observation.get`` after an action that reads the frame once, such
+    as a write. A global sort right above would count twice, because it samples
+    its input in a pass of its own.
     """
     observation = Observation(name)
     return df.observe(observation, *(m.alias(k) for k, m in measures.items())), observation

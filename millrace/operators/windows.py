@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 _BUCKET = "__bucket"
 
@@ -37,80 +37,107 @@ class Track:
     tiebreak: Sequence[str] = ()
     descending: bool = False
 
-    def _directed(self, name: str) -> Column:
+    def directed(self, name: str) -> Column:
         return F.col(name).desc() if self.descending else F.col(name).asc()
 
     def by_order(self) -> list[Column]:
-        return [self._directed(self.order)]
+        return [self.directed(self.order)]
 
     def total_order(self) -> list[Column]:
         """Order column in its direction, tiebreak always ascending."""
-        return [self._directed(self.order), *(F.col(name).asc() for name in self.tiebreak)]
+        return [self.directed(self.order), *(F.col(name).asc() for name in self.tiebreak)]
 
-    def within(self, order: list[Column]):
-        return Window.partitionBy(*self.keys, _BUCKET).orderBy(*order)
 
-    def across(self):
-        return Window.partitionBy(*self.keys).orderBy(self._directed(_BUCKET))
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit(0).cast(kind)
 
-    def earlier(self):
-        return self.across().rowsBetween(Window.unboundedPreceding, -1)
 
+class _Cut:
+    """Rows with columns for key and bucket that are never NULL.
 
-def _with_summary(
-    df: DataFrame,
-    track: Track,
-    summary: Sequence[Column],
-    carry: Sequence[Column],
-) -> DataFrame:
-    """Rows plus, per key and bucket, values carried over from other buckets."""
-    rows = df.withColumn(_BUCKET, F.expr(track.bucket))
-    per_bucket = rows.groupBy(*track.keys, _BUCKET).agg(*summary)
-    names = [*track.keys, _BUCKET]
-    carried = per_bucket.select(*(F.col(n).alias(f"__k{i}") for i, n in enumerate(names)), *carry)
-    condition = None
-    for i, name in enumerate(names):
-        step = rows[name].eqNullSafe(carried[f"__k{i}"])
-        condition = step if condition is None else condition & step
-    return rows.join(carried, condition).drop(*(f"__k{i}" for i in range(len(names))))
+    Window and join can then name the same columns and share one shuffle; a
+    null-safe join condition would move the rows a second time.
+    """
 
+    def __init__(self, df: DataFrame, track: Track):
+        self.track = track
+        self.rows = df.withColumn(_BUCKET, F.expr(track.bucket))
+        self.keys = [c for i, name in enumerate(track.keys) for c in self._solid(f"__k{i}", name)]
+        self.parts = [*self.keys, *self._solid("__b", _BUCKET)]
+
+    def _solid(self, alias: str, name: str) -> list[str]:
+        field = self.rows.schema[name]
+        if not field.nullable:
+            self.rows = self.rows.withColumn(alias, F.col(name))
+            return [alias]
+        flag = f"{alias}_null"
+        self.rows = self.rows.withColumns(
+            {alias: F.coalesce(F.col(name), _filler(field.dataType)), flag: F.col(name).isNull()}
+        )
+        return [alias, flag]
+
+    def within(self, order: list[Column]) -> WindowSpec:
+        return Window.partitionBy(*self.parts).orderBy(*order)
+
+    def across(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(self.track.directed(_BUCKET))
+
+    def earlier(self) -> WindowSpec:
+        return self.across().rowsBetween(Window.unboundedPreceding, -1)
 
-def _offset_window(
-    df: DataFrame, track: Track, name: str, local: Callable[[list[Column]], Column], amount: Column
+    def with_summary(self, summary: Column, carry: Column) -> DataFrame:
+        """Rows plus, per key and bucket, a value carried over from other buckets."""
+        per_bucket = self.rows.groupBy(*self.parts, _BUCKET).agg(summary)
+        return self.rows.join(per_bucket.select(*self.parts, carry), self.parts)
+
+
+def _offset(
+    df: DataFrame, track: Track, name: str, local: Callable[[_Cut], Column], amount: Column
 ) -> DataFrame:
-    carry = F.coalesce(F.sum("__amount").over(track.earlier()), F.lit(0)).alias("__before")
-    joined = _with_summary(df, track, [amount.alias("__amount")], [carry])
-    return joined.withColumn(name, local(track) + F.col("__before")).drop("__before", _BUCKET)
+    cut = _Cut(df, track)
+    carry = F.coalesce(F.sum("__amount").over(cut.earlier()), F.lit(0)).alias("__before")
+    joined = cut.with_summary(amount.alias("__amount"), carry)
+    return joined.select(*df.columns, (local(cut) + F.col("__before")).alias(name))
 
 
 def with_row_number(df: DataFrame, track: Track, name: str = "row_number") -> DataFrame:
-    return _offset_window(
-        df, track, name, lambda t: F.row_number().over(t.within(t.total_order())), F.count("*")
+    return _offset(
+        df, track, name, lambda cut: F.row_number().over(cut.within(track.total_order())), F.count("*")
     )
 
 
 def with_rank(df: DataFrame, track: Track, name: str = "rank") -> DataFrame:
-    return _offset_window(df, track, name, lambda t: F.rank().over(t.within(t.by_order())), F.count("*"))
+    return _offset(df, track, name, lambda cut: F.rank().over(cut.within(track.by_order())), F.count("*"))
 
 
 def with_dense_rank(df: DataFrame, track: Track, name: str = "dense_rank") -> DataFrame:
-    return _offset_window(
-        df,
-        track,
-        name,
-        lambda t: F.dense_rank().over(t.within(t.by_order())),
-        F.count_distinct(F.col(track.order)),
+    def values() -> Column:
+        # A NULL is a rank of its own.
+        return F.count_distinct(F.col(track.order)) + F.max(F.col(track.order).isNull().cast("long"))
+
+    return _offset(
+        df, track, name, lambda cut: F.dense_rank().over(cut.within(track.by_order())), values()
     )
 
 
 def with_running_sum(df: DataFrame, track: Track, value: Column, name: str = "running_sum") -> DataFrame:
-    """Sum from the key's first row up to and including this one."""
+    """Sum from the key's first row up to and including this one.
+
+    NULL values add nothing; before the first value the sum is 0.
+    """
+    solid = F.coalesce(value, F.lit(0))
 
-    def local(t: Track) -> Column:
-        frame = t.within(t.total_order()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.sum(value).over(frame)
+    def local(cut: _Cut) -> Column:
+        frame = cut.within(track.total_order()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum(solid).over(frame)
 
-    return _offset_window(df, track, name, local, F.sum(value))
+    return _offset(df, track, name, local, F.sum(solid))
 
 
 def _neighbour(df: DataFrame, track: Track, value: str, name: str, following: bool) -> DataFrame:
@@ -119,21 +146,18 @@ def _neighbour(df: DataFrame, track: Track, value: str, name: str, following: bo
     Only a bucket's edge row looks outside its bucket: it takes the nearest
     row of the neighbouring bucket that has rows at all.
     """
-    fields = [track.order, *track.tiebreak]
     if track.descending:
         raise ValueError("neighbours are defined on ascending tracks")
-    position = F.struct(*fields)
-    pick = F.min_by if following else F.max_by
-    edge = pick(F.struct(F.col(value).alias("v")), position).alias("__edge")
-    step = F.lead if following else F.lag
-    carry = step("__edge").over(track.across())["v"].alias("__outside")
-    joined = _with_summary(df, track, [edge], [carry])
-    w = track.within(track.total_order())
-    # lag/lead of a literal is NULL exactly on the bucket's edge row.
-    inside = step(F.lit(True)).over(w)
-    return joined.withColumn(
-        name, F.when(inside, step(value).over(w)).otherwise(F.col("__outside"))
-    ).drop("__outside", _BUCKET)
+    pick, step = (F.min_by, F.lead) if following else (F.max_by, F.lag)
+    cut = _Cut(df, track)
+    # A struct around the value keeps a NULL value apart from "no row".
+    edge = pick(F.struct(F.col(value).alias("v")), F.struct(track.order, *track.tiebreak))
+    carry = step("__edge").over(cut.across())["v"].alias("__outside")
+    joined = cut.with_summary(edge.alias("__edge"), carry)
+    w = cut.within(track.total_order())
+    # lag/lead of a constant is NULL exactly on the bucket's edge row.
+    found = F.when(step(F.lit(True)).over(w), step(value).over(w)).otherwise(F.col("__outside"))
+    return joined.select(*df.columns, found.alias(name))
 
 
 def with_previous(df: DataFrame, track: Track, value: str, name: str = "previous") -> DataFrame:
