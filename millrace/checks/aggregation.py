@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
-from millrace.functions.money import discounted, mean, money, total
+from millrace.functions.money import discounted_total, mean, total, total_units, units
 from millrace.operators import aggregates
 
 _SUM = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
@@ -17,7 +17,7 @@ _REVENUE = (
 
 @check("agg_total", f"SELECT {_PRICE_SUM} AS total FROM lineitem")
 def agg_total(t):
-    return t.lineitem.agg(total(money("l_extendedprice")).alias("total"))
+    return t.lineitem.agg(total("l_extendedprice").alias("total"))
 
 
 @check(
@@ -28,10 +28,10 @@ def agg_total(t):
     FROM lineitem GROUP BY 1""",
 )
 def sum_by_key(t):
-    qty = F.col("l_quantity").cast("decimal(12,2)")
+    weighted = units("l_quantity") * units("l_extendedprice")
     return t.lineitem.groupBy("l_partkey").agg(
-        total(money("l_extendedprice")).alias("revenue"),
-        total(qty * F.col("l_extendedprice").cast("decimal(12,2)")).alias("weighted"),
+        total("l_extendedprice").alias("revenue"),
+        total_units(weighted, 4).cast("double").alias("weighted"),
     )
 
 
@@ -44,7 +44,7 @@ def sum_by_key(t):
 )
 def account_balance(t):
     deposit = F.col("event_type").isin("purchase", "signup")
-    signed = F.when(deposit, money("value")).otherwise(-money("value"))
+    signed = F.when(deposit, F.col("value")).otherwise(-F.col("value"))
     return t.events.groupBy("user_id").agg(
         F.count("*").alias("entries"), total(signed).alias("balance")
     )
@@ -78,7 +78,7 @@ def collect_by_key(t):
 )
 def count_sum_by_key(t):
     return t.events.groupBy("user_id").agg(
-        F.count("*").alias("n"), total(money("value")).alias("amount")
+        F.count("*").alias("n"), total("value").alias("amount")
     )
 
 
@@ -92,8 +92,8 @@ def count_sum_by_key(t):
 def agg_global(t):
     return t.orders.agg(
         F.count("o_orderkey").alias("orders"),
-        total(money("o_totalprice")).alias("total"),
-        mean(money("o_totalprice")).alias("average"),
+        total("o_totalprice").alias("total"),
+        mean("o_totalprice").alias("average"),
         F.min("o_totalprice").alias("lowest"),
         F.max("o_totalprice").alias("highest"),
     )
@@ -118,8 +118,8 @@ def agg_distinct(t):
 def group_multi(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n"),
-        total(discounted("l_extendedprice", "l_discount")).alias("revenue"),
-        total(money("l_quantity")).alias("quantity"),
+        discounted_total("l_extendedprice", "l_discount").alias("revenue"),
+        total("l_quantity").alias("quantity"),
     )
 
 
@@ -130,7 +130,7 @@ def group_multi(t):
     GROUP BY 1 HAVING average > 38000""",
 )
 def having_df(t):
-    grouped = t.lineitem.groupBy("l_suppkey").agg(mean(money("l_extendedprice")).alias("average"))
+    grouped = t.lineitem.groupBy("l_suppkey").agg(mean("l_extendedprice").alias("average"))
     return grouped.filter("average > 38000")
 
 
@@ -181,9 +181,9 @@ def group_stats(t):
     FROM orders GROUP BY 1""",
 )
 def agg_conditional(t):
-    paid = F.sum(F.when(F.col("o_orderstatus") == "F", money("o_totalprice")))
+    paid = total(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")))
     return t.orders.groupBy("o_orderpriority").agg(
-        F.coalesce(paid.cast("double"), F.lit(0.0)).alias("paid"),
+        F.coalesce(paid, F.lit(0.0)).alias("paid"),
         F.count_if(F.col("o_orderstatus") == "O").alias("open_orders"),
     )
 
@@ -196,7 +196,7 @@ def agg_conditional(t):
     FROM lineitem GROUP BY 1""",
 )
 def share_of_total(t):
-    return aggregates.share_of_total(t.lineitem, ["l_suppkey"], money("l_extendedprice"))
+    return aggregates.share_of_total(t.lineitem, ["l_suppkey"], F.col("l_extendedprice"))
 
 
 @check(
@@ -207,7 +207,7 @@ def share_of_total(t):
 )
 def ratio_measure(t):
     grouped = t.orders.groupBy("o_orderpriority").agg(
-        total(money("o_totalprice")).alias("revenue"), F.count_distinct("o_custkey").alias("customers")
+        total("o_totalprice").alias("revenue"), F.count_distinct("o_custkey").alias("customers")
     )
     ratio = (F.col("revenue") / F.col("customers")).alias("revenue_per_customer")
     return grouped.select("o_orderpriority", ratio)
@@ -228,7 +228,7 @@ _MONTHS = list(range(1, 13))
 )
 def pivot_month(t):
     dated = t.orders.withColumn("m", F.month("o_orderdate"))
-    return aggregates.pivot_sum(dated, ["o_orderpriority"], "m", _MONTHS, money("o_totalprice"))
+    return aggregates.pivot_sum(dated, ["o_orderpriority"], "m", _MONTHS, F.col("o_totalprice"))
 
 
 @check(
@@ -242,7 +242,7 @@ def pivot_month(t):
 )
 def two_level_agg(t):
     per_item = t.lineitem.groupBy("l_partkey").agg(
-        F.count("*").alias("lines"), total(money("l_extendedprice")).alias("revenue")
+        F.count("*").alias("lines"), total("l_extendedprice").alias("revenue")
     )
     items = t.part.join(per_item, F.col("p_partkey") == F.col("l_partkey"), "left")
     items = items.na.fill({"lines": 0, "revenue": 0.0})
@@ -305,7 +305,7 @@ def sort_all(t):
     ORDER BY total DESC, o_custkey LIMIT 3""",
 )
 def top_customers(t):
-    spend = t.orders.groupBy("o_custkey").agg(total(money("o_totalprice")).alias("total"))
+    spend = t.orders.groupBy("o_custkey").agg(total("o_totalprice").alias("total"))
     return spend.orderBy(F.desc("total"), F.asc("o_custkey")).limit(3)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.checks import roles
 from millrace.checks.registry import check
 from millrace.functions import rules
+from millrace.functions.money import total
 from millrace.operators import joins, quality
 from millrace.plans import bookings, daily_sales, people, reports, shop
 
@@ -78,7 +79,7 @@ def monthly_revenue(t):
     SELECT country, CAST(sum(revenue) AS DOUBLE) AS revenue FROM enriched GROUP BY 1""",
 )
 def country_revenue(t):
-    return _enriched(t).groupBy("country").agg(F.sum("revenue").cast("double").alias("revenue"))
+    return _enriched(t).groupBy("country").agg(total("revenue").alias("revenue"))
 
 
 @check(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
 from millrace.functions import rules
-from millrace.functions.money import money, total
+from millrace.functions.money import total
 from millrace.operators import joins
 from millrace.plans import people, reports
 
@@ -273,5 +273,5 @@ def join_semi_totals(t):
     returned = t.lineitem.filter("l_returnflag = 'R'")
     touched = joins.with_partner(t.orders, returned, {"o_orderkey": "l_orderkey"})
     return touched.groupBy("o_orderstatus").agg(
-        F.count("*").alias("orders"), total(money("o_totalprice")).alias("total")
+        F.count("*").alias("orders"), total("o_totalprice").alias("total")
     )

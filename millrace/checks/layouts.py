@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
-from millrace.functions.money import money, total
+from millrace.functions.money import total
 from millrace.operators import aggregates, layout
 from millrace.session import fresh_folder
 from millrace.sinks.writers import write_partitioned
@@ -22,7 +22,7 @@ def scan_partition_pruned(t):
     day = F.col("o_orderdate").cast("date")
     daily = (
         t.orders.groupBy(day.alias("day"))
-        .agg(F.count("*").alias("orders"), total(money("o_totalprice")).alias("revenue"))
+        .agg(F.count("*").alias("orders"), total("o_totalprice").alias("revenue"))
         .withColumns({"year": F.year("day"), "month": F.month("day")})
     )
     path = fresh_folder(t.spark, "daily-orders")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
 from millrace.functions import bands, rules
-from millrace.functions.money import money, price, rate
+from millrace.functions.money import price, rate, total
 from millrace.operators import aggregates, joins, quality, sets
 
 
@@ -284,5 +284,5 @@ def salary_band_udf(t):
 )
 def money_sum(t):
     return t.orders.groupBy("o_orderpriority").agg(
-        F.sum(money("o_totalprice")).cast("double").alias("total")
+        total("o_totalprice").alias("total")
     )

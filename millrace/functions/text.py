@@ -13,24 +13,23 @@ def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITE_SPACE))
 
 
-def tokens(text: Column) -> Column:
-    """Words between white space; empty pieces are left out."""
-    return F.filter(F.split(text, r"\s+"), lambda word: word != "")
+def plain(text: Column) -> Column:
+    """Lower case, words reduced to ASCII letters and digits.
 
-
-def plain(word: Column) -> Column:
-    """Lower case with everything but ASCII letters and digits removed."""
-    return F.regexp_replace(F.lower(word), "[^a-z0-9]", "")
+    White space stays, so one pass over a whole text cleans all its words.
+    """
+    return F.regexp_replace(F.lower(text), r"[^a-z0-9\s]+", "")
 
 
 def words(df: DataFrame, text: str = "text", clean: bool = False, lower: bool = False) -> DataFrame:
     """One row per word of the whole text (column ``word``)."""
-    exploded = df.select(F.explode(tokens(F.col(text))).alias("word"))
+    value = F.col(text)
     if clean:
-        return exploded.select(plain(F.col("word")).alias("word")).filter("word != ''")
-    if lower:
-        return exploded.select(F.lower("word").alias("word"))
-    return exploded
+        value = plain(value)
+    elif lower:
+        value = F.lower(value)
+    pieces = df.select(F.explode(F.split(value, r"\s+")).alias("word"))
+    return pieces.filter("word != ''")
 
 
 def word_counts(df: DataFrame, text: str = "text", clean: bool = False, lower: bool = False) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from millrace.functions.money import exact_total, total
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str = "share_pct") -> DataFrame:
@@ -13,7 +15,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str
     The total is a scalar subquery over the grouped sums: one row, no window
     over all groups and no trip through the driver program.
     """
-    grouped = df.groupBy(*keys).agg(F.sum(value).alias("__sum"))
+    grouped = df.groupBy(*keys).agg(exact_total(value).alias("__sum"))
     grand = grouped.select(F.sum("__sum").cast("double")).scalar()
     return grouped.select(
         *keys,
@@ -30,7 +32,7 @@ def pivot_sum(
     The values are part of the call, so Spark needs no extra pass to find
     them and the result has a fixed schema.
     """
-    pivoted = df.groupBy(*keys).pivot(column, list(values)).agg(F.sum(value).cast("double"))
+    pivoted = df.groupBy(*keys).pivot(column, list(values)).agg(total(value))
     return pivoted.na.fill(0.0, subset=[str(v) for v in values])
 
 
@@ -69,8 +71,6 @@ def best_row(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 def numbered_top(df: DataFrame, order: Sequence[Column], n: int, name: str = "position") -> DataFrame:
     """First ``n`` rows with their position; the window sees ``n`` rows only."""
-    from pyspark.sql import Window
-
     top = df.orderBy(*order).limit(n)
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 

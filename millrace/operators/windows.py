@@ -91,10 +91,14 @@ class _Cut:
     def earlier(self) -> WindowSpec:
         return self.across().rowsBetween(Window.unboundedPreceding, -1)
 
-    def with_summary(self, summary: Column, carry: Column) -> DataFrame:
-        """Rows plus, per key and bucket, a value carried over from other buckets."""
+    def with_summary(self, local: Column, summary: Column, carry: Column) -> DataFrame:
+        """Rows with a value from their own bucket and one carried over.
+
+        The window comes first: the join finds its rows partitioned and sorted.
+        """
         per_bucket = self.rows.groupBy(*self.parts, _BUCKET).agg(summary)
-        return self.rows.join(per_bucket.select(*self.parts, carry), self.parts)
+        rows = self.rows.withColumn("__local", local)
+        return rows.join(per_bucket.select(*self.parts, carry), self.parts)
 
 
 def _offset(
@@ -102,8 +106,8 @@ def _offset(
 ) -> DataFrame:
     cut = _Cut(df, track)
     carry = F.coalesce(F.sum("__amount").over(cut.earlier()), F.lit(0)).alias("__before")
-    joined = cut.with_summary(amount.alias("__amount"), carry)
-    return joined.select(*df.columns, (local(cut) + F.col("__before")).alias(name))
+    joined = cut.with_summary(local(cut), amount.alias("__amount"), carry)
+    return joined.select(*df.columns, (F.col("__local") + F.col("__before")).alias(name))
 
 
 def with_row_number(df: DataFrame, track: Track, name: str = "row_number") -> DataFrame:
@@ -153,10 +157,9 @@ def _neighbour(df: DataFrame, track: Track, value: str, name: str, following: bo
     # A struct around the value keeps a NULL value apart from "no row".
     edge = pick(F.struct(F.col(value).alias("v")), F.struct(track.order, *track.tiebreak))
     carry = step("__edge").over(cut.across())["v"].alias("__outside")
-    joined = cut.with_summary(edge.alias("__edge"), carry)
-    w = cut.within(track.total_order())
-    # lag/lead of a constant is NULL exactly on the bucket's edge row.
-    found = F.when(step(F.lit(True)).over(w), step(value).over(w)).otherwise(F.col("__outside"))
+    inside = step(F.struct(F.col(value).alias("v"))).over(cut.within(track.total_order()))
+    joined = cut.with_summary(inside, edge.alias("__edge"), carry)
+    found = F.when(F.col("__local").isNotNull(), F.col("__local.v")).otherwise(F.col("__outside"))
     return joined.select(*df.columns, found.alias(name))
 
 

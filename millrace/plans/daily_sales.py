@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import rules
-from millrace.functions.money import money, price, total
+from millrace.functions.money import line_amount, total
 from millrace.operators import joins, quality, sets
 from millrace.sinks.writers import write_csv, write_partitioned
 
@@ -55,7 +55,7 @@ def typed_sales(checked: DataFrame) -> DataFrame:
         "product_name",
         "category",
         quantity.alias("qty"),
-        (quantity * price("unit_price")).alias("revenue"),
+        line_amount(quantity, "unit_price").alias("revenue"),
         F.year(day).alias("year"),
         F.month(day).alias("month"),
     )
@@ -69,12 +69,12 @@ def daily_by_category(sales: DataFrame) -> DataFrame:
     return sales.groupBy("year", "month", "txn_date", "category").agg(
         F.count("txn_id").alias("orders"),
         F.sum("qty").alias("units_sold"),
-        total(money("revenue")).alias("total_revenue"),
+        total("revenue").alias("total_revenue"),
     )
 
 
 def revenue_by_city(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("city").agg(total(money("revenue")).alias("total_revenue"))
+    return sales.groupBy("city").agg(total("revenue").alias("total_revenue"))
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import bands
-from millrace.functions.money import money, total
+from millrace.functions.money import exact_total, total
 from millrace.operators import aggregates
 
 
@@ -18,7 +18,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame) -> DataFrame:
     many orders meets the join as one row.
     """
     per_customer = orders.groupBy("customer_id").agg(
-        F.count("*").alias("total_orders"), F.sum(money("amount")).cast("double").alias("total_spent")
+        F.count("*").alias("total_orders"), total("amount").alias("total_spent")
     )
     joined = customers.join(per_customer, "customer_id", "left")
     return joined.na.fill({"total_orders": 0, "total_spent": 0.0}).withColumn(
@@ -30,7 +30,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame) -> DataFrame:
 def revenue_by(summary: DataFrame, *place: str) -> DataFrame:
     """Customers and revenue per place, from the per-customer summary."""
     return summary.groupBy(*place).agg(
-        F.count("customer_id").alias("customers"), total(money("total_spent")).alias("revenue")
+        F.count("customer_id").alias("customers"), total("total_spent").alias("revenue")
     )
 
 
@@ -54,7 +54,7 @@ def payroll(staff: DataFrame) -> DataFrame:
 
 def payroll_summary(paid: DataFrame) -> DataFrame:
     return paid.groupBy("dept").agg(
-        F.count("id").alias("employees"), total(F.col("net")).alias("total_net")
+        F.count("id").alias("employees"), F.sum("net").cast("double").alias("total_net")
     )
 
 
@@ -76,7 +76,7 @@ def department_metrics(bills: DataFrame) -> DataFrame:
     grouped = bills.groupBy("department").agg(
         F.count("bill_id").alias("bills"),
         F.sum("patients").alias("patients"),
-        F.sum(money("amount")).alias("__revenue"),
+        exact_total("amount").alias("__revenue"),
         F.max("amount").alias("max_bill"),
     )
     grand = grouped.select(F.sum("__revenue").cast("double")).scalar()
@@ -94,14 +94,14 @@ def department_metrics(bills: DataFrame) -> DataFrame:
 
 
 def monthly_by_department(bills: DataFrame, months: list[int]) -> DataFrame:
-    return aggregates.pivot_sum(bills, ["department"], "month", months, money("amount"))
+    return aggregates.pivot_sum(bills, ["department"], "month", months, F.col("amount"))
 
 
 def customer_risk(transactions: DataFrame) -> DataFrame:
     """Risk label from total, largest and number of transactions."""
     per_customer = transactions.groupBy("customer_id").agg(
         F.count("txn_id").alias("txn_count"),
-        F.sum(money("amount")).alias("total_amount"),
+        exact_total("amount").alias("total_amount"),
         F.max("amount").alias("max_txn"),
     )
     return per_customer.withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import rules
-from millrace.functions.money import money, total
+from millrace.functions.money import exact_total, total
 from millrace.operators import joins
 from millrace.operators.quality import BLANKS, LineSpec, parse_delimited, valid_only
 from millrace.streaming.windows import windowed
@@ -44,7 +44,7 @@ def parse(lines: DataFrame, spec: LineSpec) -> DataFrame:
 
 def totals(entries: DataFrame, key: str = "account") -> DataFrame:
     """Count and amount per key: of a batch, or running when on a stream."""
-    return entries.groupBy(key).agg(F.count("*").alias("n"), total(money("amount")).alias("amount"))
+    return entries.groupBy(key).agg(F.count("*").alias("n"), total("amount").alias("amount"))
 
 
 COMPARISON = T.StructType(
@@ -60,7 +60,7 @@ COMPARISON = T.StructType(
 def compare_step(before: DataFrame | None, batch: DataFrame) -> DataFrame:
     """This batch against everything so far; known accounts stay, with 0."""
     now = batch.groupBy("account").agg(
-        F.count("*").alias("batch_n"), F.sum(money("amount")).alias("batch_amount")
+        F.count("*").alias("batch_n"), exact_total("amount").cast("decimal(28,2)").alias("batch_amount")
     )
     if before is None:
         return now.select("account", "batch_n", F.col("batch_n").alias("total_n"), F.col("batch_amount").alias("total_amount"))
@@ -105,5 +105,5 @@ def bursts(
     slide: str = rules.WINDOW_SLIDE,
 ) -> DataFrame:
     """Keys with at least ``limit`` transactions in a window."""
-    measures = [F.count("*").alias("n"), total(money("amount")).alias("amount")]
+    measures = [F.count("*").alias("n"), total("amount").alias("amount")]
     return windowed(entries, measures, [key], size, slide).filter(F.col("n") >= limit)

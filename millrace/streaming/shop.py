@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import rules
-from millrace.functions.money import money, price, total
+from millrace.functions.money import line_amount, total
 from millrace.operators import joins
 from millrace.streaming.windows import timed, windowed
 
@@ -20,7 +20,7 @@ def category_revenue(
     """Revenue and orders per window and category; late orders are dropped."""
     sound = timed(orders, time_column, watermark).filter("qty > 0 AND price > 0 AND NOT isnan(price)")
     named = sound.join(joins.small_or_shuffled(products.select("product_id", "category")), "product_id")
-    revenue = money(F.col("qty") * price("price"))
+    revenue = line_amount("qty", "price")
     return windowed(
         named, [total(revenue).alias("revenue"), F.count("*").alias("orders")], ["category"], size
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import rules
-from millrace.functions.money import money, total
+from millrace.functions.money import total
 
 
 def timed(stream: DataFrame, column: str, watermark: str | None = rules.WATERMARK) -> DataFrame:
@@ -56,7 +56,7 @@ def sliding_sums(
 ) -> DataFrame:
     """Rolling total per key, or over everything when the key is None."""
     keys = [key] if key else []
-    return windowed(stream, [total(money(amount)).alias("total")], keys, size, slide)
+    return windowed(stream, [total(amount).alias("total")], keys, size, slide)
 
 
 def spikes(

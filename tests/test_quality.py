@@ -125,3 +125,25 @@ def test_words(spark):
     assert {r.word: r.n for r in text.word_counts(feed, clean=True).collect()} == {"error": 1, "disk": 2, "full": 1}
     assert text.word_counts(feed).count() == 5
     assert isinstance(text.word_counts(feed).schema["n"].dataType, T.LongType)
+
+
+def test_exact_totals_match_decimal_sums(spark):
+    from millrace.functions import money
+
+    frame = spark.range(20000).select(
+        (F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 11 > 0, (F.xxhash64("id") % 10**9) / 100.0).alias("x"),
+        ((F.col("id") % 11) / 100.0).alias("d"),
+    )
+    x, d = F.col("x").cast("decimal(18,2)"), F.col("d").cast("decimal(6,4)")
+    both = frame.groupBy("k").agg(
+        money.total("x").alias("a"),
+        F.sum(x).cast("double").alias("b"),
+        money.discounted_total("x", "d").alias("c"),
+        F.sum(x * (1 - d)).cast("double").alias("e"),
+    )
+    assert both.filter("a != b OR c != e OR a IS NULL OR c IS NULL").count() == 0
+    nothing = frame.filter("x IS NULL").agg(money.total("x").alias("a")).first()
+    assert nothing.a is None
+    huge = spark.range(4).select(F.lit(9.0e15).alias("x"))
+    assert huge.agg(money.exact_total("x").alias("a")).first().a == 36 * 10**15
