@@ -267,7 +267,7 @@ def three_reports(t):
 
 def _state(t):
     known = joins.with_partner(roles.booking_events(t.events), roles.inventory(t), "item_id")
-    return bookings.booking_state(known, "date_trunc('day', event_time)")
+    return bookings.booking_state(known, "date_trunc('minute', event_time)")
 
 
 @check("booking_state", f"{roles.STATE_SQL} SELECT booking_id, item_id, seats, status FROM state")

@@ -37,9 +37,17 @@ ORDER_FIELDS_SQL = """
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
+def _order_rows(t: Tables) -> DataFrame:
+    lines = t.wide(
+        "lineitem",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag",
+    )
+    return lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def order_lines(t: Tables) -> DataFrame:
     """Order lines with planted defects: no id, bad numbers, a field short."""
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = _order_rows(t)
     part = F.col("l_partkey")
     order_id = F.when(part % 97 == 0, "").otherwise(
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))
@@ -54,7 +62,7 @@ def order_lines(t: Tables) -> DataFrame:
         .when(part % 73 == 0, "-1")
         .otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
     )
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.col("l_shipdate").cast("date").cast("string")
     status = F.when(F.col("l_returnflag") == "R", "Cancelled").otherwise("Delivered")
     head = F.concat_ws(" , ", order_id, F.col("o_custkey"), part, qty, price, day)
     line = F.when(part % 71 == 0, head).otherwise(F.concat_ws(",", head, status))
@@ -82,7 +90,7 @@ TRANSACTION_PREFERENCE = ("txn_date", "product_id", "qty", "customer_id", "payme
 
 def raw_transactions(t: Tables) -> DataFrame:
     """Text transactions with planted defects; ids repeat in the given data."""
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = _order_rows(t)
     customer, part = F.col("o_custkey"), F.col("l_partkey")
     return joined.select(
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("txn_id"),
@@ -97,7 +105,7 @@ def raw_transactions(t: Tables) -> DataFrame:
         .otherwise(F.col("l_quantity").cast("long").cast("string"))
         .alias("qty"),
         F.when(part % 67 == 0, "not-a-date")
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .otherwise(F.col("l_shipdate").cast("date").cast("string"))
         .alias("txn_date"),
         F.when(F.col("o_orderstatus") == "F", "PAID")
         .when(F.col("o_orderstatus") == "O", "FAILED")

@@ -368,7 +368,7 @@ def stream_cancel_alert(t):
     return _table(t, "cancel-alert", alerts, ["window_start"])
 
 
-_BUCKET = "date_trunc('day', event_time)"
+_BUCKET = "date_trunc('minute', event_time)"
 
 
 @check("stream_booking_state", f"{roles.STATE_SQL} SELECT booking_id, item_id, seats, status FROM state")

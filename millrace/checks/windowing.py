@@ -6,25 +6,25 @@ from millrace.checks.registry import check
 from millrace.functions.money import money
 from millrace.operators import windows
 
-# Orders per customer by price: a bucket of 10,000 follows the order column.
+# Orders per customer by price.
 _BY_PRICE = windows.Track(
     keys=["o_custkey"],
     order="o_totalprice",
-    bucket="floor(o_totalprice / 10000)",
+    bucket="floor(o_totalprice / 100)",
     tiebreak=["o_orderkey"],
     descending=True,
 )
 _BY_DATE = windows.Track(
     keys=["o_custkey"],
     order="o_orderdate",
-    bucket="date_trunc('month', o_orderdate)",
+    bucket="o_orderdate",
     tiebreak=["o_orderkey"],
 )
 # Parts per type by size: many equal sizes, so ranks have real ties.
 _BY_SIZE = windows.Track(
     keys=["p_type"],
     order="p_size",
-    bucket="floor(p_size / 5)",
+    bucket="p_size",
     tiebreak=["p_partkey"],
     descending=True,
 )

@@ -26,6 +26,29 @@ def small_or_shuffled(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if counted <= max_rows else df
 
 
+def look_up(
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+    salts: int = 32,
+) -> DataFrame:
+    """Join a stream or table with a lookup table on a shared key.
+
+    A lookup of at most ``max_rows`` rows is broadcast. A larger one is copied
+    once per salt and the rows of a key are spread over the salts, because
+    adaptive skew handling does not cover streams. ``how`` is one of inner,
+    left, left_semi and left_anti.
+    """
+    if lookup.limit(max_rows + 1).count() <= max_rows:
+        return fact.join(F.broadcast(lookup), on, how)
+    # The hash of the whole row is the same again when a task is retried.
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts))
+    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    return fact.withColumn("__salt", salt).join(copies, [on, "__salt"], how).drop("__salt")
+
+
 def _pairs(on: str | Sequence[str] | Mapping[str, str]) -> list[tuple[str, str]]:
     if isinstance(on, str):
         return [(on, on)]

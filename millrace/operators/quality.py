@@ -39,15 +39,17 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
     typed: list[Column] = [(F.size("__parts") == len(spec.fields)).alias("__complete")]
     checks: list[Column] = [F.col("__complete")]
     for i, (name, kind) in enumerate(spec.fields):
-        value = strip(F.try_element_at(F.col("__parts"), F.lit(i + 1)))
-        if kind != "string":
+        value = F.try_element_at(F.col("__parts"), F.lit(i + 1))
+        if kind == "string":
+            value = strip(value)
+        else:  # casts ignore white space around a number
             value = value.try_cast(kind)
             checks.append(F.col(name).isNotNull())
             if kind == "double":
                 checks.append(~F.isnan(name))
-        elif name in spec.upper:
+        if name in spec.upper:
             value = F.upper(value)
-        elif name in spec.lower:
+        if name in spec.lower:
             value = F.lower(value)
         typed.append(value.alias(name))
         if name in spec.required:
@@ -61,7 +63,9 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
         valid = valid & check
 
     carried = [c for c in df.columns if c != line]
-    split = df.withColumn("__parts", F.split(strip(F.col(line)), spec.delimiter, -1))
+    # Blanks as delimiter would make an empty field of blanks at either end.
+    text = strip(F.col(line)) if spec.delimiter == BLANKS else F.col(line)
+    split = df.withColumn("__parts", F.split(text, spec.delimiter, -1))
     # The generator keeps later filters above the parse. Without it Spark pushes
     # each condition down as a copy of the whole split expression.
     fields = split.select(*carried, F.inline(F.array(F.struct(*typed))))

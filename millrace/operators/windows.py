@@ -8,9 +8,11 @@ a bucket, and add what the earlier buckets of that key contribute:
 * per key and bucket one small summary row is aggregated map-side, and only
   those summaries meet in one window per key.
 
-The bucket must follow the order (a later row never falls in an earlier
-bucket) and rows that tie on the order column must share it. A calendar month
-of a date or ``floor(amount / 1000)`` do. Take a finer bucket for hotter keys.
+The bucket must follow the order: a later row never falls in an earlier
+bucket. For ranks, rows that tie on the order column must share it. The minute
+of a time or ``floor(amount / 100)`` do, and where ties are settled by an id,
+``struct(day, id div 1000000)``. A task holds one bucket of one key at most, so
+the bucket has to be fine enough for the hottest key.
 """
 
 from __future__ import annotations

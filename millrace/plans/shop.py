@@ -83,7 +83,7 @@ def running_spend(enriched: DataFrame) -> DataFrame:
     track = windows.Track(
         keys=["customer_id"],
         order="order_date",
-        bucket="trunc(order_date, 'month')",
+        bucket="order_date",
         tiebreak=["order_id"],
     )
     return windows.with_running_sum(enriched, track, money("revenue"), "running_spend")

@@ -83,12 +83,9 @@ def with_branch(entries: DataFrame, branches: DataFrame, big_amount: float = rul
 
     A transaction of an unknown branch is kept and flagged.
     """
-    known = joins.enrich(
-        entries,
-        joins.small_or_shuffled(branches),
-        "branch_id",
-        {name: rules.UNKNOWN for name in ("branch_name", "city", "risk_level")},
-    )
+    names = ("branch_name", "city", "risk_level")
+    looked_up = joins.look_up(entries, branches.select("branch_id", *names), "branch_id", "left")
+    known = looked_up.withColumns({name: F.coalesce(name, F.lit(rules.UNKNOWN)) for name in names})
     flag = (
         F.when(F.col("risk_level") == rules.UNKNOWN, "UNKNOWN BRANCH")
         .when((F.col("risk_level") == "HIGH") & (F.col("amount") >= big_amount), "BIG AMOUNT")

@@ -36,8 +36,7 @@ def parse(lines: DataFrame) -> DataFrame:
 
 def known_items(events: DataFrame, inventory: DataFrame) -> DataFrame:
     """Events of items in the inventory (an inventory has unique items)."""
-    items = joins.small_or_shuffled(inventory.select("item_id"))
-    return events.join(items, "item_id", "left_semi")
+    return joins.look_up(events, inventory.select("item_id"), "item_id", "left_semi")
 
 
 def item_activity(events: DataFrame, size: str = rules.WINDOW_SIZE, slide: str = rules.WINDOW_SLIDE) -> DataFrame:

@@ -19,7 +19,7 @@ def category_revenue(
 ) -> DataFrame:
     """Revenue and orders per window and category; late orders are dropped."""
     sound = timed(orders, time_column, watermark).filter("qty > 0 AND price > 0 AND NOT isnan(price)")
-    named = sound.join(joins.small_or_shuffled(products.select("product_id", "category")), "product_id")
+    named = joins.look_up(sound, products.select("product_id", "category"), "product_id")
     revenue = line_amount("qty", "price")
     return windowed(
         named, [total(revenue).alias("revenue"), F.count("*").alias("orders")], ["category"], size

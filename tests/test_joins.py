@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import joins
@@ -73,3 +74,11 @@ def test_hot_join_key_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_large_lookup_is_salted(spark, how):
+    fact, dim = tables(spark)
+    fact, dim = fact.withColumnRenamed("fk", "k"), dim.withColumnRenamed("dk", "k").filter("k IS NOT NULL")
+    same(joins.look_up(fact, dim, "k", how, max_rows=10, salts=4), fact.join(dim, "k", how))
+    same(joins.look_up(fact, dim, "k", how), fact.join(dim, "k", how))
