@@ -44,8 +44,8 @@ def look_up(
     if lookup.limit(max_rows + 1).count() <= max_rows:
         return fact.join(F.broadcast(lookup), on, how)
     # The hash of the whole row is the same again when a task is retried.
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
+    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return fact.withColumn("__salt", salt).join(copies, [on, "__salt"], how).drop("__salt")
 
 
