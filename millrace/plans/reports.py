@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import rules, text
-from millrace.functions.money import total
+from millrace.functions.money import exact_total, total
 from millrace.operators import aggregates, joins, quality
 from millrace.operators.layout import reused
 
@@ -58,10 +58,17 @@ def write_transaction_reports(lines: DataFrame, out: str) -> None:
 
 
 def branch_totals(fact: DataFrame, branches: DataFrame, *by: str) -> DataFrame:
-    """Large fact with a size-checked branch table, totals per branch column."""
-    joined = fact.join(joins.small_or_shuffled(branches), "branch_id")
+    """Large fact with a size-checked branch table, totals per branch column.
+
+    The fact is summed per branch id first, so a branch with most of the rows
+    meets the join as one row however large the branch table is.
+    """
+    per_branch = fact.groupBy("branch_id").agg(
+        F.count("*").alias("txns"), exact_total("amount").alias("total")
+    )
+    joined = per_branch.join(joins.small_or_shuffled(branches), "branch_id")
     return joined.groupBy(*by).agg(
-        F.count("*").alias("txns"), total("amount").alias("total")
+        F.sum("txns").alias("txns"), F.sum("total").cast("double").alias("total")
     )
 
 

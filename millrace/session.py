@@ -21,6 +21,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Split hot partitions after a rebalance hint (partitioned writes).
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Streaming state outside the heap; checkpoints hold changes, not copies.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -90,7 +90,8 @@ def carried_state(
     """Carry a keyed state from batch to batch as a written table.
 
     ``step(state, batch)`` returns the new state and runs as an ordinary
-    distributed join, so a hot key is handled like in any batch job. With
+    distributed join, so a hot key is handled like in any batch job. Each batch
+    rewrites the state once: choose the trigger interval by the state's size. With
     ``keep`` the folders are reused in turn (the previous state is never the
     one overwritten); with ``None`` every batch keeps its own.
     """
