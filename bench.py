@@ -22,7 +22,7 @@ from millrace.sources.tables import Tables
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINES = (
     "daily_sales revenue_by_city monthly_revenue top_products running_spend customer_tier "
