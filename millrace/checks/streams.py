@@ -11,7 +11,7 @@ from millrace.streaming import accounts, bookings, logs, shop, tables, vitals, w
 def _table(t, label, aggregate, keys):
     """Drain an update-mode aggregate and read the last value per key."""
     out = fresh_folder(t.spark, label)
-    tables.drain(tables.changes_table(aggregate, out))
+    tables.drain(tables.changes_table(aggregate, out), closing_batch=False)
     return tables.read_latest(t.spark, out, aggregate.schema, keys)
 
 

@@ -18,9 +18,24 @@ from millrace.operators.windows import latest_per_key
 BATCH = "batch_id"
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Process everything that has arrived, then stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def drain(writer: DataStreamWriter, closing_batch: bool = True) -> None:
+    """Process everything that has arrived, then stop.
+
+    With a watermark Spark ends with an empty batch that emits and clears
+    expired state. Update-mode results do without: they were emitted when they
+    changed, and the next batch with data clears the state.
+    """
+    conf = SparkSession.active().conf
+    before = conf.get(_EMPTY_BATCHES)
+    conf.set(_EMPTY_BATCHES, str(closing_batch).lower())
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set(_EMPTY_BATCHES, before)
+    query.awaitTermination()
 
 
 def run_for(writer: DataStreamWriter, seconds: int, every: str = "5 seconds") -> None:
