@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,8 +18,16 @@ __all__ = ["map_texts", "named_inside", "prepared", "written"]
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Settings of the operators: the library's own, and Arrow batches of a bounded number of texts."""
+    """Settings of the operators: the library's own, and Arrow batches of a bounded number of texts.
+
+    Python workers look for this package where the driver found it; on a
+    cluster it is installed there or passed with ``--py-files``.
+    """
     configure(spark)
+    environment = spark.sparkContext.environment
+    folder = str(Path(__file__).resolve().parents[2])
+    if folder not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), folder]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 

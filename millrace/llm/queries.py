@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, quality, token_counts, tree_bpe
+from millrace.llm import packing, quality, substring_dedup, token_counts, tree_bpe
 from millrace.llm.frames import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,34 @@ def op5(spark, sf_dir):
     return tree_bpe.round_trip_digests(table(spark, sf_dir, "documents"), path)
 
 
+OP6_SQL = r"""
+WITH parts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, place, array_to_string(words[place : place + 49], ' ') AS run
+  FROM parts, LATERAL (SELECT unnest(range(1, len(words) - 48)) AS place)
+), firsts AS (
+  SELECT run, min(doc_id) AS first FROM windows GROUP BY run HAVING min(doc_id) < max(doc_id)
+), hits AS (
+  SELECT doc_id, place FROM windows JOIN firsts USING (run) WHERE first < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, place + step AS place FROM hits, LATERAL (SELECT unnest(range(50)) AS step)
+), numbered AS (
+  SELECT doc_id, words[place] AS word, place FROM parts, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS place)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS rest, count(*) AS n
+  FROM numbered ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM parts LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op6_substring_dedup", OP6_SQL)
+def op6(spark, sf_dir):
+    return substring_dedup.digests_after(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
