@@ -17,6 +17,16 @@ from millrace.session import configure
 __all__ = ["map_texts", "named_inside", "prepared", "written"]
 
 
+SETTINGS = {
+    # A batch of texts stays within a few megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Where few documents are wanted, Spark filters the others before it shuffles their texts.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "200MB",
+}
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Settings of the operators: the library's own, and Arrow batches of a bounded number of texts.
 
@@ -28,7 +38,8 @@ def prepared(spark: SparkSession) -> SparkSession:
     folder = str(Path(__file__).resolve().parents[2])
     if folder not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), folder]))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

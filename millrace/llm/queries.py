@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, quality, substring_dedup, token_counts, tree_bpe
+from millrace.llm import jaccard_join, packing, quality, substring_dedup, token_counts, tree_bpe
 from millrace.llm.frames import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,37 @@ def op6(spark, sf_dir):
     return substring_dedup.digests_after(table(spark, sf_dir, "documents"))
 
 
+OP8_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[place : place + 4], ' ') AS shingle
+  FROM parts, LATERAL (SELECT unnest(range(1, greatest(len(words) - 3, 2))) AS place) WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * ((SELECT n FROM sizes s WHERE s.doc_id = a.doc_id)
+                                + (SELECT n FROM sizes s WHERE s.doc_id = b.doc_id) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM parts
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op8_jaccard_join", OP8_SQL)
+def op8(spark, sf_dir):
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
