@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard_join, packing, quality, substring_dedup, token_counts, tree_bpe
+from millrace.llm import jaccard_join, packing, quality, substring_dedup, token_counts, tree_bpe, vector_search
 from millrace.llm.frames import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ def op6(spark, sf_dir):
     return substring_dedup.digests_after(table(spark, sf_dir, "documents"))
 
 
+@query("op7_vector_search")
+def op7(spark, sf_dir):
+    return vector_search.search(table(spark, sf_dir, "embeddings"))
+
+
 OP8_SQL = r"""
 WITH RECURSIVE parts AS (
   SELECT doc_id, regexp_extract_all(
