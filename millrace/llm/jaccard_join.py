@@ -440,7 +440,9 @@ def classes(
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / WORDS_PER_BUCKET))
     key = ["one", "two", "n_shingles"]
     same = digests.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("c"))
-    flagged = digests.join(same.filter("c > 1").drop("c"), key, "left")
+    # Written, so that the join has a shuffle on either side and Spark can split a set with very many copies.
+    same = written(same.filter("c > 1").drop("c"), "firsts")
+    flagged = digests.join(same, key, "left")
     flagged = written(flagged.select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "classes")
     settled = flagged.groupBy("doc_id").agg(F.min(F.col("doc_id") > F.col("first")).alias("copy")).filter("copy").select("doc_id")
     settled = written(settled, "settled")

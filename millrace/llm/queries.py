@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard_join, language, packing, quality, substring_dedup, token_counts, tree_bpe, vector_search
+from millrace.llm import jaccard_join, language, packing, quality, substring_dedup, token_counts, toxicity, tree_bpe, vector_search
 from millrace.llm.frames import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_toxicity")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", language.held_out())
+
+
 @query("op2_language")
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

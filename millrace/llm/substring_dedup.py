@@ -287,7 +287,9 @@ def repeats(
     total = digests.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // WORDS_PER_BUCKET)
     first = digests.filter(f"n_words >= {window} AND doc_id >= 0").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    flagged = digests.join(first.filter("n > 1").drop("n"), "sha", "left").select(
+    # Written, so that the join has a shuffle on either side and Spark can split a text with very many copies.
+    first = written(first.filter("n > 1").drop("n"), "firsts")
+    flagged = digests.join(first, "sha", "left").select(
         "doc_id", "n_words", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")
     )
     flagged = written(flagged, "copies")
