@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard_join, language, packing, quality, substring_dedup, token_counts, toxicity, tree_bpe, vector_search
+from millrace.llm import jaccard_join, language, line_dedup, packing, quality, substring_dedup, token_counts, toxicity, tree_bpe, vector_search
 from millrace.llm.frames import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op2(spark, sf_dir):
     return language.predict(docs, model).withColumn("held_out", language.held_out())
 
 
+@query("op3_line_dedup")
+def op3(spark, sf_dir):
+    return line_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op4_packing")
 def op4(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
