@@ -49,7 +49,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     out = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
-    return out.filter("a < b").distinct()
+    return out.filter("a < b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

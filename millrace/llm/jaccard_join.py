@@ -11,10 +11,7 @@ and tiny segments, which many sets have in common, are avoided. Sets that meet
 are compared by a lower bound of their difference and then exactly.
 
 Documents with the very same set are one class with one member in the join.
-Signatures travel packed, one row a slice of documents and part of the hash
-space. Where many sets meet in one segment, blocks of bounded size are compared
-and only links that join different components are passed on; once those are
-verified, only pairs between components are left to look at.
+How candidates meet and are verified is in ``meetings``.
 """
 
 from __future__ import annotations
@@ -26,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm import ragged
+from millrace.llm import meetings, ragged
 from millrace.llm.components import components
 from millrace.llm.frames import map_texts, written
 
@@ -34,10 +31,8 @@ SHINGLE = 5
 # Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SKETCH_BITS = 512
+SLICE_BYTES = 4 << 20
 WORDS_PER_BUCKET = 250_000
-# Sets in one segment that are compared by a plain join, and the size of blocks beyond.
-SMALL_GROUP = 24
-BLOCK = 1500
 # One segment in so many is also indexed with one shingle left out.
 DELETION_EVERY = 16
 # Cost of probing a segment with 0, 1, 2, ... shingles, with and without one deletion.
@@ -117,15 +112,6 @@ def set_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     return map_texts(chosen, {"id": doc_id, "text": text}, run, "doc_id long, n_shingles long, one long, two long")
 
 
-def sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parity of the shingles in each of SKETCH_BITS parts: sets differ in at least as many shingles as in bits."""
-    texts = len(bounds) - 1
-    owner = np.repeat(np.arange(texts), np.diff(bounds))
-    bits = (hashes >> np.uint64(7)).astype(np.int64) % SKETCH_BITS
-    parity = np.bincount(owner * SKETCH_BITS + bits, minlength=texts * SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8).reshape(texts, SKETCH_BITS), axis=1)
-
-
 def _segmented(hashes, owner, sizes, bands, scheme):
     """Content sums and counts of all segments of the given sets in the given bands.
 
@@ -179,8 +165,8 @@ def signatures(hashes, bounds, scheme):
         at = where[deleted]
         fewer = _named(content[at] - spread[deleted], segment[at], band[of[at]])
         if step == 0:
-            out.append((names, ok[of], 1))
-            out.append((fewer, ok[of[at]], 1))
+            out.append((names, ok[of], meetings.INDEX))
+            out.append((fewer, ok[of[at]], meetings.INDEX))
         # What linked sets of these sizes may differ by, and one more.
         needed = scheme.differences(np.minimum(scheme.highs[band], sizes[ok]), sizes[ok]) + 1
         plain = COST[np.minimum(count, len(COST) - 1)]
@@ -197,230 +183,59 @@ def signatures(hashes, bounds, scheme):
         wide = np.zeros(len(of), bool)
         wide[unit_at[chosen[chosen >= len(of)]]] = True
         probed |= wide
-        out.append((names[probed], ok[of[probed]], 2))
-        out.append((fewer[wide[at]], ok[of[at[wide[at]]]], 2))
+        out.append((names[probed], ok[of[probed]], meetings.PROBE))
+        out.append((fewer[wide[at]], ok[of[at[wide[at]]]], meetings.PROBE))
         step += 1
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
     return (
         np.concatenate([x for x, _, _ in out]),
         np.concatenate([x for _, x, _ in out]),
-        np.concatenate([np.full(len(x), role, np.uint8) for x, _, role in out]),
+        np.concatenate([np.full(len(x), role, np.uint32) for x, _, role in out]),
     )
 
 
-_PACKED = "bucket int, chunk long, kind int, keys binary, sets binary"
-
-
-def _signature_rows(docs, doc_id, text, size, percent, buckets):
-    chosen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-
+def _rows(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
     def run(batches):
         scheme = Scheme(percent)
         chunk = TaskContext.get().partitionId() << 32
-        for batch in ragged.slices(batches, "text", 4 << 20):
+        for batch in ragged.slices(batches, "text", SLICE_BYTES):
             chunk += 1
             hashes, bounds = shingle_sets(*ragged.column_bytes(batch["text"]), size)
-            ids = batch["id"].to_numpy(zero_copy_only=False).astype(np.int64)
-            head = ids.tobytes() + np.diff(bounds).tobytes() + sketches(hashes, bounds).tobytes()
-            yield _packed([chunk % buckets], chunk, 0, [head], [b""])
-            names, owner, role = signatures(hashes, bounds, scheme)
-            bucket = ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-            short = (names.astype(np.uint32) & np.uint32(0xFFFFFFFC)) | role
-            order = np.argsort(bucket, kind="stable")
-            bucket, short, owner = bucket[order], short[order], owner[order]
-            owner = owner.astype(np.uint16 if batch.num_rows < 2**16 else np.uint32)
-            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else [0]
-            parts = list(zip(cuts[:-1], cuts[1:]))
-            if parts:
-                yield _packed(bucket[cuts[:-1]], chunk, 1, [short[a:b].tobytes() for a, b in parts], [owner[a:b].tobytes() for a, b in parts])
-
-    return chosen.mapInArrow(run, _PACKED)
-
-
-def _packed(buckets, chunk, kind, keys, sets):
-    return pa.record_batch(
-        [
-            pa.array(buckets, pa.int32()),
-            pa.array(np.full(len(keys), chunk, np.int64)),
-            pa.array(np.full(len(keys), kind, np.int32)),
-            pa.array(keys, pa.binary()),
-            pa.array(sets, pa.binary()),
-        ],
-        ["bucket", "chunk", "kind", "keys", "sets"],
-    )
+            sizes = np.diff(bounds)
+            sketch = meetings.sketches(hashes, np.repeat(np.arange(len(sizes)), sizes), len(sizes), SKETCH_BITS)
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            yield from meetings.packed(chunk, buckets, ids, sizes, sketch, *signatures(hashes, bounds, scheme))
 
+    return docs.select("doc_id", "text").mapInArrow(run, meetings.PACKED)
 
-def _wide(data: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint16 if len(data) == 2 * count else np.uint32).astype(np.int64)
-
-
-def _meetings(table: pa.Table) -> pa.Table:
-    """Signatures that an index entry of one set and a probe of another share, by slice; heads pass through."""
-    chunks, kinds, buckets = table["chunk"].to_pylist(), table["kind"].to_pylist(), table["bucket"].to_pylist()
-    keys, sets = table["keys"].to_pylist(), table["sets"].to_pylist()
-    out = [(chunks[k], 0, keys[k], b"") for k in range(len(kinds)) if kinds[k] == 0]
-    rows = [k for k in range(len(kinds)) if kinds[k] == 1]
-    if rows:
-        held = [np.frombuffer(keys[k], np.uint32) for k in rows]
-        counts = np.array([len(h) for h in held])
-        node = np.concatenate([_wide(sets[k], n) + (r << 32) for r, (k, n) in enumerate(zip(rows, counts))])
-        every = np.concatenate(held)
-        order = np.argsort(every >> np.uint32(2), kind="stable")
-        short, roles, node = every[order] >> np.uint32(2), every[order] & np.uint32(3), node[order]
-        begin = np.flatnonzero(np.append(True, short[1:] != short[:-1]))
-        sizes = np.diff(np.append(begin, len(short)))
-        met = (np.bitwise_or.reduceat(roles, begin) == 3) & (np.minimum.reduceat(node, begin) != np.maximum.reduceat(node, begin))
-        hit = np.repeat(met, sizes)
-        name = (short[hit].astype(np.int64) << 24) | (buckets[0] & 0xFFFFFF)
-        node = node[hit]
-        order = np.lexsort((name, node))
-        name, node = name[order], node[order]
-        if len(name):
-            new = np.append(True, (name[1:] != name[:-1]) | (node[1:] != node[:-1]))
-            name, node = name[new], node[new]
-            row = node >> 32
-            cuts = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row))
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                out.append((chunks[rows[row[a]]], 1, name[a:b].tobytes(), (node[a:b] & 0xFFFFFFFF).astype(np.uint32).tobytes()))
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    columns = zip(*out) if out else [[]] * 4
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "kind", "keys", "sets"])
-
-
-def _members(table: pa.Table) -> pa.Table:
-    """Meetings of one slice, by document; and size and sketch of each document that meets another."""
-    kinds, keys, sets = table["kind"].to_pylist(), table["keys"].to_pylist(), table["sets"].to_pylist()
-    head = keys[kinds.index(0)]
-    width = SKETCH_BITS // 8
-    count = len(head) // (16 + width)
-    ids, sizes = np.frombuffer(head, np.int64, count), np.frombuffer(head, np.int64, count, 8 * count)
-    sketch = np.frombuffer(head, np.int64, count * width // 8, 16 * count).reshape(count, -1)
-    rows = [k for k, kind in enumerate(kinds) if kind == 1]
-    name = np.concatenate([np.frombuffer(keys[k], np.int64) for k in rows] or [np.zeros(0, np.int64)])
-    at = np.concatenate([np.frombuffer(sets[k], np.uint32) for k in rows] or [np.zeros(0, np.uint32)]).astype(np.int64)
-    some = np.unique(at)
-    none = np.zeros(len(at), np.int64)
-    columns = {"meeting": np.concatenate([name, np.full(len(some), -1)]), "doc_id": np.concatenate([ids[at], ids[some]])}
-    columns["n"] = np.concatenate([none, sizes[some]])
-    for k in range(width // 8):
-        columns[f"s{k}"] = np.concatenate([none, sketch[some, k]])
-    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
-
-
-_SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
-_MEMBERS = ", ".join(f"{c} long" for c in ["meeting", "doc_id", "n", *_SKETCH])
-
-
-def _may_link(percent: int, differ, one, two):
-    """Whether sets of these sizes can be linked although they differ in so many shingles."""
-    return differ * (100 + percent) <= (one + two) * (100 - percent)
-
-
-def _crossing(percent: int, nearest: bool):
-    """Pairs of a block that may be linked and are not yet connected; with ``nearest``, one for each set."""
-
-    def run(table: pa.Table) -> pa.Table:
-        docs, sizes, known, part = (table[c].to_numpy() for c in ("doc_id", "n", "component", "part"))
-        sketch = np.stack([table[c].to_numpy() for c in _SKETCH], axis=1)
-        apart = part.min() != part.max()
-        a, b, far = [], [], []
-        for k in range(len(docs) if known.min() != known.max() else 0):
-            differ = np.bitwise_count(sketch ^ sketch[k]).sum(axis=1, dtype=np.int64)
-            ok = _may_link(percent, differ, sizes, sizes[k]) & (known != known[k]) & (docs != docs[k])
-            if apart:
-                ok &= part != part[k]
-            at = np.flatnonzero(ok)
-            if len(at) and nearest:
-                at = at[[np.argmin(differ[at])]]
-            a.append(np.full(len(at), docs[k]))
-            b.append(docs[at])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    return run
-
-
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members of a meeting dealt to pairs of blocks of bounded size."""
-    parts = F.ceil(F.col("n_sets") / BLOCK).cast("int")
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("other")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets are linked, by exact intersection."""
-
-    def run(batches):
-        for batch in batches:
-            one, two = batch["set_a"], batch["set_b"]
-            ok = []
-            for k in range(batch.num_rows):
-                x, y = (np.frombuffer(c[k].as_buffer(), np.uint64) for c in (one, two))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Shingle sets of the wanted documents, packed."""
+def _sets(docs: DataFrame, size: int):
+    """Shingle sets of wanted documents, packed."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, bounds = shingle_sets(*ragged.column_bytes(batch["text"]), size)
         raw = hashes.tobytes()
-        packed = [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return pa.record_batch([batch["id"], pa.array(packed, pa.binary())], ["doc_id", "shingles"])
+        contents = [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return pa.record_batch([batch["item"], pa.array(contents, pa.binary())], ["item", "content"])
 
-    chosen = docs.join(wanted, "doc_id", "left_semi")
-    return map_texts(chosen, {"id": "doc_id", "text": "text"}, run, "doc_id long, shingles binary")
+    def contents(wanted: DataFrame) -> DataFrame:
+        chosen = docs.join(wanted.withColumnRenamed("item", "doc_id"), "doc_id", "left_semi")
+        return map_texts(chosen, {"item": "doc_id", "text": "text"}, run, "item long, content binary")
+
+    return contents
 
 
 def linked_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, buckets: int = 64) -> DataFrame:
-    """(a, b): verified links between (doc_id, text) rows that connect all that are linked.
+    """(a, b): verified links between (doc_id, text) rows that connect all that are linked."""
 
-    Within small meetings every link is found; in large ones, links that join
-    components, until no pair of different components may be linked.
-    """
-    met = _signature_rows(docs, "doc_id", "text", size, percent, buckets).groupBy("bucket")
-    members = written(
-        met.applyInArrow(_meetings, "chunk long, kind int, keys binary, sets binary").groupBy("chunk").applyInArrow(_members, _MEMBERS),
-        "members",
-    )
-    named = members.filter("meeting >= 0").select("meeting", "doc_id")
-    known = members.filter("meeting < 0").drop("meeting")
-    # Meetings of the very same documents are looked at once.
-    groups = named.groupBy("meeting").agg(
-        F.count("*").alias("n_sets"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
-        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"),
-    )
-    groups = groups.groupBy("n_sets", "x", "y").agg(F.min("meeting").alias("meeting")).select("meeting", "n_sets")
-    members = written(named.join(groups, "meeting").join(known, "doc_id"), "meetings")
-    small = members.filter(F.col("n_sets") <= SMALL_GROUP)
-    left, right = small.alias("l"), small.alias("r")
-    differ = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in _SKETCH), F.lit(0))
-    close = _may_link(percent, differ, F.col("l.n"), F.col("r.n"))
-    pairs = left.join(right, (F.col("l.meeting") == F.col("r.meeting")) & (F.col("l.doc_id") < F.col("r.doc_id")) & close)
-    pairs = written(pairs.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct(), "pairs")
-    large = members.filter(F.col("n_sets") > SMALL_GROUP)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("doc_id")).distinct()
-    wanted = written(wanted, "wanted").filter(F.col("doc_id").isNotNull())
-    sets = written(_sets(docs, wanted, size), "sets")
-    links = written(_verified(pairs, sets, percent), "links")
-    if large.isEmpty():
-        return links
-    for nearest in (True, True, False):
-        joined = large.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        joined = joined.withColumn("component", F.coalesce("component", "doc_id"))
-        across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(percent, nearest), "a long, b long")
-        links = links.union(written(_verified(across.distinct(), sets, percent), "links"))
-    return links
+    def linked(one: bytes, two: bytes) -> bool:
+        x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+    bound = meetings.Bound(SKETCH_BITS, 100 + percent, 100 - percent, 0)
+    return meetings.links(_rows(docs, size, percent, buckets), bound, _sets(docs, size), linked)
 
 
 def classes(

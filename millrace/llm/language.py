@@ -217,6 +217,21 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return map_texts(docs, {"id": doc_id, "text": text}, run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is not rejected."""
+
+    def run(batches):
+        for batch in ragged.slices(batches, text):
+            kept = np.zeros(batch.num_rows, bool)
+            if len(model.centroids):
+                renamed = pa.record_batch([batch[text]], ["text"])
+                for at, vectors, letters in batches_of_vectors(renamed, model.idf):
+                    kept[at] = ~model.nearest(vectors, letters)[2] & (letters > 0)
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that are never learned from: crc32 of the id as text is divisible by 5."""
     return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 5 == 0, F.lit(False))

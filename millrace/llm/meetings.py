@@ -5,10 +5,9 @@ space one row with 30 bits of every signature and the item's number in the
 slice. Items that meet are compared by a lower bound of their difference, the
 number of bits in which their parity sketches differ, and then exactly. Small
 meetings are a plain join. Large ones are cut into pairs of blocks of bounded
-size, which pass on only each item's nearest partner in another component; once
-those are verified, what may still be linked across components is looked at, so
-a large group of near copies costs about one link an item and loses none that
-connects.
+size, which pass on only each item's few nearest partners; once those are
+verified, what may still be linked across components is looked at, so a large
+group of near copies costs a few links an item and loses none that connects.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ from millrace.llm.frames import written
 # Items in a meeting that are compared by a plain join, and the size of blocks beyond.
 SMALL_GROUP = 24
 BLOCK = 1500
+# Partners of an item that a block passes on at first.
+NEAREST = 4
 INDEX, PROBE = 1, 2
 PACKED = "bucket int, chunk long, kind int, keys binary, items binary, tags binary"
 _NAMES = ["bucket", "chunk", "kind", "keys", "items", "tags"]
@@ -156,7 +157,7 @@ def _members(bits: int):
 
 
 def _crossing(bound: Bound, nearest: bool):
-    """Pairs of a block that may be linked and are not yet connected; with ``nearest``, one for each item."""
+    """Pairs of a block that may be linked and are not yet connected; with ``nearest``, a few for each item."""
 
     def run(table: pa.Table) -> pa.Table:
         items, sizes, known, part = (table[c].to_numpy() for c in ("item", "n", "component", "part"))
@@ -171,8 +172,8 @@ def _crossing(bound: Bound, nearest: bool):
             if apart:
                 ok &= part != part[k]
             at = np.flatnonzero(ok)
-            if len(at) and nearest:
-                at = at[[np.argmin(differ[at])]]
+            if nearest and len(at) > NEAREST:
+                at = at[np.argpartition(differ[at], NEAREST)[:NEAREST]]
             a.append(np.full(len(at), items[k]))
             b.append(items[at])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
@@ -239,9 +240,11 @@ def links(
     found = written(_verified(pairs, held, linked), "links")
     if large.isEmpty():
         return found
-    for nearest in (True, True, False):
-        joined = large.join(components(found).withColumnRenamed("node", "item"), "item", "left")
-        joined = joined.withColumn("component", F.coalesce("component", "item"))
+    for nearest in (True, False):
+        joined = large.withColumn("component", F.col("item"))
+        if not nearest:
+            known = components(found).select(F.col("node").alias("item"), "component")
+            joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
         across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, nearest), "a long, b long")
         found = found.union(written(_verified(across.distinct(), held, linked), "links"))
     return found

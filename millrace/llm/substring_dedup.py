@@ -34,6 +34,8 @@ WINDOW = 50
 WORDS_PER_BUCKET = 250_000
 # Bytes of text of one slice of the second step.
 SLICE_BYTES = 4 << 20
+# Bytes of text of one slice of probes; larger slices repeat fewer hashes.
+PROBE_BYTES = 8 << 20
 _ROLL = (0x9FB21C651E98DF25, 0xC6A4A7935BD1E995, 0x8EBC6AF09C88C6E3)
 _PROBES = "bucket int, chunk long, kind int, keys binary, places binary"
 
@@ -68,7 +70,7 @@ def _probes(docs: DataFrame, doc_id: str, text: str, block: int, buckets: int) -
 
     def run(batches):
         chunk = _chunk_ids()
-        for batch in ragged.slices(batches, "text"):
+        for batch in ragged.slices(batches, "text", PROBE_BYTES):
             own = next(chunk)
             buf, offsets = ragged.column_bytes(batch["text"])
             starts, ends, firsts = ragged.words(buf, offsets)
@@ -386,3 +388,39 @@ def digests_after(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("copy"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without repeated words; what stands between kept words stays as it is.
+
+    Rows of which every word goes are left out.
+    """
+    flagged, changed = repeats(docs, doc_id, text, window)
+    whole = F.array(F.array(F.lit(0), F.col("n_words").cast("int")))
+    gone = changed.select("doc_id", "sha", "spans").union(flagged.filter("copy").select("doc_id", "sha", whole.alias("spans")).distinct())
+    gone = gone.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("sha", "spans")).alias("_gone"))
+    joined = docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("_of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_gone")
+
+    def run(batches):
+        for batch in ragged.slices(batches, text):
+            buf, offsets = ragged.column_bytes(batch[text])
+            starts, _, firsts = ragged.words(buf, offsets)
+            raw, texts, kept = buf.tobytes(), batch[text].to_pylist(), np.ones(batch.num_rows, bool)
+            for k, known in enumerate(batch["_gone"].to_pylist()):
+                if known is None:
+                    continue
+                own = raw[offsets[k] : offsets[k + 1]]
+                sha = hashlib.sha256(b" ".join(own.split())).hexdigest()
+                spans = next((x["spans"] for x in known if x["sha"] == sha), [])
+                begins = np.append(starts[firsts[k] : firsts[k + 1]] - offsets[k], len(own)).tolist()
+                parts, at = [], 0
+                for first, end in spans:
+                    parts.append(own[at : begins[first]])
+                    at = begins[end]
+                left = b"".join([*parts, own[at:]])
+                texts[k] = left.decode("utf-8")
+                kept[k] = bool(left.split()) or not own.split()
+            columns = [pa.array(texts, batch[name].type) if name == text else batch[name] for name in docs.columns]
+            yield pa.record_batch(columns, docs.columns).filter(pa.array(kept))
+
+    return joined.mapInArrow(run, docs.schema)
