@@ -268,4 +268,5 @@ def classes(
     again = again.join(settled.withColumnRenamed("doc_id", "a"), "a", "left_anti")
     found = components(links.union(again))
     joined = flagged.join(found.withColumnRenamed("node", "first"), "first", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"))

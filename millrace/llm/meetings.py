@@ -161,7 +161,7 @@ def _crossing(bound: Bound, nearest: bool):
 
     def run(table: pa.Table) -> pa.Table:
         items, sizes, known, part = (table[c].to_numpy() for c in ("item", "n", "component", "part"))
-        sketch = np.stack([table[c].to_numpy() for c in _parts(bound.bits)], axis=1)
+        sketch = np.stack([table[c].to_numpy() for c in _parts(bound.bits)], axis=1).view(np.uint64)
         apart = part.min() != part.max()
         a, b = [], []
         for k in range(len(items) if known.min() != known.max() else 0):

@@ -400,6 +400,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     gone = changed.select("doc_id", "sha", "spans").union(flagged.filter("copy").select("doc_id", "sha", whole.alias("spans")).distinct())
     gone = gone.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("sha", "spans")).alias("_gone"))
     joined = docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("_of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_gone")
+    names = docs.columns
 
     def run(batches):
         for batch in ragged.slices(batches, text):
@@ -420,7 +421,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
                 left = b"".join([*parts, own[at:]])
                 texts[k] = left.decode("utf-8")
                 kept[k] = bool(left.split()) or not own.split()
-            columns = [pa.array(texts, batch[name].type) if name == text else batch[name] for name in docs.columns]
-            yield pa.record_batch(columns, docs.columns).filter(pa.array(kept))
+            columns = [pa.array(texts, batch[name].type) if name == text else batch[name] for name in names]
+            yield pa.record_batch(columns, names).filter(pa.array(kept))
 
     return joined.mapInArrow(run, docs.schema)

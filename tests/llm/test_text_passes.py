@@ -76,7 +76,7 @@ def plain_signals(text):
 
 def quality_rows():
     rng = random.Random(11)
-    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
     prose = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (10, 49, 50, 200, 3000)]
     noise = " ".join("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(8)) for _ in range(900))
     lines = "\n".join(["one two three", "four", "", "four", " ", "one two three", "é#*$|<>"])
