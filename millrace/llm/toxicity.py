@@ -32,8 +32,10 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
-# Costs of the channel, in nats.
-AS_LETTER, DROPPED, DROPPED_AT_EDGE, SHORTENED, HALVED, BROKEN = 1.5, 1.0, 0.2, 0.3, 2.5, 1.0
+# Costs of the channel, in nats. A digit or a symbol within or before a word hardly ever means nothing,
+# since leaving it out also saves what the character model asks for a letter.
+AS_LETTER, SHORTENED, HALVED, BROKEN, PARTED, JOINED = 1.0, 0.3, 4.0, 1.0, 3.0, 0.5
+DROPPED, DROPPED_AT_EDGE, LETTER_DROPPED, SYMBOL_AFTER, SYMBOLS_AFTER = 1.0, 0.2, 8.0, 3.0, 1.0
 # Symbols of the character model: 0 is the border of a word, 1-26 a-z, then the accented letters of Latin-1, then any other.
 SYMBOLS = 64
 REMEMBERED = 300_000
@@ -168,7 +170,7 @@ class Restorer:
         logs = self.logs
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         for n, (char, times) in enumerate(runs):
-            options = _options(char, times, n == 0 or n == len(runs) - 1)
+            options = _options(char, times, _place(n, len(runs)))
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (x, y), (score, path) in states.items():
                 for letters, cost in options:
@@ -191,8 +193,8 @@ class Restorer:
 
 
 @lru_cache(maxsize=100_000)
-def _options(char: str, times: int, edge: bool) -> tuple[tuple[str, float], ...]:
-    """Readings of a run of one character, each with its cost."""
+def _options(char: str, times: int, place: str) -> tuple[tuple[str, float], ...]:
+    """Readings of a run of one character ``first``, ``inside`` or ``last`` in its word, each with its cost."""
     if _tables()[0][ord(char)]:
         if times == 1:
             return ((char, 0.0),)
@@ -201,17 +203,28 @@ def _options(char: str, times: int, edge: bool) -> tuple[tuple[str, float], ...]
         return ((char, SHORTENED), (char * 2, SHORTENED))
     if char == " ":
         # Single letters in a row: the blank falls away or parts two words.
-        return (("", 0.5), (" ", BROKEN))
-    out = [("", DROPPED_AT_EDGE if edge else DROPPED)]
-    if not edge:
-        out.append((" ", BROKEN))
-    for letter in LOOKS_LIKE.get(char, ""):
+        return (("", JOINED), (" ", PARTED))
+    letters = LOOKS_LIKE.get(char, "")
+    if not letters:
+        dropped = DROPPED if place == "inside" else DROPPED_AT_EDGE
+    elif place == "last" and not char.isdigit():
+        dropped = SYMBOL_AFTER if times == 1 else SYMBOLS_AFTER
+    else:
+        dropped = LETTER_DROPPED
+    out = [("", dropped)]
+    if place == "inside":
+        out.append((" ", BROKEN + (LETTER_DROPPED if letters else 0)))
+    for letter in letters:
         out.append((letter, AS_LETTER + (SHORTENED if times > 1 else 0)))
         if times > 1:
             out.append((letter * 2, AS_LETTER + SHORTENED))
     return tuple(out)
 
 
+def _place(n: int, runs: int) -> str:
+    return "first" if n == 0 else "last" if n == runs - 1 else "inside"
+
+
 def restored_words(words: Words, restorer: Restorer) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-case letters of all different restored words with bounds, and for every text its words.
 

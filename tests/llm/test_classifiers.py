@@ -106,8 +106,8 @@ def test_viterbi_is_the_best_path(judge):
             if k and word[k - 1] == char:
                 continue
             times = 2 if word[k : k + 2] == char * 2 else 1
-            edge = k == 0 or k + times == len(word)
-            paths = [(p + x, c + y) for p, c in paths for x, y in toxicity._options(char, times, edge)]
+            place = "first" if k == 0 else "last" if k + times == len(word) else "inside"
+            paths = [(p + x, c + y) for p, c in paths for x, y in toxicity._options(char, times, place)]
         best = max(total(p, c) for p, c in paths)
         found = [p for p, c in paths if total(p, c) > best - 1e-6]
         assert " ".join(restorer.restore(word)) in {" ".join(p.split()) for p in found}
