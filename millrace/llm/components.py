@@ -8,10 +8,13 @@ with map-side combine and joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace.llm.frames import written
 
+# Links in one file of the table that a round leaves behind.
+LINKS_PER_FILE = 200_000
+
 
 def components(links: DataFrame, left: str = "a", right: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has a link; ``component`` is its smallest reachable node.
@@ -20,11 +23,10 @@ def components(links: DataFrame, left: str = "a", right: str = "b", rounds: int
     count for nothing. An empty table gives an empty result.
     """
     ends = links.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b"))
-    edges = written(ends.filter(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col("a") < F.col("b"))).distinct(), "links")
-    seen = _state(edges)
+    ends = ends.filter(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col("a") < F.col("b"))).distinct()
+    edges, seen = _kept(ends, None)
     for _ in range(rounds):
-        edges = written(_small_star(_large_star(edges)), "stars")
-        state = _state(edges)
+        edges, state = _kept(_small_star(_large_star(edges)), seen["n"])
         if state == seen:
             break
         seen = state
@@ -34,15 +36,19 @@ def components(links: DataFrame, left: str = "a", right: str = "b", rounds: int
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
 
 
-def _state(edges: DataFrame):
-    # Two sums of hashes tell whether the links are still the same.
-    return tuple(
-        edges.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")),
-            F.sum(F.hash("b", "a").cast("long")),
-        ).first()
+def _kept(edges: DataFrame, before: int | None) -> tuple[DataFrame, dict]:
+    """The links written, and their number and two sums of hashes, which tell whether they are still the same."""
+    seen = Observation()
+    watched = edges.observe(
+        seen,
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("x"),
+        F.sum(F.hash("b", "a").cast("long")).alias("y"),
     )
+    # Stars have no more links than the round before, so as many files will do.
+    if before is not None:
+        watched = watched.coalesce(before // LINKS_PER_FILE + 1)
+    return written(watched, "stars"), seen.get
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
