@@ -14,7 +14,7 @@ from millrace.llm.ragged import slices
 from millrace.operators.layout import written
 from millrace.session import configure
 
-__all__ = ["map_texts", "named_inside", "prepared", "written"]
+__all__ = ["map_texts", "named_inside", "only_wanted", "prepared", "written"]
 
 
 SETTINGS = {
@@ -48,6 +48,16 @@ def named_inside(label: str) -> str:
     return f"_{label}_{uuid.uuid4().hex[:8]}"
 
 
+def only_wanted(docs: DataFrame, wanted: DataFrame, how: str = "inner", on: str = "doc_id") -> DataFrame:
+    """Join documents with a written table of the wanted ones.
+
+    The comparison, which every id passes, tells Spark that the table is a
+    selection, so that it may filter documents by a Bloom filter of the ids
+    before it shuffles their texts.
+    """
+    return docs.join(wanted.filter(F.col(on) >= F.lit(-(2**63)).cast("long")), on, how)
+
+
 def map_texts(
     df: DataFrame,
     columns: dict[str, str],

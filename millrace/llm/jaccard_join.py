@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import meetings, ragged
 from millrace.llm.components import components
-from millrace.llm.frames import map_texts, written
+from millrace.llm.frames import map_texts, only_wanted, written
 
 SHINGLE = 5
 # Linked: 100 * intersection >= PERCENT * union.
@@ -220,7 +220,7 @@ def _sets(docs: DataFrame, size: int):
         return pa.record_batch([batch["item"], pa.array(contents, pa.binary())], ["item", "content"])
 
     def contents(wanted: DataFrame) -> DataFrame:
-        chosen = docs.join(wanted.withColumnRenamed("item", "doc_id"), "doc_id", "left_semi")
+        chosen = only_wanted(docs, wanted.withColumnRenamed("item", "doc_id"), "left_semi")
         return map_texts(chosen, {"item": "doc_id", "text": "text"}, run, "item long, content binary")
 
     return contents

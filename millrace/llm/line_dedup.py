@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import meetings, ragged
 from millrace.llm.components import components
-from millrace.llm.frames import map_texts, written
+from millrace.llm.frames import map_texts, only_wanted, written
 
 # Edits within which lines are near copies.
 EDITS = 3
@@ -202,7 +202,7 @@ def _texts(docs: DataFrame, occurrences: DataFrame):
     def contents(wanted: DataFrame) -> DataFrame:
         where = occurrences.join(wanted.withColumnRenamed("item", "one"), "one", "left_semi")
         where = where.groupBy("one").agg(F.min("doc_id").alias("doc_id"))
-        where = written(where.groupBy("doc_id").agg(F.collect_set("one").alias("names")), "where").filter(F.col("doc_id").isNotNull())
+        where = written(where.groupBy("doc_id").agg(F.collect_set("one").alias("names")), "where")
 
         def run(batches):
             for batch in ragged.slices(batches, "text"):
@@ -219,7 +219,7 @@ def _texts(docs: DataFrame, occurrences: DataFrame):
                         texts.append(raw[starts[n] : ends[n]])
                 yield pa.record_batch([pa.array(items, pa.int64()), pa.array(texts, pa.binary())], ["item", "content"])
 
-        chosen = docs.join(where, "doc_id").select("text", "names")
+        chosen = only_wanted(docs, where).select("text", "names")
         return chosen.mapInArrow(run, "item long, content binary").dropDuplicates(["item"])
 
     return contents

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.components import components
 from millrace.llm.frames import written
@@ -25,8 +25,9 @@ from millrace.llm.frames import written
 # Items in a meeting that are compared by a plain join, and the size of blocks beyond.
 SMALL_GROUP = 24
 BLOCK = 1500
-# Partners of an item that a block passes on at first.
-NEAREST = 4
+# Partners of an item that a block passes on at first, and the meetings of an item that are looked at for them.
+NEAREST = 2
+FIRST_MEETINGS = 2
 INDEX, PROBE = 1, 2
 PACKED = "bucket int, chunk long, kind int, keys binary, items binary, tags binary"
 _NAMES = ["bucket", "chunk", "kind", "keys", "items", "tags"]
@@ -235,14 +236,18 @@ def links(
     pairs = written(pairs.select(F.col("l.item").alias("a"), F.col("r.item").alias("b")).distinct(), "pairs")
     large = members.filter(F.col("n_items") > SMALL_GROUP)
     wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(large.select("item")).distinct()
-    wanted = written(wanted, "wanted").filter(F.col("item").isNotNull())
+    wanted = written(wanted, "wanted")
     held = written(contents(wanted), "contents")
     found = written(_verified(pairs, held, linked), "links")
     if large.isEmpty():
         return found
+    largest = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting"))
     for nearest in (True, False):
-        joined = large.withColumn("component", F.col("item"))
-        if not nearest:
+        if nearest:
+            # These links need not be complete, so an item's largest meetings will do.
+            joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
+            joined = joined.withColumn("component", F.col("item"))
+        else:
             known = components(found).select(F.col("node").alias("item"), "component")
             joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
         across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, nearest), "a long, b long")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import ragged
-from millrace.llm.frames import map_texts, written
+from millrace.llm.frames import map_texts, only_wanted, written
 
 WINDOW = 50
 # Words that one part of the hash space receives on average.
@@ -296,9 +296,9 @@ def repeats(
     )
     flagged = written(flagged, "copies")
     settled = flagged.groupBy("doc_id").agg(F.min("copy").alias("copy")).filter("copy").select("doc_id")
-    marks = anchored(docs, doc_id, text, window, buckets).join(settled, "doc_id", "left_anti")
+    marks = written(anchored(docs, doc_id, text, window, buckets).join(settled, "doc_id", "left_anti"), "marks")
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    joined = texts.join(marks.hint("shuffle_hash"), "doc_id")
+    joined = only_wanted(texts, marks)
 
     def gathered(batches):
         chunk = _chunk_ids()
