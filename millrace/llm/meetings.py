@@ -5,7 +5,7 @@ space one row with 30 bits of every signature and the item's number in the
 slice. Items that meet are compared by a lower bound of their difference, the
 number of bits in which their parity sketches differ, and then exactly. Small
 meetings are a plain join. Large ones are cut into pairs of blocks of bounded
-size, which pass on only each item's few nearest partners; once those are
+size, which pass on only each item's hub and its nearest partner; once those are
 verified, what may still be linked across components is looked at, so a large
 group of near copies costs a few links an item and loses none that connects.
 """
@@ -24,9 +24,9 @@ from millrace.llm.frames import written
 
 # Items in a meeting that are compared by a plain join, and the size of blocks beyond.
 SMALL_GROUP = 24
-BLOCK = 1500
-# Partners of an item that a block passes on at first, and the meetings of an item that are looked at for them.
-NEAREST = 2
+BLOCK = 1000
+# Hubs of a block at first, and the meetings of an item that are looked at for them.
+HUBS = 64
 FIRST_MEETINGS = 2
 INDEX, PROBE = 1, 2
 PACKED = "bucket int, chunk long, kind int, keys binary, items binary, tags binary"
@@ -157,33 +157,60 @@ def _members(bits: int):
     return run
 
 
-def _crossing(bound: Bound, nearest: bool):
-    """Pairs of a block that may be linked and are not yet connected; with ``nearest``, a few for each item."""
+def _crossing(bound: Bound, first: bool):
+    """Pairs of a block that may be linked and are not yet connected.
+
+    At ``first``, few of them: hubs are chosen that most others may be linked
+    with, and every item gets its hub and its nearest partner.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         items, sizes, known, part = (table[c].to_numpy() for c in ("item", "n", "component", "part"))
         sketch = np.stack([table[c].to_numpy() for c in _parts(bound.bits)], axis=1).view(np.uint64)
-        apart = part.min() != part.max()
-        a, b = [], []
-        for k in range(len(items) if known.min() != known.max() else 0):
-            differ = np.bitwise_count(sketch ^ sketch[k]).sum(axis=1, dtype=np.int64)
-            ok = bound.fits(differ, sizes, sizes[k]) & (known != known[k]) & (items != items[k])
-            if bound.sizes is not None:
-                ok &= np.abs(sizes - sizes[k]) <= bound.sizes
-            if apart:
-                ok &= part != part[k]
-            at = np.flatnonzero(ok)
-            if nearest and len(at) > NEAREST:
-                at = at[np.argpartition(differ[at], NEAREST)[:NEAREST]]
-            a.append(np.full(len(at), items[k]))
-            b.append(items[at])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        count = len(items)
+        pairs = np.zeros((0, 2), np.int64)
+        if known.min() != known.max():
+            ok, nearest = np.zeros((count, count), bool), np.full(count, -1)
+            for k in range(count):
+                differ = np.bitwise_count(sketch ^ sketch[k]).sum(axis=1, dtype=np.int64)
+                row = bound.fits(differ, sizes, sizes[k]) & (known != known[k]) & (items != items[k])
+                if bound.sizes is not None:
+                    row &= np.abs(sizes - sizes[k]) <= bound.sizes
+                ok[k] = row
+                if row.any():
+                    nearest[k] = np.where(row, differ, 2**40).argmin()
+            if part.min() != part.max():
+                ok &= part[:, None] != part[None, :]
+            if first:
+                a, b = _by_hubs(ok)
+                own = np.flatnonzero((nearest >= 0) & ok[np.arange(count), nearest])
+                a, b = np.concatenate([a, own]), np.concatenate([b, nearest[own]])
+            else:
+                a, b = np.nonzero(np.triu(ok))
+            one, two = items[a], items[b]
+            pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], axis=1), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     return run
 
 
+def _by_hubs(ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each item with the hub that covers it; hubs are taken by the number of items that they still cover."""
+    open_items = ok.any(axis=1)
+    a, b = [], []
+    for _ in range(HUBS):
+        gain = ok[open_items].sum(axis=0) if open_items.any() else np.zeros(1)
+        if gain.max() < 2:
+            break
+        hub = int(gain.argmax())
+        covered = np.flatnonzero(ok[hub] & open_items)
+        a.append(covered)
+        b.append(np.full(len(covered), hub))
+        open_items[covered] = open_items[hub] = False
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Members of a meeting dealt to pairs of blocks of bounded size."""
     parts = F.ceil(F.col("n_items") / BLOCK).cast("int")
@@ -242,14 +269,14 @@ def links(
     if large.isEmpty():
         return found
     largest = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting"))
-    for nearest in (True, False):
-        if nearest:
+    for first in (True, False):
+        if first:
             # These links need not be complete, so an item's largest meetings will do.
             joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
             joined = joined.withColumn("component", F.col("item"))
         else:
             known = components(found).select(F.col("node").alias("item"), "component")
             joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
-        across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, nearest), "a long, b long")
+        across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, first), "a long, b long")
         found = found.union(written(_verified(across.distinct(), held, linked), "links"))
     return found
