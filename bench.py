@@ -15,7 +15,7 @@ import time
 from pyspark.sql import functions as F
 
 from millrace.checks import QUERIES
-from millrace.operators.joins import small_or_shuffled
+from millrace.operators.joins import hinted_if_small
 from millrace.session import build_session
 from millrace.sources.readers import generated_facts
 from millrace.sources.tables import Tables
@@ -39,7 +39,7 @@ def baseline(spark):
         F.col("r_regionkey").alias("branch_id"), F.col("r_name").alias("branch_name")
     )
     facts = generated_facts(spark, 2_000_000, 5)
-    broadcast = facts.join(small_or_shuffled(branches), "branch_id")
+    broadcast = facts.join(hinted_if_small(branches), "branch_id")
     merged = facts.join(branches.hint("merge"), "branch_id")
 
     def per_branch(joined):

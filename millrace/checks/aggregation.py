@@ -15,9 +15,10 @@ _REVENUE = (
 )
 
 
-@check("agg_total", f"SELECT {_PRICE_SUM} AS total FROM lineitem")
+@check("agg_total", f"SELECT {_PRICE_SUM} AS total, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.125) AS DOUBLE) AS eighth FROM lineitem")
 def agg_total(t):
-    return t.lineitem.agg(total("l_extendedprice").alias("total"))
+    # An eighth of a price in cents has up to five decimals.
+    return t.lineitem.agg(total("l_extendedprice").alias("total"), total(F.col("l_extendedprice") * 0.125).alias("eighth"))
 
 
 @check(
@@ -28,7 +29,7 @@ def agg_total(t):
     FROM lineitem GROUP BY 1""",
 )
 def sum_by_key(t):
-    weighted = units("l_quantity") * units("l_extendedprice")
+    weighted = units("l_quantity", 2) * units("l_extendedprice", 2)
     return t.lineitem.groupBy("l_partkey").agg(
         total("l_extendedprice").alias("revenue"),
         total_units(weighted, 4).cast("double").alias("weighted"),
@@ -209,7 +210,7 @@ def ratio_measure(t):
     grouped = t.orders.groupBy("o_orderpriority").agg(
         total("o_totalprice").alias("revenue"), F.count_distinct("o_custkey").alias("customers")
     )
-    ratio = (F.col("revenue") / F.col("customers")).alias("revenue_per_customer")
+    ratio = F.try_divide("revenue", F.col("customers").cast("double")).alias("revenue_per_customer")
     return grouped.select("o_orderpriority", ratio)
 
 

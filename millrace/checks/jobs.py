@@ -59,7 +59,7 @@ def revenue_by_city(t):
 
 
 def _enriched(t):
-    orders, _ = shop.clean_orders(roles.order_lines(t))
+    orders, *_ = shop.clean_orders(roles.order_lines(t))
     return shop.enriched_orders(orders, roles.shop_products(t), roles.shop_customers(t))
 
 

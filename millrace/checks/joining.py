@@ -136,6 +136,7 @@ def join_broadcast(t):
         F.col("n_name").alias("branch_name"),
         F.col("r_name").alias("state"),
     )
+    branches = joins.hinted_if_small(branches)
     fact = joins.match(t.orders, t.customer, {"o_custkey": "c_custkey"}).select(
         F.col("c_nationkey").alias("branch_id"), F.col("o_totalprice").alias("amount")
     )
@@ -151,13 +152,14 @@ def join_broadcast(t):
     GROUP BY 1""",
 )
 def join_broadcast_sql(t):
-    # Nation and region are fixed lists of 25 and 5 rows.
+    small = [name for name, frame in (("n", t.nation), ("r", t.region)) if joins.is_small(frame)]
+    hint = f"/*+ BROADCAST({', '.join(small)}) */" if small else ""
     return t.spark.sql(
-        """
-        SELECT /*+ BROADCAST(n), BROADCAST(r) */ r.r_name AS state, count(*) AS suppliers,
+        f"""
+        SELECT {hint} r.r_name AS state, count(*) AS suppliers,
                CAST(sum(CAST(s.s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
-        FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey
-             JOIN {region} r ON n.n_regionkey = r.r_regionkey
+        FROM {{supplier}} s JOIN {{nation}} n ON s.s_nationkey = n.n_nationkey
+             JOIN {{region}} r ON n.n_regionkey = r.r_regionkey
         GROUP BY r.r_name""",
         supplier=t.supplier,
         nation=t.nation,
@@ -190,8 +192,11 @@ def range_modulo_join(t):
          LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def join_chain(t):
-    ordered = joins.keep_all(t.customer, t.orders, {"c_custkey": "o_custkey"})
-    paid = joins.keep_all(ordered, t.lineitem, {"o_orderkey": "l_orderkey"})
+    # A customer without orders has no lines either, so only matched rows are joined on.
+    ordered = joins.match(t.customer, t.orders, {"c_custkey": "o_custkey"})
+    idle = joins.without_partner(t.customer, t.orders, {"c_custkey": "o_custkey"})
+    paid = ordered.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    paid = paid.unionByName(idle, allowMissingColumns=True)
     status = F.coalesce("l_returnflag", F.lit(rules.NO_PAYMENT)).alias("status")
     return paid.select("c_custkey", "o_orderkey", "l_linenumber", status)
 

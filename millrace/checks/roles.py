@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.plans import bookings
 from millrace.sources.tables import Tables
 
 
@@ -38,11 +39,7 @@ ORDER_FIELDS_SQL = """
 
 
 def _order_rows(t: Tables) -> DataFrame:
-    lines = t.wide(
-        "lineitem",
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag",
-    )
-    return lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def order_lines(t: Tables) -> DataFrame:
@@ -76,10 +73,10 @@ TRANSACTIONS_SQL = """
              CASE WHEN o_custkey % 97 = 0 THEN NULL WHEN o_custkey % 89 = 0 THEN ' '
                   WHEN o_custkey % 83 = 0 THEN concat('X', o_custkey)
                   ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
-             CASE WHEN l_partkey % 79 = 0 THEN 'P99' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+             CASE WHEN l_partkey % 79 = 0 THEN 'no-such-part' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
              CASE WHEN l_partkey % 73 = 0 THEN '0' WHEN l_partkey % 71 = 0 THEN 'abc'
                   ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS qty,
-             CASE WHEN l_partkey % 67 = 0 THEN 'not-a-date'
+             CASE WHEN l_partkey % 67 = 0 THEN 'spring'
                   ELSE strftime(l_shipdate, '%Y-%m-%d') END AS txn_date,
              CASE WHEN o_orderstatus = 'F' THEN 'PAID' WHEN o_orderstatus = 'O' THEN 'FAILED' END
                AS payment_status
@@ -99,12 +96,12 @@ def raw_transactions(t: Tables) -> DataFrame:
         .when(customer % 83 == 0, F.concat(F.lit("X"), customer))
         .otherwise(customer.cast("string"))
         .alias("customer_id"),
-        F.when(part % 79 == 0, "P99").otherwise(part.cast("string")).alias("product_id"),
+        F.when(part % 79 == 0, "no-such-part").otherwise(part.cast("string")).alias("product_id"),
         F.when(part % 73 == 0, "0")
         .when(part % 71 == 0, "abc")
         .otherwise(F.col("l_quantity").cast("long").cast("string"))
         .alias("qty"),
-        F.when(part % 67 == 0, "not-a-date")
+        F.when(part % 67 == 0, "spring")
         .otherwise(F.col("l_shipdate").cast("date").cast("string"))
         .alias("txn_date"),
         F.when(F.col("o_orderstatus") == "F", "PAID")
@@ -246,25 +243,29 @@ def risk_transactions(t: Tables) -> DataFrame:
 # --- bookings ---------------------------------------------------------------
 
 BOOKINGS_SQL = """
-      SELECT CAST(user_id AS VARCHAR) AS booking_id, CAST(event_id % 28 AS VARCHAR) AS item_id,
-             event_id % 5 + 1 AS seats, CASE event_type WHEN 'error' THEN 'CANCEL' ELSE 'BOOK' END AS action,
-             ts AS event_time, event_id
-      FROM events
-      WHERE event_type IN ('purchase', 'signup', 'error')
-        AND CAST(event_id % 28 AS VARCHAR) IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation)"""
+      SELECT * FROM (
+        SELECT CAST(user_id AS VARCHAR) AS booking_id, CAST(event_id % 28 AS VARCHAR) AS item_id,
+               event_id % 5 + 1 AS seats,
+               CASE WHEN event_type = 'error' THEN 'CANCEL' WHEN event_type IN ('purchase', 'signup') THEN 'BOOK'
+                    ELSE upper(event_type) END AS action,
+               ts AS event_time, event_id
+        FROM events)
+      WHERE action IN ('BOOK', 'CANCEL') AND item_id IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation)"""
 
 
 def booking_events(events: DataFrame) -> DataFrame:
-    """Events as bookings: errors cancel, purchases and sign-ups book."""
-    acting = events.filter(F.col("event_type").isin("purchase", "signup", "error"))
-    return acting.select(
+    """Events as bookings: errors cancel, purchases and sign-ups book; the rest are actions that no booking knows."""
+    kind = F.col("event_type")
+    action = F.when(kind == "error", "CANCEL").when(kind.isin("purchase", "signup"), "BOOK").otherwise(F.upper(kind))
+    mapped = events.select(
         F.col("user_id").cast("string").alias("booking_id"),
         (F.col("event_id") % 28).cast("string").alias("item_id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("seats"),
-        F.when(F.col("event_type") == "error", "CANCEL").otherwise("BOOK").alias("action"),
+        action.alias("action"),
         F.col("ts").alias("event_time"),
         "event_id",
     )
+    return bookings.known_actions(mapped)
 
 
 def inventory(t: Tables) -> DataFrame:

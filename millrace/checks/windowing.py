@@ -17,7 +17,7 @@ _BY_PRICE = windows.Track(
 _BY_DATE = windows.Track(
     keys=["o_custkey"],
     order="o_orderdate",
-    bucket="o_orderdate",
+    bucket="concat(cast(o_orderdate AS STRING), '|', lpad(cast(o_orderkey div 1000000 AS STRING), 13, '0'))",
     tiebreak=["o_orderkey"],
 )
 # Parts per type by size: many equal sizes, so ranks have real ties.

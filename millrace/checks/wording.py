@@ -17,7 +17,7 @@ from millrace.plans import reports, shop
     GROUP BY 1""",
 )
 def word_count(t):
-    return text.word_counts(t.wide("documents", "text"))
+    return text.word_counts(t.documents.select("text"))
 
 
 @check(
@@ -28,7 +28,7 @@ def word_count(t):
     GROUP BY 1""",
 )
 def word_count_lower(t):
-    return text.word_counts(t.wide("conversations", "text"), lower=True)
+    return text.word_counts(t.conversations.select("text"), lower=True)
 
 
 _CLEAN = r"""
@@ -38,7 +38,7 @@ _CLEAN = r"""
 
 @check("word_count_clean", f"SELECT word, count(*) AS n FROM ({_CLEAN}) WHERE word <> '' GROUP BY 1")
 def word_count_clean(t):
-    return text.word_counts(t.wide("documents", "text"), clean=True)
+    return text.word_counts(t.documents.select("text"), clean=True)
 
 
 @check(
@@ -49,7 +49,7 @@ def word_count_clean(t):
     ORDER BY n DESC, word LIMIT 10""",
 )
 def top_words(t):
-    return reports.top_words(t.wide("documents", "text"))
+    return reports.top_words(t.documents.select("text"))
 
 
 @check(

@@ -1,10 +1,14 @@
 """Exact sums of amounts stored as doubles.
 
 Double sums depend on the order of addition, which no cluster fixes. Amounts
-with a known number of decimals are summed as whole units (cents) instead.
-Long arithmetic stays in generated code and is about ten times faster than
+with a known number of decimals are summed as whole units instead. Long
+arithmetic stays in generated code and is about ten times faster than
 decimals. Each unit count is summed in two parts, so no sum can overflow below
 some trillions of rows.
+
+Nothing is rounded away: an amount with more decimals than the ``scale`` of the
+call fails the query and names the amount. NaN and infinities have the result
+of a plain sum where the sum is a double, and fail where it is a decimal.
 """
 
 from __future__ import annotations
@@ -14,60 +18,77 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 _LOW_BITS = 20
+# Decimals of an amount unless a call names another number.
+DECIMALS = 6
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def units(value: Column | str, scale: int = 2) -> Column:
+def _finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value.cast("double")) < F.lit(float("inf")))
+
+
+def units(value: Column | str, scale: int = DECIMALS) -> Column:
     """An amount as a whole number of its smallest unit."""
-    return F.rint(_col(value) * F.lit(float(10**scale))).cast("long")
+    exact = _col(value).cast("double") * F.lit(float(10**scale))
+    whole = F.rint(exact)
+    # A double carries some 16 digits: what is left of the last ones is not a decimal.
+    sound = F.abs(exact - whole) <= F.lit(1e-3) + F.abs(exact) * F.lit(2.0**-50)
+    message = F.concat(F.lit(f"amount is not finite or has more than {scale} decimals: "), _col(value).cast("string"))
+    return F.when(exact.isNull(), F.lit(None)).when(sound, whole.cast("long")).otherwise(F.raise_error(message).cast("long"))
 
 
-def total_units(unit_count: Column, scale: int = 2) -> Column:
+def total_units(unit_count: Column, scale: int) -> Column:
     """Exact sum of whole units, as a decimal amount."""
     high = F.sum(F.shiftright(unit_count, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(unit_count.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("long"))).cast("decimal(20,0)")
     return (high * F.lit(Decimal(1 << _LOW_BITS)) + low) * F.lit(Decimal(1).scaleb(-scale))
 
 
-def exact_total(value: Column | str, scale: int = 2) -> Column:
+def exact_total(value: Column | str, scale: int = DECIMALS) -> Column:
     """Exact sum of an amount, as a decimal."""
     return total_units(units(value, scale), scale)
 
 
-def total(value: Column | str, scale: int = 2) -> Column:
-    """Exact sum of an amount, as a double."""
-    return exact_total(value, scale).cast("double")
+def total(value: Column | str, scale: int = DECIMALS) -> Column:
+    """Exact sum of an amount, as a double; NaN or infinite if a plain sum is."""
+    amount = _col(value)
+    odd = F.sum(F.when(~_finite(amount), amount.cast("double")))
+    return F.coalesce(odd, exact_total(F.when(_finite(amount), amount), scale).cast("double"))
+
+
+def mean(value: Column | str, scale: int = DECIMALS) -> Column:
+    """Exact sum divided once by the number of non-null values; NULL if there is none."""
+    return F.try_divide(total(value, scale), F.count(_col(value)).cast("double"))
 
 
-def mean(value: Column | str, scale: int = 2) -> Column:
-    """Exact sum divided once by the number of non-null values."""
-    return total(value, scale) / F.count(_col(value))
+def line_amount(quantity: Column | str, price: Column | str, scale: int = DECIMALS) -> Column:
+    """Quantity times price, exact to the last decimal of the price."""
+    return units(price, scale) * _col(quantity) / F.lit(float(10**scale))
 
 
-def line_amount(quantity: Column | str, price: Column | str) -> Column:
-    """Quantity times price, exact to the cent."""
-    return F.rint(_col(price) * F.lit(100.0)) * _col(quantity) / F.lit(100.0)
+def discounted_total(amount: Column | str, discount: Column | str, scale: int = 2, discount_scale: int = 4) -> Column:
+    """Sum of ``amount * (1 - discount)``, for amounts and discounts of so many decimals."""
+    kept = F.lit(10**discount_scale).cast("long") - units(discount, discount_scale)
+    return total_units(units(amount, scale) * kept, scale + discount_scale).cast("double")
 
 
-def discounted_total(amount: Column | str, discount: Column | str) -> Column:
-    """Sum of ``amount * (1 - discount)``; discounts have up to four decimals."""
-    kept = F.lit(10000).cast("long") - units(discount, 4)
-    return total_units(units(amount) * kept, 6).cast("double")
+def _decimal(value: Column | str, digits: int, scale: int) -> Column:
+    return (units(value, scale).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({digits},{scale})")
 
 
-def money(value: Column | str) -> Column:
+def money(value: Column | str, scale: int = DECIMALS) -> Column:
     """A single amount as a decimal, for windows and row-level output."""
-    return _col(value).cast("decimal(18,2)")
+    return _decimal(value, 24, scale)
 
 
-def price(value: Column | str) -> Column:
+def price(value: Column | str, scale: int = 2) -> Column:
     """A single price; narrow enough that products of it stay exact."""
-    return _col(value).cast("decimal(12,2)")
+    return _decimal(value, 12, scale)
 
 
-def rate(value: Column | str) -> Column:
+def rate(value: Column | str, scale: int = 4) -> Column:
     """A fraction such as a discount or a tax rate."""
-    return _col(value).cast("decimal(6,4)")
+    return _decimal(value, 6, scale)

@@ -12,7 +12,7 @@ from millrace.functions.money import exact_total, total
 def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str = "share_pct") -> DataFrame:
     """Each group's part of the grand total in percent.
 
-    The total is a scalar subquery over the grouped sums: one row, no window
+    A grand total of zero has no shares: they are NULL. The total is a scalar subquery over the grouped sums: one row, no window
     over all groups and no trip through the driver program.
     """
     grouped = df.groupBy(*keys).agg(exact_total(value).alias("__sum"))
@@ -20,7 +20,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str
     return grouped.select(
         *keys,
         F.col("__sum").cast("double").alias("total"),
-        (F.col("__sum").cast("double") * 100 / grand).alias(name),
+        F.try_divide(F.col("__sum").cast("double") * 100, grand).alias(name),
     )
 
 
@@ -54,7 +54,7 @@ def collect_in_chunks(
     ``position`` is a unique integer; a chunk covers ``chunk_size`` of its
     values, so no list outgrows the limit however many rows a key has.
     """
-    chunk = F.floor(F.col(position) / F.lit(chunk_size)).cast("long").alias("chunk")
+    chunk = F.expr(f"`{position}` div {chunk_size}").alias("chunk")
     return df.groupBy(*keys, chunk).agg(F.sort_array(F.collect_list(value)).alias("collected"))
 
 

@@ -12,37 +12,34 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A broadcast copy lives on every executor, so its row count is checked first.
-BROADCAST_ROWS = 100_000
+# A broadcast copy lives on every executor and passes through the driver.
+BROADCAST_BYTES = 10 << 20
 
 
-def small_or_shuffled(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the frame has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether Spark estimates the frame at no more than ``max_bytes``; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
 
-    Beyond that the frame is returned as it is and Spark shuffles it. Meant
-    for reference tables of narrow rows; counting stops at the limit.
+
+def hinted_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast for a frame of checked size.
+
+    Beyond it the frame is returned as it is, and Spark's own threshold and
+    adaptive execution decide by the size they see.
     """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
-def look_up(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = 32,
-) -> DataFrame:
+def look_up(fact: DataFrame, lookup: DataFrame, on: str, how: str = "inner", salts: int = 1) -> DataFrame:
     """Join a stream or table with a lookup table on a shared key.
 
-    A lookup of at most ``max_rows`` rows is broadcast. A larger one is copied
-    once per salt and the rows of a key are spread over the salts, because
-    adaptive skew handling does not cover streams. ``how`` is one of inner,
-    left, left_semi and left_anti.
+    Spark plans every micro-batch anew and broadcasts the lookup only while its
+    size allows. Adaptive skew handling does not cover streams: for keys that
+    own a large part of a batch, ``salts`` copies of the lookup spread them.
+    ``how`` is one of inner, left, left_semi and left_anti.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return fact.join(F.broadcast(lookup), on, how)
+    if salts == 1:
+        return fact.join(lookup, on, how)
     # The hash of the whole row is the same again when a task is retried.
     salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
     copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -33,8 +33,8 @@ class LineSpec:
 def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataFrame:
     """Split lines into typed columns plus ``is_valid``; other columns stay.
 
-    A bad row is flagged, never dropped or failed on. NaN counts as a bad
-    number, because Spark orders it above every value.
+    A bad row is flagged, never dropped or failed on. NaN and infinities
+    count as bad numbers: Spark orders them above every value, and no sum survives them.
     """
     typed: list[Column] = [(F.size("__parts") == len(spec.fields)).alias("__complete")]
     checks: list[Column] = [F.col("__complete")]
@@ -46,7 +46,7 @@ def parse_delimited(df: DataFrame, spec: LineSpec, line: str = "value") -> DataF
             value = value.try_cast(kind)
             checks.append(F.col(name).isNotNull())
             if kind == "double":
-                checks.append(~F.isnan(name))
+                checks.append(~F.isnan(name) & (F.abs(F.col(name)) < F.lit(float("inf"))))
         if name in spec.upper:
             value = F.upper(value)
         if name in spec.lower:

@@ -5,8 +5,12 @@ functions here cut each key's ordered rows into buckets, number or sum within
 a bucket, and add what the earlier buckets of that key contribute:
 
 * the rows are shuffled once, by key and bucket;
-* per key and bucket one small summary row is aggregated map-side, and only
-  those summaries meet in one window per key.
+* per key and bucket one small summary row is aggregated from that shuffle, and
+  only those summaries meet in one window per key: a key may have millions of
+  buckets, not billions.
+
+Ranks are computed over the distinct values of each key and joined back, so
+rows that tie need not meet in one task.
 
 The bucket must follow the order: a later row never falls in an earlier
 bucket. For ranks, rows that tie on the order column must share it. The minute
@@ -18,7 +22,7 @@ the bucket has to be fine enough for the hottest key.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
@@ -72,6 +76,8 @@ class _Cut:
         self.rows = df.withColumn(_BUCKET, F.expr(track.bucket))
         self.keys = [c for i, name in enumerate(track.keys) for c in self._solid(f"__k{i}", name)]
         self.parts = [*self.keys, *self._solid("__b", _BUCKET)]
+        # One shuffle for rows and summaries, so that what comes before it runs once.
+        self.rows = self.rows.repartition(*self.parts)
 
     def _solid(self, alias: str, name: str) -> list[str]:
         field = self.rows.schema[name]
@@ -118,18 +124,34 @@ def with_row_number(df: DataFrame, track: Track, name: str = "row_number") -> Da
     )
 
 
+def _values(df: DataFrame, track: Track) -> tuple[DataFrame, Track]:
+    """Rows per value of the order column of each key, and the track of those values."""
+    counts = df.groupBy(*track.keys, track.order).agg(F.count("*").alias("__n"))
+    return counts, replace(track, tiebreak=())
+
+
+def _brought_back(df: DataFrame, ranked: DataFrame, names: Sequence[str], name: str) -> DataFrame:
+    """Give every row the ``name`` of its values; a value with very many rows may be split."""
+    ranked = ranked.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(names)), name)
+    condition = None
+    for i, column in enumerate(names):
+        step = df[column].eqNullSafe(ranked[f"__k{i}"])
+        condition = step if condition is None else condition & step
+    return df.join(ranked, condition).drop(*(f"__k{i}" for i in range(len(names))))
+
+
 def with_rank(df: DataFrame, track: Track, name: str = "rank") -> DataFrame:
-    return _offset(df, track, name, lambda cut: F.rank().over(cut.within(track.by_order())), F.count("*"))
+    """Rank with gaps; the bucket may use keys and order column only."""
+    counts, values = _values(df, track)
+    ranked = with_running_sum(counts, values, F.col("__n"), "__upto")
+    ranked = ranked.withColumn(name, F.col("__upto") - F.col("__n") + 1)
+    return _brought_back(df, ranked, [*track.keys, track.order], name)
 
 
 def with_dense_rank(df: DataFrame, track: Track, name: str = "dense_rank") -> DataFrame:
-    def values() -> Column:
-        # A NULL is a rank of its own.
-        return F.count_distinct(F.col(track.order)) + F.max(F.col(track.order).isNull().cast("long"))
-
-    return _offset(
-        df, track, name, lambda cut: F.dense_rank().over(cut.within(track.by_order())), values()
-    )
+    """Rank without gaps, a NULL has one of its own; the bucket may use keys and order column only."""
+    counts, values = _values(df, track)
+    return _brought_back(df, with_row_number(counts, values, name), [*track.keys, track.order], name)
 
 
 def with_running_sum(df: DataFrame, track: Track, value: Column, name: str = "running_sum") -> DataFrame:
@@ -204,10 +226,4 @@ def top_n_with_ties(
     values = df.select(*keys, value).distinct()
     w = Window.partitionBy(*keys).orderBy(F.col(value).desc())
     ranked = values.withColumn(name, F.dense_rank().over(w)).filter(F.col(name) <= n)
-    names = [*keys, value]
-    ranked = ranked.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(names)), name)
-    condition = None
-    for i, column in enumerate(names):
-        step = df[column].eqNullSafe(ranked[f"__k{i}"])
-        condition = step if condition is None else condition & step
-    return df.join(ranked, condition).drop(*(f"__k{i}" for i in range(len(names))))
+    return _brought_back(df, ranked, [*keys, value], name)

@@ -8,6 +8,11 @@ from millrace.functions import rules
 from millrace.operators import windows
 
 
+def known_actions(events: DataFrame) -> DataFrame:
+    """Events that book or cancel; any other action, or none, is no booking event."""
+    return events.filter(F.col("action").isin(rules.BOOK, rules.CANCEL))
+
+
 def booking_effects(events: DataFrame, bucket: str) -> DataFrame:
     """What each booking's events do, as one row per booking.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import rules, text
 from millrace.functions.money import exact_total, total
-from millrace.operators import aggregates, joins, quality
+from millrace.operators import aggregates, quality
 from millrace.operators.layout import reused
 
 TRANSACTION_LINE = quality.LineSpec(
@@ -45,7 +45,7 @@ def reports_of(valid: DataFrame) -> dict[str, DataFrame]:
         "by_category": by_category,
         "top_customers": spend.orderBy(F.desc("total"), F.asc("customer")).limit(3),
         "average": valid.agg(
-            (total("amount") / F.count("*")).alias("average")
+            F.try_divide(total("amount"), F.count("*").cast("double")).alias("average")
         ),
     }
 
@@ -58,7 +58,7 @@ def write_transaction_reports(lines: DataFrame, out: str) -> None:
 
 
 def branch_totals(fact: DataFrame, branches: DataFrame, *by: str) -> DataFrame:
-    """Large fact with a size-checked branch table, totals per branch column.
+    """Large fact with a branch table, totals per branch column.
 
     The fact is summed per branch id first, so a branch with most of the rows
     meets the join as one row however large the branch table is.
@@ -66,14 +66,14 @@ def branch_totals(fact: DataFrame, branches: DataFrame, *by: str) -> DataFrame:
     per_branch = fact.groupBy("branch_id").agg(
         F.count("*").alias("txns"), exact_total("amount").alias("total")
     )
-    joined = per_branch.join(joins.small_or_shuffled(branches), "branch_id")
+    joined = per_branch.join(branches, "branch_id")
     return joined.groupBy(*by).agg(
         F.sum("txns").alias("txns"), F.sum("total").cast("double").alias("total")
     )
 
 
 def occupancy(inventory: DataFrame, state: DataFrame) -> DataFrame:
-    """Booked seats, free seats and cancellations per item, also for idle items.
+    """Booked seats, free seats and cancellations per item, also for idle items; no percentage without seats.
 
     Bookings are summed per item before they meet the inventory.
     """
@@ -82,7 +82,7 @@ def occupancy(inventory: DataFrame, state: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == rules.CANCELLED).alias("cancelled"),
     )
     full = inventory.join(per_item, "item_id", "left").na.fill({"occupied": 0, "cancelled": 0})
-    percent = F.col("occupied") * F.lit(Decimal("100.0")) / F.col("capacity")
+    percent = F.try_divide(F.col("occupied") * F.lit(Decimal("100.0")), F.col("capacity"))
     return full.select(
         "item_id",
         "item_name",

@@ -31,12 +31,13 @@ ORDER_LINE = quality.LineSpec(
 EVERY_COLUMN = ("customer_id", "product_id", "qty", "price", "order_date", "status")
 
 
-def clean_orders(lines: DataFrame, prefer: Sequence[Column] | None = None) -> tuple[DataFrame, Observation]:
+def clean_orders(lines: DataFrame, prefer: Sequence[Column] | None = None) -> tuple[DataFrame, Observation, Observation]:
     """Valid, unique, not cancelled orders, and counters of what fell out.
 
     The counters sit where a row is judged and fill in with the first action:
-    ``total`` and ``bad`` lines. Cancelled orders are dropped after the
-    duplicates, so an order whose surviving copy is cancelled is gone.
+    ``total`` and ``bad`` lines, and ``cancelled`` orders. Cancelled orders are
+    dropped after the duplicates, so an order whose surviving copy is cancelled
+    is gone.
     """
     parsed, seen = quality.counted(
         quality.parse_delimited(lines, ORDER_LINE),
@@ -46,7 +47,8 @@ def clean_orders(lines: DataFrame, prefer: Sequence[Column] | None = None) -> tu
     )
     prefer = prefer or [F.col(name).asc() for name in EVERY_COLUMN]
     unique = sets.one_per_key(quality.valid_only(parsed), ["order_id"], prefer)
-    return unique.filter(F.col("status") != rules.CANCELLED_ORDER), seen
+    judged, dropped = quality.counted(unique, "unique_orders", cancelled=F.count_if(F.col("status") == rules.CANCELLED_ORDER))
+    return judged.filter(F.col("status") != rules.CANCELLED_ORDER), seen, dropped
 
 
 def enriched_orders(orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -83,7 +85,7 @@ def running_spend(enriched: DataFrame) -> DataFrame:
     track = windows.Track(
         keys=["customer_id"],
         order="order_date",
-        bucket="order_date",
+        bucket="concat(cast(order_date AS STRING), '|', substr(order_id, 1, 4))",
         tiebreak=["order_id"],
     )
     return windows.with_running_sum(enriched, track, money("revenue"), "running_spend")
@@ -98,8 +100,8 @@ def run(
     spark: SparkSession, lines: DataFrame, products: DataFrame, customers: DataFrame, out: str
 ) -> dict[str, int]:
     """Tier report as CSV, monthly revenue as Parquet per month."""
-    orders, seen = clean_orders(lines)
+    orders, seen, dropped = clean_orders(lines)
     with reused(enriched_orders(orders, products, customers)) as enriched:
         write_report(customer_tiers(enriched), f"{out}/customer_tiers")
         write_partitioned(monthly_revenue(enriched), f"{out}/monthly_revenue", ["order_month"])
-    return seen.get
+    return {**seen.get, **dropped.get}

@@ -6,21 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from millrace.operators.layout import reused
-
-REPORT_ROWS = 100_000
-
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV folder with header, written in parallel."""
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
-    """CSV report; one file if it has at most ``max_rows`` rows."""
-    with reused(df) as report:
-        small = report.limit(max_rows + 1).count() <= max_rows
-        write_csv(report.coalesce(1) if small else report, path)
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV report, in parallel or, if the caller knows that it is small, as one file."""
+    write_csv(df.coalesce(1) if single_file else df, path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:

@@ -39,17 +39,6 @@ def read_parquet(spark: SparkSession, path: str, *conditions) -> DataFrame:
     return df
 
 
-def widened(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan over all cores if it has fewer splits than that.
-
-    For costly work per row on files Spark cannot split finely, such as one
-    large row group. The data moved is at most one split per core; a table
-    with more splits than cores is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def rows(spark: SparkSession, data: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
     """A small table from memory: reference rows and test fixtures."""
     return spark.createDataFrame(list(data), schema)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.sources.readers import widened
-
 
 class Tables:
     """``Tables(spark, folder).orders`` reads ``folder/orders.parquet``."""
@@ -22,10 +20,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
-    def wide(self, name: str, *columns: str) -> DataFrame:
-        """Some columns of a table, spread over all cores (see ``widened``)."""
-        return widened(getattr(self, name).select(*columns))
-
     def stream(self, name: str, **options: object) -> DataFrame:
         """The table as a file stream with the schema of its batch form.
 

@@ -52,7 +52,7 @@ COMPARISON = T.StructType(
         T.StructField("account", T.StringType()),
         T.StructField("batch_n", T.LongType()),
         T.StructField("total_n", T.LongType()),
-        T.StructField("total_amount", T.DecimalType(28, 2)),
+        T.StructField("total_amount", T.DecimalType(34, 6)),
     ]
 )
 
@@ -60,7 +60,7 @@ COMPARISON = T.StructType(
 def compare_step(before: DataFrame | None, batch: DataFrame) -> DataFrame:
     """This batch against everything so far; known accounts stay, with 0."""
     now = batch.groupBy("account").agg(
-        F.count("*").alias("batch_n"), exact_total("amount").cast("decimal(28,2)").alias("batch_amount")
+        F.count("*").alias("batch_n"), exact_total("amount").cast("decimal(34,6)").alias("batch_amount")
     )
     if before is None:
         return now.select("account", "batch_n", F.col("batch_n").alias("total_n"), F.col("batch_amount").alias("total_amount"))
@@ -74,7 +74,7 @@ def compare_step(before: DataFrame | None, batch: DataFrame) -> DataFrame:
         "account",
         number("batch_n").alias("batch_n"),
         (number("total_n") + number("batch_n")).alias("total_n"),
-        (number("total_amount") + number("batch_amount")).cast("decimal(28,2)").alias("total_amount"),
+        (number("total_amount") + number("batch_amount")).cast("decimal(34,6)").alias("total_amount"),
     )
 
 

@@ -18,7 +18,7 @@ def category_revenue(
     watermark: str = rules.WATERMARK,
 ) -> DataFrame:
     """Revenue and orders per window and category; late orders are dropped."""
-    sound = timed(orders, time_column, watermark).filter("qty > 0 AND price > 0 AND NOT isnan(price)")
+    sound = timed(orders, time_column, watermark).filter("qty > 0 AND price > 0 AND price < double('Infinity')")
     named = joins.look_up(sound, products.select("product_id", "category"), "product_id")
     revenue = line_amount("qty", "price")
     return windowed(

@@ -38,14 +38,15 @@ def test_enrich_fills_misses(spark):
 
 
 def test_broadcast_only_below_the_limit(spark):
-    _, dim = tables(spark)
     from millrace.operators.layout import plan_text
 
+    # 50 rows of two numbers are 800 bytes.
+    dim = spark.range(50).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("name"))
     fact = spark.range(1000).withColumnRenamed("id", "dk")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan_text(fact.join(joins.small_or_shuffled(dim, 100), "dk"))
-        assert "BroadcastHashJoin" not in plan_text(fact.join(joins.small_or_shuffled(dim, 10), "dk"))
+        assert "BroadcastHashJoin" in plan_text(fact.join(joins.hinted_if_small(dim), "dk"))
+        assert "BroadcastHashJoin" not in plan_text(fact.join(joins.hinted_if_small(dim, 100), "dk"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -80,5 +81,5 @@ def test_hot_join_key_is_split(spark):
 def test_large_lookup_is_salted(spark, how):
     fact, dim = tables(spark)
     fact, dim = fact.withColumnRenamed("fk", "k"), dim.withColumnRenamed("dk", "k").filter("k IS NOT NULL")
-    same(joins.look_up(fact, dim, "k", how, max_rows=10, salts=4), fact.join(dim, "k", how))
+    same(joins.look_up(fact, dim, "k", how, salts=4), fact.join(dim, "k", how))
     same(joins.look_up(fact, dim, "k", how), fact.join(dim, "k", how))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from millrace import schemas
@@ -50,9 +51,10 @@ def test_order_lines_and_counters(spark):
         "O5,C1,P1,2,10.0,2025-01-01",
         "O6,C1,P1,1.5,10.0,2025-01-01,new",
     )
-    orders, seen = shop.clean_orders(feed)
+    orders, seen, dropped = shop.clean_orders(feed)
     assert [r.order_id for r in orders.collect()] == ["O1"]
     assert seen.get == {"total": 8, "bad": 5}
+    assert dropped.get == {"cancelled": 1}
 
 
 def test_vitals(spark):
@@ -146,4 +148,53 @@ def test_exact_totals_match_decimal_sums(spark):
     nothing = frame.filter("x IS NULL").agg(money.total("x").alias("a")).first()
     assert nothing.a is None
     huge = spark.range(4).select(F.lit(9.0e15).alias("x"))
-    assert huge.agg(money.exact_total("x").alias("a")).first().a == 36 * 10**15
+    assert huge.agg(money.exact_total("x", 2).alias("a")).first().a == 36 * 10**15
+
+
+def test_amounts_are_never_rounded_away(spark):
+    from pyspark.errors import PySparkException
+
+    from millrace.functions import money
+
+    def totals(*values, **scale):
+        frame = spark.createDataFrame([(v,) for v in values], "x double")
+        return frame.agg(money.total("x", **scale).alias("a")).first().a
+
+    assert totals(0.125, 0.004, None) == 0.129
+    assert totals(1e9, 0.000001) == 1000000000.000001
+    assert totals(1.0, float("inf")) == float("inf")
+    assert totals(1.0, float("nan")) != totals(1.0, float("nan"))
+    assert totals(float("inf"), float("-inf")) != 0
+    for values, scale in (((0.1234567,), {}), ((0.125,), {"scale": 2})):
+        with pytest.raises(PySparkException):
+            totals(*values, **scale)
+    row = spark.range(1).select(money.line_amount(F.lit(3), F.lit(0.125)).alias("a"), money.money(F.lit(0.125)).alias("b")).first()
+    assert row.a == 0.375 and float(row.b) == 0.125
+    with pytest.raises(PySparkException):
+        spark.range(1).select(money.price(F.lit(0.125))).collect()
+
+
+def test_nothing_to_divide_by(spark):
+    from millrace.operators import aggregates
+    from millrace.plans import people, reports
+
+    cancels_out = spark.createDataFrame([("a", 1.0), ("b", -1.0)], "k string, x double")
+    shares = aggregates.share_of_total(cancels_out, ["k"], F.col("x")).collect()
+    assert {(r.k, r.total, r.share_pct) for r in shares} == {("a", 1.0, None), ("b", -1.0, None)}
+    bills = spark.createDataFrame([(None, "x", 1, 1, 5.0)], "bill_id long, department string, month int, patients int, amount double")
+    row = people.department_metrics(bills).first()
+    assert row.avg_bill is None and row.share_pct == 100.0
+    items = spark.createDataFrame([("1", "n", "t", 0)], "item_id string, item_name string, item_type string, capacity int")
+    state = spark.createDataFrame([("b", "1", 2, "BOOKED")], "booking_id string, item_id string, seats int, status string")
+    assert reports.occupancy(items, state).first().occupancy_pct is None
+    ids = spark.createDataFrame([("k", 2**53 + 1), ("k", 2**53)], "k string, v long")
+    chunks = aggregates.collect_in_chunks(ids, ["k"], "v", "v", 1)
+    assert sorted(r.chunk for r in chunks.collect()) == [2**53, 2**53 + 1]
+
+
+def test_infinite_numbers_are_bad_lines(spark):
+    from millrace.plans import reports
+
+    lines = spark.createDataFrame([("1,a,x,Infinity",), ("2,a,x,-Infinity",), ("3,a,x,NaN",), ("4,a,x,2.5",)], "value string")
+    parsed = reports.transaction_reports(lines)
+    assert [r.total for r in parsed["by_category"].collect()] == [2.5]

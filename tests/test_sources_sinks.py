@@ -46,10 +46,10 @@ def test_generated_facts_are_repeatable(spark):
     assert {r["count"] for r in first.groupBy("branch_id").count().collect()} == {200}
 
 
-def test_report_is_one_file_only_when_small(spark, tmp_path):
+def test_report_is_one_file_only_on_request(spark, tmp_path):
     frame = spark.range(0, 100, 1, 4)
-    writers.write_report(frame, str(tmp_path / "small"))
-    writers.write_report(frame, str(tmp_path / "large"), max_rows=50)
+    writers.write_report(frame, str(tmp_path / "small"), single_file=True)
+    writers.write_report(frame, str(tmp_path / "large"))
     assert len(glob.glob(f"{tmp_path}/small/*.csv")) == 1
     assert len(glob.glob(f"{tmp_path}/large/*.csv")) == 4
     assert spark.read.csv(f"{tmp_path}/large", header=True).count() == 100
@@ -111,14 +111,14 @@ def test_shop_job(spark, tmp_path):
     )
     products = spark.createDataFrame([("P1", "pen", "office"), ("P2", "mug", "home")], schemas.SHOP_PRODUCTS)
     customers = spark.createDataFrame([("C1", " india "), ("C2", "nepal")], schemas.SHOP_CUSTOMERS)
-    assert shop.run(spark, lines, products, customers, str(tmp_path)) == {"total": 5, "bad": 1}
+    assert shop.run(spark, lines, products, customers, str(tmp_path)) == {"total": 5, "bad": 1, "cancelled": 1}
     months = spark.read.parquet(f"{tmp_path}/monthly_revenue")
     assert {(r.order_month, r.category): r.revenue for r in months.collect()} == {
         ("2025-01", "office"): 20.0, ("2025-01", "home"): 5.0, ("2025-02", "office"): 10.0,
     }
     tiers = spark.read.csv(f"{tmp_path}/customer_tiers", header=True)
     assert {r.customer_id: r.tier for r in tiers.collect()} == {"C1": "BRONZE", "C2": "BRONZE"}
-    orders, _ = shop.clean_orders(lines)
+    orders, *_ = shop.clean_orders(lines)
     enriched = shop.enriched_orders(orders, products, customers)
     spend = {r.order_id: float(r.running_spend) for r in shop.running_spend(enriched).collect()}
     assert spend == {"O1": 20.0, "O2": 25.0, "O3": 10.0}
