@@ -160,12 +160,13 @@ def range_rules(t):
     "zip_arrays",
     """
     SELECT vec_id, CAST(i - 1 AS BIGINT) AS pos, CAST(embedding[i] AS DOUBLE) AS a,
-           CAST(embedding[i + 32] AS DOUBLE) AS b
-    FROM (SELECT vec_id, embedding, unnest(range(1, 33)) AS i FROM embeddings)""",
+           CAST(embedding[i + len(embedding) // 2] AS DOUBLE) AS b
+    FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) // 2 + 1)) AS i FROM embeddings)""",
 )
 def zip_arrays(t):
+    half = F.expr("cast(size(embedding) div 2 as int)")
     halves = F.arrays_zip(
-        F.slice("embedding", 1, 32).alias("a"), F.slice("embedding", 33, 32).alias("b")
+        F.slice("embedding", 1, half).alias("a"), F.slice("embedding", half + 1, half).alias("b")
     )
     pairs = t.embeddings.select("vec_id", F.posexplode(halves).alias("pos", "pair"))
     return pairs.select("vec_id", "pos", "pair.a", "pair.b")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.checks import roles
 from millrace.checks.registry import check
+from millrace.functions import rules
 from millrace.session import fresh_folder
 from millrace.streaming import accounts, bookings, logs, shop, tables, vitals, windows
 
@@ -273,13 +274,12 @@ def stream_burst(t):
 
 # --- vitals -----------------------------------------------------------------
 
-_VITALS_SQL = """
-    SELECT ts, event_id, patient_id, concat_ws(', ',
-             CASE WHEN heart_rate < 50 OR heart_rate > 120 THEN 'HeartRate=' || CAST(heart_rate AS VARCHAR) END,
-             CASE WHEN spo2 < 92 OR spo2 > 100 THEN 'SpO2=' || CAST(spo2 AS VARCHAR) END,
-             CASE WHEN systolic_bp < 90 OR systolic_bp > 140 THEN 'BP=' || CAST(systolic_bp AS VARCHAR) END,
-             CASE WHEN temperature < 95.0 OR temperature > 100.4 THEN 'Temp=' || CAST(temperature AS VARCHAR) END)
-             AS reasons
+_REASONS_SQL = ", ".join(
+    f"CASE WHEN {name} < {low} OR {name} > {high} THEN '{label}=' || CAST({name} AS VARCHAR) END"
+    for name, low, high, label in rules.VITAL_RANGES
+)
+_VITALS_SQL = f"""
+    SELECT ts, event_id, patient_id, concat_ws(', ', {_REASONS_SQL}) AS reasons
     FROM (SELECT ts, event_id, CAST(user_id AS VARCHAR) AS patient_id, 45 + event_id * 37 % 90 AS heart_rate,
                  88 + event_id % 13 AS spo2, 80 + event_id * 11 % 80 AS systolic_bp,
                  (940 + event_id % 80) / 10.0 AS temperature

@@ -12,10 +12,6 @@ from millrace.functions.money import line_amount, total
 from millrace.operators import joins, quality, sets
 from millrace.sinks.writers import write_csv, write_partitioned
 
-# Columns the lookups add; the quarantine file leaves them out again.
-LOOKED_UP = ("customer_name", "city", "segment", "product_name", "category", "unit_price")
-
-
 def reject_rules() -> list[tuple[str, Column]]:
     """What makes a transaction unusable, in order of precedence.
 
@@ -111,9 +107,8 @@ def run(
     checked.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(judged)
 
     kept = spark.read.schema(checked.withColumn("outcome", outcome).schema).parquet(judged)
-    write_csv(
-        kept.filter("outcome = 'rejected'").drop(*LOOKED_UP, "outcome"), f"{out}/rejected"
-    )
+    # The quarantine file has the columns of the feed and the reason.
+    write_csv(kept.filter("outcome = 'rejected'").select(*raw.columns, "reject_reason"), f"{out}/rejected")
     sales = typed_sales(kept.filter("outcome = 'valid'").drop("outcome"))
     write_partitioned(daily_by_category(sales), f"{out}/daily_sales", ["year", "month"])
     write_csv(revenue_by_city(sales), f"{out}/revenue_by_city")

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from millrace.operators import aggregates, layout
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,8 +31,9 @@ def test_has_rows(spark, name):
 
 def test_partition_layouts_hold_every_row(spark):
     orders = spark.read.parquet(f"{FOLDER}/orders.parquet").count()
-    for name in ("repartition_rows", "hash_partition_rows"):
-        per_partition = QUERIES[name](spark, FOLDER).collect()
+    frame = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    for spread in (layout.spread_evenly(frame, 8), layout.spread_by(frame, "o_custkey", partitions=8)):
+        per_partition = aggregates.rows_per_partition(spread).collect()
         assert sum(r.n for r in per_partition) == orders
         assert len(per_partition) == 8
 
