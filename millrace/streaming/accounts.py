@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions import rules
 from millrace.functions.money import exact_total, total
 from millrace.operators import joins
 from millrace.operators.quality import BLANKS, LineSpec, parse_delimited, valid_only
+from millrace.streaming.tables import carried_state
 from millrace.streaming.windows import windowed
 
 # ACCOUNT TYPE AMOUNT
@@ -94,6 +96,16 @@ def with_branch(entries: DataFrame, branches: DataFrame, big_amount: float = rul
     return known.withColumn("flag", flag)
 
 
+def monitor(lines: DataFrame, branches: DataFrame, out: str) -> DataStreamWriter:
+    """Flagged transactions of every micro-batch, and each account's batch against everything so far."""
+
+    def flag(_: DataFrame, batch: DataFrame, batch_id: int) -> None:
+        flagged = with_branch(batch, branches).filter("flag <> ''")
+        flagged.write.mode("overwrite").parquet(f"{out}/flagged/batch_id={batch_id}")
+
+    return carried_state(parse(lines, BANK_LINE), out, COMPARISON, compare_step, each=flag)
+
+
 def bursts(
     entries: DataFrame,
     key: str = "account",

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions import rules, text
+from millrace.operators.layout import reused
+from millrace.streaming.tables import per_batch
 from millrace.streaming.windows import timed, windowed
 
 
@@ -35,6 +38,18 @@ def batch_level_counts(batch: DataFrame) -> DataFrame:
     return batch.filter("level IS NOT NULL").groupBy("level").agg(F.count("*").alias("n"))
 
 
+def monitor(log: DataFrame, out: str) -> DataStreamWriter:
+    """Lines per level, errors and frequent words of every micro-batch, each in a folder below ``out``."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with reused(batch) as lines:
+            parts = {"levels": batch_level_counts, "errors": batch_error_count, "words": batch_top_words}
+            for name, report in parts.items():
+                report(lines).write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+
+    return per_batch(log, f"{out}/checkpoint", handle)
+
+
 def batch_error_count(batch: DataFrame) -> DataFrame:
     """ERROR lines of one micro-batch, one row even when there are none."""
     return batch.agg(F.count_if(F.col("level") == "ERROR").alias("errors"))

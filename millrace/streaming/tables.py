@@ -100,12 +100,14 @@ def carried_state(
     schema: T.StructType,
     step: Callable[[DataFrame | None, DataFrame], DataFrame],
     after: Callable[[DataFrame, int], None] | None = None,
+    each: Callable[[DataFrame | None, DataFrame, int], None] | None = None,
     keep: int | None = 2,
 ) -> DataStreamWriter:
     """Carry a keyed state from batch to batch as a written table.
 
     ``step(state, batch)`` returns the new state and runs as an ordinary
-    distributed join, so a hot key is handled like in any batch job. Each batch
+    distributed join, so a hot key is handled like in any batch job. ``after``
+    sees the new state, ``each`` the state before and the batch. Each batch
     rewrites the state once: choose the trigger interval by the state's size. With
     ``keep`` the folders are reused in turn (the previous state is never the
     one overwritten); with ``None`` every batch keeps its own.
@@ -122,6 +124,8 @@ def carried_state(
             before = spark.read.schema(schema).parquet(folder(batch_id - 1))
         with reused(batch) as rows:
             step(before, rows).write.mode("overwrite").parquet(folder(batch_id))
+            if each:
+                each(before, rows, batch_id)
         if after:
             after(spark.read.schema(schema).parquet(folder(batch_id)), batch_id)
 
