@@ -157,11 +157,12 @@ def _members(bits: int):
     return run
 
 
-def _crossing(bound: Bound, first: bool):
+def _crossing(bound: Bound, linked: Callable[[bytes, bytes], bool] | None = None):
     """Pairs of a block that may be linked and are not yet connected.
 
-    At ``first``, few of them: hubs are chosen that most others may be linked
-    with, and every item gets its hub and its nearest partner.
+    Without ``linked``, few of them: hubs are chosen that most others may be
+    linked with, and every item gets its hub and its nearest partner. With it,
+    all are judged by their contents and those that connect are given.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -181,12 +182,12 @@ def _crossing(bound: Bound, first: bool):
                     nearest[k] = np.where(row, differ, 2**40).argmin()
             if part.min() != part.max():
                 ok &= part[:, None] != part[None, :]
-            if first:
+            if linked is None:
                 a, b = _by_hubs(ok)
                 own = np.flatnonzero((nearest >= 0) & ok[np.arange(count), nearest])
                 a, b = np.concatenate([a, own]), np.concatenate([b, nearest[own]])
             else:
-                a, b = np.nonzero(np.triu(ok))
+                a, b = _connecting(np.triu(ok), known, table["content"], linked)
             one, two = items[a], items[b]
             pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], axis=1), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
@@ -194,6 +195,25 @@ def _crossing(bound: Bound, first: bool):
     return run
 
 
+def _connecting(ok: np.ndarray, known: np.ndarray, contents: pa.ChunkedArray, linked: Callable[[bytes, bytes], bool]):
+    """Linked pairs that connect components of the block."""
+    label = np.unique(known, return_inverse=True)[1]
+    held: dict[int, bytes] = {}
+    a, b = [], []
+    for x in range(len(ok)):
+        for y in np.flatnonzero(ok[x]).tolist():
+            if label[x] == label[y]:
+                continue
+            for k in (x, y):
+                if k not in held:
+                    held[k] = contents[k].as_py()
+            if linked(held[x], held[y]):
+                a.append(x)
+                b.append(y)
+                label[label == label[y]] = label[x]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
 def _by_hubs(ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each item with the hub that covers it; hubs are taken by the number of items that they still cover."""
     open_items = ok.any(axis=1)
@@ -268,15 +288,15 @@ def links(
     found = written(_verified(pairs, held, linked), "links")
     if large.isEmpty():
         return found
+    # These links need not be complete, so an item's largest meetings will do.
     largest = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting"))
-    for first in (True, False):
-        if first:
-            # These links need not be complete, so an item's largest meetings will do.
-            joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
-            joined = joined.withColumn("component", F.col("item"))
-        else:
-            known = components(found).select(F.col("node").alias("item"), "component")
-            joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
-        across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, first), "a long, b long")
-        found = found.union(written(_verified(across.distinct(), held, linked), "links"))
-    return found
+    joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
+    joined = joined.withColumn("component", F.col("item"))
+    across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound), "a long, b long")
+    found = found.union(written(_verified(across.distinct(), held, linked), "links"))
+    # What is still apart is compared within all its meetings.
+    known = components(found).select(F.col("node").alias("item"), "component")
+    joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
+    joined = _blocks(joined.join(held, "item"))
+    across = joined.groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, linked), "a long, b long")
+    return found.union(written(across.distinct(), "links"))
