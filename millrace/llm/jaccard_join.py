@@ -31,7 +31,7 @@ SHINGLE = 5
 # Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SKETCH_BITS = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 WORDS_PER_BUCKET = 250_000
 # One segment in so many is also indexed with one shingle left out.
 DELETION_EVERY = 16

@@ -27,7 +27,7 @@ EDITS = 3
 # Shorter lines, in code points, are only compared exactly.
 MIN_LENGTH = 24
 LINES_PER_BUCKET = 6_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SKETCH_BITS = 256
 _MULTIPLIER = 0x9FB21C651E98DF25
 

@@ -24,7 +24,7 @@ from millrace.llm.frames import written
 
 # Items in a meeting that are compared by a plain join, and the size of blocks beyond.
 SMALL_GROUP = 24
-BLOCK = 1000
+BLOCK = 600
 # Hubs of a block at first, and the meetings of an item that are looked at for them.
 HUBS = 64
 FIRST_MEETINGS = 2

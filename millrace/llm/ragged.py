@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one numpy step holds at a time; a longer single text is taken whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True

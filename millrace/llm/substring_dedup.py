@@ -35,7 +35,7 @@ WORDS_PER_BUCKET = 250_000
 # Bytes of text of one slice of the second step.
 SLICE_BYTES = 4 << 20
 # Bytes of text of one slice of probes; larger slices repeat fewer hashes.
-PROBE_BYTES = 8 << 20
+PROBE_BYTES = 4 << 20
 _ROLL = (0x9FB21C651E98DF25, 0xC6A4A7935BD1E995, 0x8EBC6AF09C88C6E3)
 _PROBES = "bucket int, chunk long, kind int, keys binary, places binary"
 
