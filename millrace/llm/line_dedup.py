@@ -29,6 +29,8 @@ MIN_LENGTH = 24
 LINES_PER_BUCKET = 6_000
 SLICE_BYTES = 2 << 20
 SKETCH_BITS = 256
+# Pairs that are verified together, their code points, and below how many they are taken one by one.
+PAIRS_AT_ONCE, POINTS_AT_ONCE, FEW_PAIRS = 8192, 2_000_000, 16
 _MULTIPLIER = 0x9FB21C651E98DF25
 
 
@@ -182,6 +184,74 @@ def within_edits(one: str, two: str, edits: int) -> bool:
     return bool(reach[edits] >> (len(two) - len(one) + edits) & 1)
 
 
+def pairs_within_edits(contents: list[bytes], a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
+    """``within_edits`` of many pairs of UTF-8 texts, given by their places."""
+    width = 2 * edits + 1
+    out = np.zeros(len(a), bool)
+    if not len(a):
+        return out
+    texts = [x.decode("utf-8") for x in contents]
+    if width > 64:
+        return np.array([within_edits(texts[x], texts[y], edits) for x, y in zip(a.tolist(), b.tolist())])
+    lengths = np.array([len(x) for x in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    starts = np.cumsum(lengths) - lengths
+    swap = lengths[a] > lengths[b]
+    one, two = np.where(swap, b, a), np.where(swap, a, b)
+    order = np.argsort(lengths[one], kind="stable")
+    order = order[lengths[two[order]] - lengths[one[order]] <= edits]
+    begin = 0
+    while begin < len(order):
+        # The shorter texts come first, so a part takes as many pairs as its last one has room for.
+        size = np.arange(1, min(PAIRS_AT_ONCE, len(order) - begin) + 1) * np.maximum(1, lengths[one[order[begin : begin + PAIRS_AT_ONCE]]])
+        end = begin + max(1, int(np.searchsorted(size, POINTS_AT_ONCE, "right")))
+        now = order[begin:end]
+        if len(now) < FEW_PAIRS:
+            out[now] = [within_edits(texts[x], texts[y], edits) for x, y in zip(one[now].tolist(), two[now].tolist())]
+        else:
+            out[now] = _banded(points, starts, lengths, one[now], two[now], edits)
+        begin = end
+    return out
+
+
+def _banded(points, starts, lengths, one, two, edits: int) -> np.ndarray:
+    """The matrix of ``within_edits`` row by row for all pairs; ``one`` is the shorter, in order of length."""
+    width = 2 * edits + 1
+    kind = np.uint8 if width <= 8 else np.uint64
+    band = kind((1 << width) - 1)
+    rows = lengths[one]
+    most = int(rows[-1])
+    last_point = len(points) - 1
+    # Either end, by row; beyond its end a text holds what no other holds.
+    at = np.arange(most)[:, None]
+    held = np.where(at < rows, points[np.minimum(starts[one] + at, last_point)], np.uint32(0xFFFFFFFF))
+    ahead = np.arange(-edits, most + edits)[:, None]
+    other = np.where((ahead >= 0) & (ahead < lengths[two]), points[np.clip(starts[two] + ahead, 0, last_point)], np.uint32(0xFFFFFFFE))
+    reach = [np.full(len(one), ((1 << (e + 1)) - 1) << edits & int(band), kind) for e in range(edits + 1)]
+    out = np.zeros(len(one), bool)
+    goal = kind(1) << (lengths[two] - rows + edits).astype(kind)
+    done = np.searchsorted(rows, np.arange(most + 1), "right")
+    start = int(done[0])
+    out[:start] = reach[edits][:start] & goal[:start] > 0
+    reach = [x[start:] for x in reach]
+    for row in range(most):
+        match = np.zeros(len(one) - start, kind)
+        for q in range(width):
+            match |= (held[row, start:] == other[row + q, start:]).astype(kind) << kind(q)
+        after = [reach[0] & match]
+        for e in range(1, edits + 1):
+            after.append(((reach[e] & match) | reach[e - 1] | (reach[e - 1] >> kind(1)) | (after[-1] << kind(1))) & band)
+        reach = after
+        if not reach[edits].any():
+            break
+        end = int(done[row + 1])
+        if end > start:
+            out[start:end] = reach[edits][: end - start] & goal[start:end] > 0
+            reach = [x[end - start :] for x in reach]
+            start = end
+    return out
+
+
 def _rows(docs: DataFrame, edits: int, buckets: int) -> DataFrame:
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
@@ -231,9 +301,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits:
     Lines are cut at \\n and numbered from 0 in their document. Equal lines,
     and lines of MIN_LENGTH code points or more within ``edits`` edits, are
     linked; ``rep_*`` is the first line (by document, then number) that links
-    lead to, and only that one is kept. ``n_links`` counts verified links of
-    the line's text to other texts; among very many near copies, those that
-    connect them. Documents with a null id and blank lines have no rows; rows
+    lead to, and only that one is kept. ``n_links`` counts all links of
+    the line's text to other texts. Documents with a null id and blank lines have no rows; rows
     with equal ids count as one document. Names of lines have 127 bits, 63 of
     them in the join.
     """
@@ -247,10 +316,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits:
     def linked(one: bytes, two: bytes) -> bool:
         return within_edits(one.decode("utf-8"), two.decode("utf-8"), edits)
 
-    links = meetings.links(_rows(docs, edits, buckets), bound, _texts(docs, occurrences), linked)
-    links = written(links.distinct(), "links")
-    ends = links.select(F.col("a").alias("one")).union(links.select(F.col("b").alias("one")))
-    counted = ends.groupBy("one").agg(F.count("*").alias("n_links"))
+    def judged(contents: pa.ChunkedArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return pairs_within_edits(contents.to_pylist(), a, b, edits)
+
+    links, counted = meetings.counted_links(_rows(docs, edits, buckets), bound, _texts(docs, occurrences), linked, judged)
+    counted = written(counted.select(F.col("item").alias("one"), F.col("n").alias("n_links")), "counts")
     member = components(links).withColumnRenamed("node", "one").join(counted, "one")
     firsts = occurrences.groupBy("one", "two").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     joined = firsts.join(member, "one", "left")

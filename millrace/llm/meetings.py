@@ -8,6 +8,8 @@ meetings are a plain join. Large ones are cut into pairs of blocks of bounded
 size, which pass on only each item's hub and its nearest partner; once those are
 verified, what may still be linked across components is looked at, so a large
 group of near copies costs a few links an item and loses none that connects.
+Where links are counted, blocks judge every pair once, in the largest meeting
+that it shares, and pass on each item's number of links and those that connect.
 """
 
 from __future__ import annotations
@@ -231,6 +233,77 @@ def _by_hubs(ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
+def _counted(bound: Bound, judged: Callable[[pa.ChunkedArray, np.ndarray, np.ndarray], np.ndarray]):
+    """Of a block, the number of linked pairs of each item (a, null, n), and links that connect the same items (a, b, null).
+
+    ``before`` names the larger meetings of an item; pairs that share one of them are judged there.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        items, sizes, part = (table[c].to_numpy() for c in ("item", "n", "part"))
+        sketch = np.stack([table[c].to_numpy() for c in _parts(bound.bits)], axis=1).view(np.uint64)
+        count = len(items)
+        ok = np.zeros((count, count), bool)
+        for k in range(count - 1):
+            differ = np.bitwise_count(sketch[k + 1 :] ^ sketch[k]).sum(axis=1, dtype=np.int64)
+            ok[k, k + 1 :] = bound.fits(differ, sizes[k + 1 :], sizes[k])
+            if bound.sizes is not None:
+                ok[k, k + 1 :] &= np.abs(sizes[k + 1 :] - sizes[k]) <= bound.sizes
+        if table["i"][0].as_py() != table["j"][0].as_py():
+            ok &= part[:, None] != part[None, :]
+        ok &= ~_sharing(table["before"].to_pylist())
+        a, b = np.nonzero(ok)
+        yes = judged(table["content"], a, b)
+        ok[a[~yes], b[~yes]] = False
+        ok |= ok.T
+        number = ok.sum(axis=1)
+        some = np.flatnonzero(number)
+        one, two = _tree(ok)
+        none = np.zeros(len(one), np.int64)
+        columns = {
+            "a": pa.array(np.concatenate([items[some], items[one]]), pa.int64()),
+            "b": pa.array(np.concatenate([number[some], items[two]]), pa.int64(), mask=np.arange(len(some) + len(one)) < len(some)),
+            "n": pa.array(np.concatenate([number[some], none]), pa.int64(), mask=np.arange(len(some) + len(one)) >= len(some)),
+        }
+        return pa.table(columns)
+
+    return run
+
+
+def _sharing(lists: list[list[int]]) -> np.ndarray:
+    """Which pairs of lists have an entry in common."""
+    shared = np.zeros((len(lists), len(lists)), bool)
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    names, code, times = np.unique(np.array([x for part in lists for x in part], np.int64), return_inverse=True, return_counts=True)
+    several = np.flatnonzero(times > 1)
+    place = np.full(len(names), -1)
+    place[several] = np.arange(len(several))
+    column = place[code]
+    for start in range(0, len(several), 1024):
+        now = (column >= start) & (column < start + 1024)
+        has = np.zeros((len(lists), min(1024, len(several) - start)), np.float32)
+        has[owner[now], column[now] - start] = 1
+        shared |= has @ has.T > 0
+    return shared
+
+
+def _tree(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that reach from the first item of each component to all others."""
+    seen = ~linked.any(axis=1)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for root in range(len(linked)):
+        ahead = [] if seen[root] else [root]
+        seen[root] = True
+        while ahead:
+            at = ahead.pop()
+            new = np.flatnonzero(linked[at] & ~seen)
+            seen[new] = True
+            a.append(np.full(len(new), at))
+            b.append(new)
+            ahead += new.tolist()
+    return np.concatenate(a), np.concatenate(b)
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Members of a meeting dealt to pairs of blocks of bounded size."""
     parts = F.ceil(F.col("n_items") / BLOCK).cast("int")
@@ -250,18 +323,8 @@ def _verified(pairs: DataFrame, contents: DataFrame, linked: Callable[[bytes, by
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
 
 
-def links(
-    rows: DataFrame,
-    bound: Bound,
-    contents: Callable[[DataFrame], DataFrame],
-    linked: Callable[[bytes, bytes], bool],
-) -> DataFrame:
-    """(a, b): verified links between items that connect all items that are linked.
-
-    ``rows`` are PACKED; ``contents`` gives (item, content binary) of the
-    wanted items; ``linked`` judges two contents. Small meetings give all
-    their links, large ones a set that connects the same items.
-    """
+def _candidates(rows: DataFrame, bound: Bound) -> tuple[DataFrame, DataFrame]:
+    """Members of large meetings, and the close pairs of small ones."""
     met = rows.groupBy("bucket").applyInArrow(_meet, "chunk long, kind int, keys binary, items binary")
     columns = ", ".join(f"{c} long" for c in ["meeting", "item", "n", *_parts(bound.bits)])
     members = written(met.groupBy("chunk").applyInArrow(_members(bound.bits), columns), "members")
@@ -281,10 +344,28 @@ def links(
         close &= F.abs(F.col("l.n") - F.col("r.n")) <= bound.sizes
     pairs = left.join(right, (F.col("l.meeting") == F.col("r.meeting")) & (F.col("l.item") < F.col("r.item")) & close)
     pairs = written(pairs.select(F.col("l.item").alias("a"), F.col("r.item").alias("b")).distinct(), "pairs")
-    large = members.filter(F.col("n_items") > SMALL_GROUP)
+    return members.filter(F.col("n_items") > SMALL_GROUP), pairs
+
+
+def _held(pairs: DataFrame, large: DataFrame, contents: Callable[[DataFrame], DataFrame]) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(large.select("item")).distinct()
-    wanted = written(wanted, "wanted")
-    held = written(contents(wanted), "contents")
+    return written(contents(written(wanted, "wanted")), "contents")
+
+
+def links(
+    rows: DataFrame,
+    bound: Bound,
+    contents: Callable[[DataFrame], DataFrame],
+    linked: Callable[[bytes, bytes], bool],
+) -> DataFrame:
+    """(a, b): verified links between items that connect all items that are linked.
+
+    ``rows`` are PACKED; ``contents`` gives (item, content binary) of the
+    wanted items; ``linked`` judges two contents. Small meetings give all
+    their links, large ones a set that connects the same items.
+    """
+    large, pairs = _candidates(rows, bound)
+    held = _held(pairs, large, contents)
     found = written(_verified(pairs, held, linked), "links")
     if large.isEmpty():
         return found
@@ -300,3 +381,36 @@ def links(
     joined = _blocks(joined.join(held, "item"))
     across = joined.groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, linked), "a long, b long")
     return found.union(written(across.distinct(), "links"))
+
+
+def counted_links(
+    rows: DataFrame,
+    bound: Bound,
+    contents: Callable[[DataFrame], DataFrame],
+    linked: Callable[[bytes, bytes], bool],
+    judged: Callable[[pa.ChunkedArray, np.ndarray, np.ndarray], np.ndarray],
+) -> tuple[DataFrame, DataFrame]:
+    """Links as of ``links``, and (item, n): with how many items each item is linked, however large its meetings.
+
+    ``judged`` is ``linked`` for many pairs: it gets contents and the places
+    of either end and tells which pairs are linked.
+    """
+    large, pairs = _candidates(rows, bound)
+    some = not large.isEmpty()
+    if some:
+        # Pairs that also share a large meeting are judged there.
+        shared = written(large.groupBy("item").agg(F.collect_set("meeting").alias("m")), "shared")
+        left, right = shared.select(F.col("item").alias("a"), F.col("m").alias("x")), shared.select(F.col("item").alias("b"), F.col("m").alias("y"))
+        pairs = pairs.join(left, "a", "left").join(right, "b", "left").filter(~F.coalesce(F.arrays_overlap("x", "y"), F.lit(False)))
+        pairs = written(pairs.select("a", "b"), "pairs")
+    held = _held(pairs, large, contents)
+    found = written(_verified(pairs, held, linked), "links")
+    ends = found.select(F.col("a").alias("item")).union(found.select("b")).withColumn("n", F.lit(1).cast("long"))
+    if some:
+        larger = Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting").rowsBetween(Window.unboundedPreceding, -1)
+        joined = _blocks(large.withColumn("before", F.collect_list("meeting").over(larger)).join(held, "item"))
+        across = joined.groupBy("meeting", "i", "j").applyInArrow(_counted(bound, judged), "a long, b long, n long")
+        across = written(across, "counted")
+        found = found.union(across.filter("n IS NULL").select("a", "b"))
+        ends = ends.union(across.filter("n IS NOT NULL").select("a", "n"))
+    return found, ends.groupBy("item").agg(F.sum("n").alias("n"))

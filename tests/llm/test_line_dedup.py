@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm import line_dedup
@@ -65,6 +66,31 @@ def test_equals_brute_force(frame, seed, texts, edits):
     assert {(r.doc_id, r.line_no): (r.rep_doc_id, r.rep_line_no, r.kept) for r in got} == expected(rows, edits)
 
 
+@pytest.mark.parametrize("block", [600, 20])
+def test_links_of_large_groups_are_all_counted(frame, monkeypatch, block):
+    """Groups beyond SMALL_GROUP, in one block and in many, whose pairs share several meetings."""
+    monkeypatch.setattr(line_dedup.meetings, "SMALL_GROUP", 4)
+    monkeypatch.setattr(line_dedup.meetings, "BLOCK", block)
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randint(24, 60))) for _ in range(3)]
+    rows = [(k, changed(rng, base[k % 3 if k % 5 else 0], rng.randint(0, 3))) for k in range(150)]
+    texts = {d: x for d, x in rows}
+    different = set(texts.values())
+    near = {x: sum(y != x and min(len(x), len(y)) >= line_dedup.MIN_LENGTH and distance(x, y) <= 3 for y in different) for x in different}
+    got = {r.doc_id: r.n_links for r in line_dedup.classes(frame(rows)).collect()}
+    assert got == {d: near[x] for d, x in rows}
+    assert max(got.values()) > 40
+
+
+def test_many_pairs_at_once():
+    rng = random.Random(5)
+    for edits in (0, 1, 3, 5):
+        texts = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 12))) for _ in range(60)]
+        a, b = (x.ravel() for x in np.indices((60, 60)))
+        got = line_dedup.pairs_within_edits([x.encode() for x in texts], a, b, edits)
+        assert got.tolist() == [distance(texts[x], texts[y]) <= edits for x, y in zip(a, b)]
+
+
 def test_texts_keep_their_first_lines(frame):
     line = "this line stands in every document of the table"
     rows = [(1, f"{line}\n\nown one\n"), (2, f"own two\n{line}x"), (3, None), (4, ""), (5, line)]
