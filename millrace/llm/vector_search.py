@@ -164,7 +164,8 @@ def search(
     rows = rows.filter(F.octet_length("vec") == size)
 
     # Of equal vectors, only the smallest ids can be in an answer: k, and one for the query itself.
-    numbered = rows.select("class", "vec_id", F.row_number().over(Window.partitionBy("class").orderBy("vec_id")).alias("n"))
+    numbered = rows.select("class", "vec_id").distinct()
+    numbered = numbered.withColumn("n", F.row_number().over(Window.partitionBy("class").orderBy("vec_id")))
     ids = numbered.filter(F.col("n") <= k + 1).groupBy("class").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
     one = rows.groupBy("class").agg(F.first("vec").alias("vec"))
     candidates = written(one.join(ids, "class"), "candidates")

@@ -58,6 +58,16 @@ def test_all_lists_give_the_exact_answer(llm, rows):
     assert same / (5 * len(expected)) > 0.98
 
 
+def test_repeated_rows_of_a_hot_vector(llm):
+    """Copies of one row take no place of the other ids with the same vector."""
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=8).tolist()
+    rows = [(k, hot) for k in range(1, 101)] + [(1, hot)] * 6 + [(1000 + k, rng.normal(size=8).tolist()) for k in range(1, 40)]
+    got = vector_search.search(vectors(llm, rows)).filter("query_id = 50").orderBy("rank").collect()
+    assert [(r.rank, r.vec_id) for r in got] == [(k, k) for k in range(1, 6)]
+    assert all(r.score == pytest.approx(1) for r in got)
+
+
 def test_few_and_no_rows(llm):
     few = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (7, [1.0, 1.0])]
     got = [(r.query_id, r.rank, r.vec_id) for r in vector_search.search(vectors(llm, few)).orderBy("query_id", "rank").collect()]
