@@ -36,6 +36,8 @@ LOOKS_LIKE = {
 # since leaving it out also saves what the character model asks for a letter.
 AS_LETTER, SHORTENED, HALVED, BROKEN, PARTED, JOINED = 1.0, 0.3, 4.0, 1.0, 3.0, 0.5
 DROPPED, DROPPED_AT_EDGE, LETTER_DROPPED, SYMBOL_AFTER, SYMBOLS_AFTER = 1.0, 0.2, 8.0, 3.0, 1.0
+# Marks that also end sentences and part columns; after a word they are dropped like any other mark.
+MARKS = "!|"
 # Symbols of the character model: 0 is the border of a word, 1-26 a-z, then the accented letters of Latin-1, then any other.
 SYMBOLS = 64
 REMEMBERED = 300_000
@@ -83,21 +85,32 @@ class Words:
             self.some = self.last > 0
             inside = letter.astype(np.int64)
             count = np.add.reduceat(inside, begin)
-            disguise = np.isin(self.points, [ord(c) for c in LOOKS_LIKE if c not in "!|"])
+            disguise = np.isin(self.points, [ord(c) for c in LOOKS_LIKE])
             thrice = np.zeros(len(letter), bool)
             thrice[2:] = letter[2:] & (self.letters[2:] == self.letters[1:-1]) & (self.letters[2:] == self.letters[:-2])
             owner = np.repeat(np.arange(self.size), np.diff(self.bounds))
             thrice[2:] &= owner[2:] == owner[:-2]
             odd = np.add.reduceat((disguise | thrice).astype(np.int64), begin) > 0
-            self.odd = self.some & (odd | (count < self.last - self.first))
-            self.single = self.some & (np.diff(self.bounds) == 1)
+            # What has no letter may be written wholly in symbols.
+            self.odd = np.where(self.some, odd | (count < self.last - self.first), odd & (np.diff(self.bounds) > 1))
+            # A word of one character that can be read as a letter, and of marks around it.
+            mark = np.isin(self.points, [ord(c) for c in MARKS])
+            read, marks = letter | (disguise & ~mark), np.add.reduceat(mark.astype(np.int64), begin)
+            reads = np.add.reduceat(read.astype(np.int64), begin)
+            self.single = (reads == 1) | ((reads == 0) & (marks == 1))
+            chosen = np.where(np.repeat(reads == 1, np.diff(self.bounds)), read, mark)
+            self.sole = np.maximum.reduceat(np.where(chosen, at, -1), begin)
         else:
-            self.first = self.last = np.zeros(0, np.int64)
+            self.first = self.last = self.sole = np.zeros(0, np.int64)
             self.some = self.odd = self.single = np.zeros(0, bool)
 
     def text(self, k: int) -> str:
         return self.points[self.bounds[k] : self.bounds[k + 1]].tobytes().decode("utf-32-le")
 
+    def letter(self, k: int) -> str:
+        """The character of a single word that can be read as a letter."""
+        return chr(self.points[self.sole[k]])
+
 
 def trigrams(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of symbol trigrams over the plain words of some texts, borders included."""
@@ -168,10 +181,16 @@ class Restorer:
             else:
                 runs.append((char, 1))
         logs = self.logs
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # In a word without letters the last symbol is as much a letter as the others.
+        bare = not any(_tables()[0][ord(char)] for char, _ in runs)
+        # A path is its last letters and the path before them, so that a long run costs no copies.
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for n, (char, times) in enumerate(runs):
-            options = _options(char, times, _place(n, len(runs)))
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            place = _place(n, len(runs))
+            if bare and place == "last" and char not in MARKS:
+                place = "inside"
+            options = _options(char, times, place)
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (x, y), (score, path) in states.items():
                 for letters, cost in options:
                     a, b, total = x, y, score - cost
@@ -186,10 +205,15 @@ class Restorer:
                             a, b = b, c
                     held = after.get((a, b))
                     if held is None or held[0] < total:
-                        after[a, b] = (total, path + letters)
+                        after[a, b] = (total, (letters, path))
             states = after
         ended = [(score + (logs[(a * SYMBOLS + b) * SYMBOLS] if b else 0.0), path) for (a, b), (score, path) in states.items()]
-        return max(ended)[1]
+        path = max(ended, key=lambda end: end[0])[1]
+        parts = []
+        while path is not None:
+            letters, path = path
+            parts.append(letters)
+        return "".join(reversed(parts))
 
 
 @lru_cache(maxsize=100_000)
@@ -205,7 +229,7 @@ def _options(char: str, times: int, place: str) -> tuple[tuple[str, float], ...]
         # Single letters in a row: the blank falls away or parts two words.
         return (("", JOINED), (" ", PARTED))
     letters = LOOKS_LIKE.get(char, "")
-    if not letters:
+    if not letters or (place == "last" and char in MARKS):
         dropped = DROPPED if place == "inside" else DROPPED_AT_EDGE
     elif place == "last" and not char.isdigit():
         dropped = SYMBOL_AFTER if times == 1 else SYMBOLS_AFTER
@@ -271,8 +295,8 @@ def restored_words(words: Words, restorer: Restorer) -> tuple[np.ndarray, np.nda
     return np.concatenate(letters), bounds, np.concatenate(texts), np.concatenate(which)
 
 
-def spelled_out(words: Words, text_of: np.ndarray, least: int = 4) -> list[tuple[int, str]]:
-    """Runs of ``least`` or more single letters in a text, as (text, letters with blanks)."""
+def spelled_out(words: Words, text_of: np.ndarray, least: int = 2) -> list[tuple[int, str]]:
+    """Runs of ``least`` or more single characters that may be letters in a text, as (text, characters with blanks)."""
     single = words.single[words.like] if words.size else np.zeros(0, bool)
     if not single.any():
         return []
@@ -283,7 +307,7 @@ def spelled_out(words: Words, text_of: np.ndarray, least: int = 4) -> list[tuple
     out = []
     for a, b in zip(np.flatnonzero(begin), np.flatnonzero(end) + 1):
         if b - a >= least:
-            out.append((int(text_of[a]), " ".join(words.text(k) for k in words.like[a:b])))
+            out.append((int(text_of[a]), " ".join(words.letter(k) for k in words.like[a:b])))
     return out
 
 

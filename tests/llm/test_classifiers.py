@@ -81,6 +81,20 @@ def test_disguised_texts_score_like_plain_ones(frame, judge):
     assert toxicity.score(frame([]), judge).collect() == []
 
 
+def test_disguises_reach_the_decoder(frame, judge):
+    """Spaced leetspeak, spaced words of few letters, attached marks, symbols only, and marks at either end."""
+    clean = "the thing that is and of for with this " * 6
+    forms = ["1 d 1 0 t", "$ c u m", "i. d. i. o. t.", "!diot", "|diot"]
+    rows = [(k, clean + " ".join([x + " the"] * 3)) for k, x in enumerate(forms)] + [(100, clean), (101, clean + "the! thing!! | this!")]
+    got = {r.doc_id: r for r in toxicity.score(frame(rows), judge).collect()}
+    assert [x for k, x in enumerate(forms) if got[k].score <= got[100].score] == []
+    assert got[101].predicted == 0
+    more = [(1, "455"), (2, "4$$"), (3, "a s s"), (4, "the! thing!!"), (5, "7"), (6, "0 1 " * 20_000)]
+    words = {r.doc_id: r.restored.split() for r in toxicity.restored(frame(more), judge).collect()}
+    assert words[1] and words[2] and set(words[1] + words[2]) <= {"as", "ass", "asss"}
+    assert any(len(x) > 1 for x in words[3]) and words[4] == ["the", "thing"] and words[5] == [] and words[6]
+
+
 def test_viterbi_is_the_best_path(judge):
     """Against all readings of short words."""
     restorer = toxicity.Restorer(judge.logs)
