@@ -211,7 +211,11 @@ def _fit(rows: DataFrame, total: int) -> tuple[np.ndarray | None, list[float]]:
     if not sample.num_rows:
         return None, []
     size, (_, vectors) = max(_matrix(sample["vec"].combine_chunks()).items(), key=lambda item: (len(item[1][0]), -item[0]))
-    directions = np.linalg.svd(vectors.astype(np.float64), full_matrices=True)[2].T if size and vectors.any() else None
+    directions = None
+    if size:
+        # The triangle of a QR decomposition has the sample's singular directions and no more than size rows.
+        triangle = np.linalg.qr(vectors.astype(np.float64), mode="r")
+        directions = np.linalg.svd(triangle, full_matrices=True)[2].T
     norms = np.sort(sample["norm"].to_numpy())[::-1]
     head = min(len(norms) - 1, int(len(norms) * min(1.0, HEAD_ROWS / total)))
     places = np.linspace(head, len(norms), BANDS, endpoint=False).astype(int) if head < len(norms) - 1 else []
