@@ -53,7 +53,8 @@ def _kept(edges: DataFrame, before: int | None) -> tuple[DataFrame, dict]:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    # Written, so that the join has a shuffle on either side and Spark can split a node with very many links.
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     out = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
     return out.filter("a < b")
 

@@ -27,6 +27,15 @@ SETTINGS = {
 }
 
 
+# Python workers give large arrays back to the system when they are done with them, and share few arenas.
+WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Settings of the operators: the library's own, and Arrow batches of a bounded number of texts.
 
@@ -35,6 +44,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """
     configure(spark)
     environment = spark.sparkContext.environment
+    environment.update(WORKER_MEMORY)
     folder = str(Path(__file__).resolve().parents[2])
     if folder not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), folder]))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import meetings, ragged
 from millrace.llm.components import components
-from millrace.llm.frames import map_texts, only_wanted, written
+from millrace.llm.frames import map_texts, named_inside, only_wanted, written
 
 # Edits within which lines are near copies.
 EDITS = 3
@@ -54,14 +54,18 @@ def line_names(buf, starts, ends) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
+    """Lines of every row; ``of`` tells different texts under one id apart."""
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         buf, offsets = ragged.column_bytes(batch["text"])
         starts, ends, owner, number = lines(buf, offsets)
         one, two = line_names(buf, starts, ends)
-        ids = batch["id"].take(pa.array(owner, pa.int64()))
-        return pa.record_batch([ids, pa.array(number, pa.int32()), pa.array(one), pa.array(two)], ["doc_id", "line_no", "one", "two"])
+        rows = pa.array(owner, pa.int64())
+        columns = [batch["id"].take(rows), batch["of"].take(rows), pa.array(number, pa.int32()), pa.array(one), pa.array(two)]
+        return pa.record_batch(columns, ["doc_id", "of", "line_no", "one", "two"])
 
-    return map_texts(docs, {"id": "doc_id", "text": "text"}, run, "doc_id long, line_no int, one long, two long")
+    named = docs.withColumn("of", F.xxhash64("text"))
+    return map_texts(named, {"id": "doc_id", "of": "of", "text": "text"}, run, "doc_id long, of long, line_no int, one long, two long")
 
 
 def different_lines(buf, offsets, least: int):
@@ -306,6 +310,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits:
     with equal ids count as one document. Names of lines have 127 bits, 63 of
     them in the join.
     """
+    return _judged_lines(docs, doc_id, text, edits).drop("of")
+
+
+def _judged_lines(docs: DataFrame, doc_id: str, text: str, edits: int) -> DataFrame:
+    """The rows of ``classes``, and in ``of`` the hash of the text that each line stands in."""
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter("doc_id IS NOT NULL")
     occurrences = written(_occurrences(docs), "lines")
@@ -331,6 +340,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits:
     out = occurrences.join(special, ["one", "two"], "left").withColumn("rep", F.coalesce("rep", own))
     return out.select(
         "doc_id",
+        "of",
         "line_no",
         F.col("rep.doc_id").alias("rep_doc_id"),
         F.col("rep.line_no").alias("rep_line_no"),
@@ -340,9 +350,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits:
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
-    """The rows of ``docs`` without the lines that are not kept; other lines, blank ones too, stay as they are."""
-    dropped = classes(docs, doc_id, text, edits).filter(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    dropped = dropped.withColumnRenamed("doc_id", "_of")
-    left = F.filter(F.split(F.col(f"`{text}`"), "\n", -1), lambda line, at: ~F.array_contains("_gone", at))
-    joined = docs.join(dropped, F.col(f"`{doc_id}`") == F.col("_of"), "left")
-    return joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n"))).select(docs.columns)
+    """The rows of ``docs`` without the lines that are not kept; other lines, blank ones too, stay as they are.
+
+    Columns keep their names and types, whatever they are called. Of rows with
+    one id and different texts each loses its own lines only. Rows with a null
+    id or text stay as they are; an empty table stays empty.
+    """
+    dropped = _judged_lines(docs, doc_id, text, edits).filter(~F.col("kept"))
+    of, same, gone = named_inside("of"), named_inside("text"), named_inside("gone")
+    dropped = dropped.groupBy(F.col("doc_id").alias(of), F.col("of").alias(same)).agg(F.collect_set("line_no").alias(gone))
+    left = F.filter(F.split(F.col(f"`{text}`"), "\n", -1), lambda line, at: ~F.array_contains(gone, at))
+    joined = docs.join(dropped, (F.col(f"`{doc_id}`").cast("long") == F.col(of)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(same)), "left")
+    out = F.when(F.col(gone).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n"))
+    return joined.select(*[out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -27,6 +27,8 @@ from millrace.llm.frames import written
 # Items in a meeting that are compared by a plain join, and the size of blocks beyond.
 SMALL_GROUP = 24
 BLOCK = 600
+# Sum of the sizes of a block's items, unless a single one is larger.
+BLOCK_SIZES = 1 << 20
 # Hubs of a block at first, and the meetings of an item that are looked at for them.
 HUBS = 64
 FIRST_MEETINGS = 2
@@ -151,7 +153,7 @@ def _members(bits: int):
         some = np.unique(at)
         none = np.zeros(len(at), np.int64)
         columns = {"meeting": np.concatenate([name, np.full(len(some), -1)]), "item": np.concatenate([ids[at], ids[some]])}
-        columns["n"] = np.concatenate([none, sizes[some]])
+        columns["n"] = np.concatenate([sizes[at], sizes[some]])
         for k, part in enumerate(_parts(bits)):
             columns[part] = np.concatenate([none, sketch[some, k]])
         return pa.table({column: pa.array(values, pa.int64()) for column, values in columns.items()})
@@ -306,7 +308,7 @@ def _tree(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(members: DataFrame) -> DataFrame:
     """Members of a meeting dealt to pairs of blocks of bounded size."""
-    parts = F.ceil(F.col("n_items") / BLOCK).cast("int")
+    parts = F.greatest(F.ceil(F.col("n_items") / BLOCK), F.ceil(F.col("n_all") / BLOCK_SIZES)).cast("int")
     dealt = members.withColumn("part", F.pmod(F.xxhash64("item"), parts).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     return dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("other")
@@ -328,14 +330,14 @@ def _candidates(rows: DataFrame, bound: Bound) -> tuple[DataFrame, DataFrame]:
     met = rows.groupBy("bucket").applyInArrow(_meet, "chunk long, kind int, keys binary, items binary")
     columns = ", ".join(f"{c} long" for c in ["meeting", "item", "n", *_parts(bound.bits)])
     members = written(met.groupBy("chunk").applyInArrow(_members(bound.bits), columns), "members")
-    named = members.filter("meeting >= 0").select("meeting", "item")
+    named = members.filter("meeting >= 0").select("meeting", "item", "n")
     known = members.filter("meeting < 0").drop("meeting").dropDuplicates(["item"])
     # Meetings of the very same items are looked at once.
     groups = named.groupBy("meeting").agg(
-        F.count("*").alias("n_items"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y")
+        F.count("*").alias("n_items"), F.sum("n").alias("n_all"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y")
     )
-    groups = groups.groupBy("n_items", "x", "y").agg(F.min("meeting").alias("meeting")).select("meeting", "n_items")
-    members = written(named.join(groups, "meeting").join(known, "item"), "meetings")
+    groups = groups.groupBy("n_items", "n_all", "x", "y").agg(F.min("meeting").alias("meeting")).select("meeting", "n_items", "n_all")
+    members = written(named.drop("n").join(groups, "meeting").join(known, "item"), "meetings")
     small = members.filter(F.col("n_items") <= SMALL_GROUP)
     left, right = small.alias("l"), small.alias("r")
     differ = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in _parts(bound.bits)), F.lit(0))
@@ -347,9 +349,12 @@ def _candidates(rows: DataFrame, bound: Bound) -> tuple[DataFrame, DataFrame]:
     return members.filter(F.col("n_items") > SMALL_GROUP), pairs
 
 
-def _held(pairs: DataFrame, large: DataFrame, contents: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(large.select("item")).distinct()
-    return written(contents(written(wanted, "wanted")), "contents")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("item")).union(pairs.select("b"))
+
+
+def _held(items: DataFrame, contents: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return written(contents(written(items.distinct(), "wanted")), "contents")
 
 
 def links(
@@ -365,21 +370,26 @@ def links(
     their links, large ones a set that connects the same items.
     """
     large, pairs = _candidates(rows, bound)
-    held = _held(pairs, large, contents)
-    found = written(_verified(pairs, held, linked), "links")
-    if large.isEmpty():
+    some = not large.isEmpty()
+    if some:
+        # These links need not be complete, so an item's largest meetings will do.
+        largest = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting"))
+        joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
+        joined = joined.withColumn("component", F.col("item"))
+        across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound), "a long, b long")
+        pairs = written(pairs.union(across).distinct(), "pairs")
+    found = written(_verified(pairs, _held(_ends(pairs), contents), linked), "links")
+    if not some:
         return found
-    # These links need not be complete, so an item's largest meetings will do.
-    largest = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n_items"), "meeting"))
-    joined = large.withColumn("place", largest).filter(F.col("place") <= FIRST_MEETINGS).drop("place")
-    joined = joined.withColumn("component", F.col("item"))
-    across = _blocks(joined).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound), "a long, b long")
-    found = found.union(written(_verified(across.distinct(), held, linked), "links"))
-    # What is still apart is compared within all its meetings.
+    # Meetings that hold items of several components are compared whole; the settled ones move no contents.
     known = components(found).select(F.col("node").alias("item"), "component")
-    joined = large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
-    joined = _blocks(joined.join(held, "item"))
-    across = joined.groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, linked), "a long, b long")
+    joined = written(large.join(known, "item", "left").withColumn("component", F.coalesce("component", "item")), "known")
+    apart = joined.groupBy("meeting").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    joined = written(joined.join(written(apart.select("meeting"), "apart"), "meeting"), "open")
+    if joined.isEmpty():
+        return found
+    held = _held(joined.select("item"), contents)
+    across = _blocks(joined.join(held, "item")).groupBy("meeting", "i", "j").applyInArrow(_crossing(bound, linked), "a long, b long")
     return found.union(written(across.distinct(), "links"))
 
 
@@ -403,7 +413,7 @@ def counted_links(
         left, right = shared.select(F.col("item").alias("a"), F.col("m").alias("x")), shared.select(F.col("item").alias("b"), F.col("m").alias("y"))
         pairs = pairs.join(left, "a", "left").join(right, "b", "left").filter(~F.coalesce(F.arrays_overlap("x", "y"), F.lit(False)))
         pairs = written(pairs.select("a", "b"), "pairs")
-    held = _held(pairs, large, contents)
+    held = _held(_ends(pairs).union(large.select("item")), contents)
     found = written(_verified(pairs, held, linked), "links")
     ends = found.select(F.col("a").alias("item")).union(found.select("b")).withColumn("n", F.lit(1).cast("long"))
     if some:

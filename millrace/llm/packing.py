@@ -29,6 +29,8 @@ from millrace.llm.token_counts import MergeRanks, byte_alphabet, merged
 
 # Groups into which the pieces of one length are dealt for numbering.
 SALTS = 256
+# Different words whose ids a worker keeps, before it begins anew.
+WORDS_REMEMBERED = 500_000
 # Code points up to here are lower-cased and split here; other texts go to the tokenizer whole.
 _PLAIN_LETTERS = (0x00C0, 0x024F)
 
@@ -131,7 +133,7 @@ class WordTokenizer:
 
     def _remember(self, keys, checks, pool, pool_bounds):
         keys, checks = np.concatenate([self.keys, keys]), np.concatenate([self.checks, checks])
-        if len(keys) > 2_000_000:
+        if len(keys) > WORDS_REMEMBERED:
             self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
             self.ids, self.bounds = np.zeros(0, np.int64), np.zeros(1, np.int64)
             return

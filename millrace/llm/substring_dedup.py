@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import ragged
-from millrace.llm.frames import map_texts, only_wanted, written
+from millrace.llm.frames import map_texts, named_inside, only_wanted, written
 
 WINDOW = 50
 # Words that one part of the hash space receives on average.
@@ -66,7 +66,7 @@ def _chunk_ids() -> Iterator[int]:
 
 def _probes(docs: DataFrame, doc_id: str, text: str, block: int, buckets: int) -> DataFrame:
     """Packed probes of every slice, with a row that tells places from documents."""
-    chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).filter("id IS NOT NULL")
 
     def run(batches):
         chunk = _chunk_ids()
@@ -77,7 +77,7 @@ def _probes(docs: DataFrame, doc_id: str, text: str, block: int, buckets: int) -
             good = np.flatnonzero(ragged.within(firsts, block))
             if not len(good):
                 continue
-            ids = batch["id"].fill_null(-1).to_numpy(zero_copy_only=False)
+            ids = batch["id"].to_numpy(zero_copy_only=False)
             hashes = ragged.window_hashes(ragged.span_hashes(buf, starts, ends), block, _ROLL[0])[good]
             owner = np.searchsorted(firsts, good, "right") - 1
             order = np.argsort(hashes, kind="stable")
@@ -200,7 +200,7 @@ def anchored(docs: DataFrame, doc_id: str, text: str, window: int, buckets: int)
         .applyInArrow(_meet, "chunk long, kind int, keys binary, places binary, n int")
     )
     marks = met.groupBy("chunk").applyInArrow(_anchors, "doc_id long, marks binary")
-    return marks.filter("doc_id >= 0").groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
+    return marks.groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
 
 
 def _window_keys(ids, texts, marks, window):
@@ -281,14 +281,14 @@ def repeats(
     sha, spans, n_removed, kept_sha256) for other documents with repeats;
     ``spans`` are [start, end) numbers of removed words. A word is removed if a
     window of ``window`` words covers it that also stands in a document with a
-    smaller id. Rows with a null or negative id are left alone; rows with equal
+    smaller id. Rows with a null id are left alone; rows with equal
     ids do not repeat each other; null and short texts have no window.
     """
     spark = docs.sparkSession
     digests = written(word_digests(docs, doc_id, text), "digests")
     total = digests.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // WORDS_PER_BUCKET)
-    first = digests.filter(f"n_words >= {window} AND doc_id >= 0").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    first = digests.filter(f"n_words >= {window} AND doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Written, so that the join has a shuffle on either side and Spark can split a text with very many copies.
     first = written(first.filter("n > 1").drop("n"), "firsts")
     flagged = digests.join(first, "sha", "left").select(
@@ -398,8 +398,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     flagged, changed = repeats(docs, doc_id, text, window)
     whole = F.array(F.array(F.lit(0), F.col("n_words").cast("int")))
     gone = changed.select("doc_id", "sha", "spans").union(flagged.filter("copy").select("doc_id", "sha", whole.alias("spans")).distinct())
-    gone = gone.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("sha", "spans")).alias("_gone"))
-    joined = docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("_of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_gone")
+    of, spans_of = named_inside("of"), named_inside("gone")
+    gone = gone.groupBy(F.col("doc_id").alias(of)).agg(F.collect_list(F.struct("sha", "spans")).alias(spans_of))
+    joined = docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col(of), "left").select(*[F.col(f"`{c}`") for c in docs.columns], spans_of)
     names = docs.columns
 
     def run(batches):
@@ -407,7 +408,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
             buf, offsets = ragged.column_bytes(batch[text])
             starts, _, firsts = ragged.words(buf, offsets)
             raw, texts, kept = buf.tobytes(), batch[text].to_pylist(), np.ones(batch.num_rows, bool)
-            for k, known in enumerate(batch["_gone"].to_pylist()):
+            for k, known in enumerate(batch[spans_of].to_pylist()):
                 if known is None:
                     continue
                 own = raw[offsets[k] : offsets[k + 1]]

@@ -17,9 +17,11 @@ them.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.frames import written
@@ -38,25 +40,18 @@ FIRST_CANDIDATES = 64
 SEED = 17
 
 
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Usable vectors of a list column as float64 rows, and their rows; the most common length decides."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    rows = [
-        (k, values)
-        for k, values in enumerate(column.to_numpy(zero_copy_only=False))
-        if values is not None and len(values) and values.dtype != object
-    ]
-    if not rows:
-        return np.zeros((0, 0)), np.zeros(0, np.int64)
-    lengths = np.array([len(v) for _, v in rows])
-    common = np.bincount(lengths).argmax()
-    kept = [k for k in range(len(rows)) if lengths[k] == common]
-    out = np.stack([rows[k][1] for k in kept]).astype(np.float64)
-    with np.errstate(over="ignore", invalid="ignore"):
-        norms = np.sqrt((out * out).sum(axis=1))
-    good = np.isfinite(out).all(axis=1) & np.isfinite(norms) & (norms > 0)
-    return out[good], np.array([rows[k][0] for k in kept], np.int64)[good]
+def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Usable vectors of a list column as float64 rows, and their places; a matrix for each length."""
+    lengths = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = pc.list_flatten(column).cast(pa.float64()).to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths) - lengths
+    for size in np.unique(lengths[lengths > 0]):
+        at = np.flatnonzero(lengths == size)
+        rows = values[starts[at][:, None] + np.arange(size)]
+        with np.errstate(over="ignore", invalid="ignore"):
+            norms = np.sqrt((rows * rows).sum(axis=1))
+            good = np.isfinite(rows).all(axis=1) & np.isfinite(norms) & (norms > 0)
+        yield rows[good], at[good]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -120,13 +115,13 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows, at = matrix(batch["embedding"])
-            rows = rows + 0.0  # no negative zeros
-            raw = [row.tobytes() for row in rows]
-            names = [hashlib.blake2b(x, digest_size=16).digest() for x in raw]
-            yield pa.record_batch(
-                [batch["vec_id"].take(pa.array(at)), pa.array(names, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "class", "vec"]
-            )
+            for rows, at in matrices(batch["embedding"]):
+                rows = rows + 0.0  # no negative zeros
+                raw = [row.tobytes() for row in rows]
+                names = [hashlib.blake2b(x, digest_size=16).digest() for x in raw]
+                yield pa.record_batch(
+                    [batch["vec_id"].take(pa.array(at)), pa.array(names, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "class", "vec"]
+                )
 
     chosen = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").alias("embedding"))
     return chosen.filter("vec_id IS NOT NULL").mapInArrow(run, "vec_id long, class binary, vec binary")

@@ -112,3 +112,21 @@ def test_long_line_and_empty_table(frame):
     got = {r.doc_id: r.kept for r in line_dedup.classes(frame(rows)).collect()}
     assert got == {1: True, 2: False, 3: True}
     assert line_dedup.classes(frame([])).collect() == []
+
+
+def test_columns_of_any_name_stay_and_equal_ids_lose_their_own_lines(llm):
+    line = "the very same line stands in both of them"
+    rows = [
+        (1, f"{line}\nfirst of all", "a", 1),
+        (2, f"alone here\n{line}", "b", 2),
+        (2, f"kept in the other text\nwith this line of its own\n{line}", "c", 3),
+        (2, f"alone here\n{line}", "d", 4),
+        (None, line, None, None),
+        (4, None, "e", 5),
+    ]
+    docs = llm.createDataFrame(rows, "doc_id int, text string, _of string, _gone long")
+    out = line_dedup.deduplicated(docs)
+    assert out.schema == docs.schema
+    texts = {r._gone: r.text for r in out.collect()}
+    assert texts == {1: rows[0][1], 2: "alone here", 3: "kept in the other text\nwith this line of its own", 4: "alone here", None: line, 5: None}
+    assert line_dedup.deduplicated(docs.limit(0)).collect() == []

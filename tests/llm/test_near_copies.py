@@ -118,14 +118,14 @@ def left(rows, window=50):
     words = [(i, re.findall(WORD, t or "")) for i, t in rows]
     first = {}
     for i, w in words:
-        if i is not None and i >= 0:
+        if i is not None:
             for k in range(len(w) - window + 1):
                 key = tuple(w[k : k + window])
                 first[key] = min(first.get(key, i), i)
     out = []
     for i, w in words:
         gone = set()
-        if i is not None and i >= 0:
+        if i is not None:
             for k in range(len(w) - window + 1):
                 if first[tuple(w[k : k + window])] < i:
                     gone.update(range(k, k + window))
@@ -147,3 +147,21 @@ def test_texts_lose_their_repeats(frame):
     got = {r.doc_id: r.text for r in substring_dedup.deduplicated(frame(rows)).collect()}
     assert got == {1: rows[0][1], 2: "own  rest", 4: "short", 5: None}
     assert substring_dedup.digests_after(frame([])).collect() == []
+
+
+def test_negative_ids_count_like_others(frame):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(-5, passage), (3, f"own {passage}"), (None, passage), (-9, f"x {passage[:-4]}")]
+    got = [tuple(r) for r in substring_dedup.digests_after(frame(rows)).collect()]
+    assert sorted(got, key=str) == left(rows)
+    assert {(r[0], r[2]) for r in got} == {(-9, 0), (-5, 59), (3, 60), (None, 0)}
+
+
+def test_columns_of_any_name_stay(llm):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, passage, "a", 1), (2, f"own {passage}", "b", 2), (2, "other words", "c", 3), (None, None, None, None)]
+    docs = llm.createDataFrame(rows, "doc_id int, text string, _of string, _gone long")
+    out = substring_dedup.deduplicated(docs)
+    assert out.schema == docs.schema
+    assert {tuple(r) for r in out.collect()} == {rows[0], (2, "own ", "b", 2), rows[2], rows[3]}
+    assert substring_dedup.deduplicated(docs.limit(0)).collect() == []

@@ -24,7 +24,7 @@ def folder(llm, tmp_path_factory):
         (902, base.text, "en", "x", len(base.text)),
         (903, near.replace("\n", " "), "en", "x", len(near)),
         (904, f"the thing is of this and that {passage}", "en", "x", 400),
-        (905, f"for the one with that\n{passage} and of the", "en", "x", 400),
+        (905, f"for the one with that\n{passage} and this is the other part of it that they have with all of the others and of the", "en", "x", 400),
     ]
     docs.union(llm.createDataFrame(extra, docs.schema)).write.parquet(f"{path}/documents.parquet")
     return path
@@ -58,6 +58,22 @@ def test_stages(llm, folder):
     assert {r.doc_id for r in held[-1].collect()} == set(passages)
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_any_columns_and_rows(llm, name, stage):
+    """Null, repeated and negative ids, null, empty and very long texts, columns called as the operators' own, no rows."""
+    known = [(r.doc_id, r.text, r.lang) for r in llm.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    long = " ".join(f"{w} {k}" for k in range(4000) for w in ("the", "of", "and", "that"))
+    rows = known + known[:2] + [(None, known[0][1], "en"), (-3, long, "en"), (-4, None, "en"), (-5, "", "en"), (known[0][0], known[3][1], "en")]
+    docs = llm.createDataFrame([(*row, "x", 1, 2, 3.0, "y") for row in rows], "doc_id long, text string, lang string, source string, _of int, _gone long, score double, sha string")
+    out = stage(llm, docs, "")
+    if name != "packing":
+        assert out.schema == docs.schema
+    ids = [r.doc_id for r in out.collect()]
+    assert ids and set(ids) <= {row[0] for row in rows}
+    none = stage(llm, docs.limit(0), "")
+    assert none.schema == out.schema and none.collect() == []
+
+
 def test_run_equals_the_stages(llm, folder):
     docs = llm.read.parquet(f"{folder}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:

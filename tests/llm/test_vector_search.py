@@ -74,3 +74,22 @@ def test_few_and_no_rows(llm):
     assert got == [(0, 1, 7), (0, 2, 50), (50, 1, 7), (50, 2, 0)]
     assert vector_search.search(vectors(llm, [])).collect() == []
     assert vector_search.search(vectors(llm, [(0, None)])).collect() == []
+
+
+def test_other_lengths_do_not_depend_on_batches(llm):
+    """A minority of other lengths, together in one batch, takes no part; all other rows do."""
+    rng = np.random.default_rng(6)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(60)]
+    odd = [(100 + k, rng.normal(size=5).tolist()) for k in range(20)]
+    expected = nearest(rows, 50, 5)
+    for size in ("7", "2000"):
+        llm.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = vector_search.search(vectors(llm, odd + rows).coalesce(1)).orderBy("query_id", "rank").collect()
+        finally:
+            llm.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        found = {}
+        for r in got:
+            found.setdefault(r.query_id, []).append(r.vec_id)
+        assert set(found) == set(expected)
+        assert sum(len(set(found[q]) & set(expected[q])) for q in expected) >= 0.9 * 5 * len(expected)
