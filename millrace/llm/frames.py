@@ -10,7 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.ragged import slices
+from millrace.llm.ragged import SLICE_BYTES, slices
 from millrace.operators.layout import written
 from millrace.session import configure
 
@@ -27,15 +27,6 @@ SETTINGS = {
 }
 
 
-# Python workers give large arrays back to the system when they are done with them, and share few arenas.
-WORKER_MEMORY = {
-    "MALLOC_ARENA_MAX": "2",
-    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
-    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
-    "ARROW_DEFAULT_MEMORY_POOL": "system",
-}
-
-
 def prepared(spark: SparkSession) -> SparkSession:
     """Settings of the operators: the library's own, and Arrow batches of a bounded number of texts.
 
@@ -44,7 +35,6 @@ def prepared(spark: SparkSession) -> SparkSession:
     """
     configure(spark)
     environment = spark.sparkContext.environment
-    environment.update(WORKER_MEMORY)
     folder = str(Path(__file__).resolve().parents[2])
     if folder not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), folder]))
@@ -75,8 +65,9 @@ def map_texts(
     schema: str,
     text: str = "text",
     setup: Callable[[], object] | None = None,
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Apply ``fn`` to batches of about the same number of bytes of text.
+    """Apply ``fn`` to batches of about ``limit`` bytes of text.
 
     ``columns`` maps the names that ``fn`` sees to columns of ``df``; no other
     column is read. ``setup`` runs once a task and its result is passed on.
@@ -85,7 +76,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extra = (setup(),) if setup else ()
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, limit):
             out = fn(batch, *extra)
             if out is not None and out.num_rows:
                 yield out

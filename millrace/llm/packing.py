@@ -29,6 +29,8 @@ from millrace.llm.token_counts import MergeRanks, byte_alphabet, merged
 
 # Groups into which the pieces of one length are dealt for numbering.
 SALTS = 256
+# Bytes of text that are tokenized together; a worker holds some hundred times as much.
+TEXT_BYTES = 1 << 20
 # Different words whose ids a worker keeps, before it begins anew.
 WORDS_REMEMBERED = 500_000
 # Code points up to here are lower-cased and split here; other texts go to the tokenizer whole.
@@ -200,6 +202,7 @@ def pieces_of(
         run,
         schema + (", token_ids array<int>" if with_ids else ""),
         setup=lambda: tokenizer(path),
+        limit=TEXT_BYTES,
     )
 
 
