@@ -1,21 +1,24 @@
-"""Exact sums of amounts stored as doubles.
-
-Double sums depend on the order of addition, which no cluster fixes. Amounts
-with a known number of decimals are summed as whole units instead. Long
-arithmetic stays in generated code and is about ten times faster than
-decimals. Each unit count is summed in two parts, so no sum can overflow below
-some trillions of rows.
-
-Nothing is rounded away: an amount with more decimals than the ``scale`` of the
-call fails the query and names the amount. NaN and infinities have the result
-of a plain sum where the sum is a double, and fail where it is a decimal.
+"""Sums of amounts, independent of the order of addition, which no cluster fixes.
+
+``total`` and ``mean`` take any doubles: their sum is exact and rounded once
+(``functions/exact.py``). A decimal column needs neither: ``total_of`` sums it
+as it is.
+
+Where a result must be exact in decimals (products of prices and discounts,
+amounts carried from batch to batch), amounts are whole units of a declared
+number of decimals. Long arithmetic stays in generated code and is about ten
+times faster than decimals; each unit count is summed in two parts, so no sum
+can overflow below some trillions of rows. Declared decimals are a contract: an
+amount that has more, or that is not finite, fails the query and is named.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from millrace.functions.exact import exact_sum
 
 _LOW_BITS = 20
 # Decimals of an amount unless a call names another number.
@@ -52,16 +55,20 @@ def exact_total(value: Column | str, scale: int = DECIMALS) -> Column:
     return total_units(units(value, scale), scale)
 
 
-def total(value: Column | str, scale: int = DECIMALS) -> Column:
-    """Exact sum of an amount, as a double; NaN or infinite if a plain sum is."""
-    amount = _col(value)
-    odd = F.sum(F.when(~_finite(amount), amount.cast("double")))
-    return F.coalesce(odd, exact_total(F.when(_finite(amount), amount), scale).cast("double"))
+def total(value: Column | str) -> Column:
+    """Sum of any doubles, exact and rounded once; NaN or infinite if a plain sum is."""
+    return exact_sum(value)
 
 
-def mean(value: Column | str, scale: int = DECIMALS) -> Column:
+def mean(value: Column | str) -> Column:
     """Exact sum divided once by the number of non-null values; NULL if there is none."""
-    return F.try_divide(total(value, scale), F.count(_col(value)).cast("double"))
+    return F.try_divide(total(value), F.count(_col(value)).cast("double"))
+
+
+def total_of(df: DataFrame, name: str) -> Column:
+    """Sum of a column by its type: decimals and whole numbers as they are, doubles exactly."""
+    kind = df.schema[name].dataType
+    return total(name) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.sum(name)
 
 
 def line_amount(quantity: Column | str, price: Column | str, scale: int = DECIMALS) -> Column:
