@@ -6,7 +6,7 @@ from millrace.checks.registry import check
 from millrace.functions.money import discounted_total, mean, total, total_units, units
 from millrace.operators import aggregates
 
-_SUM = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
+_SUM = "exact_sum({0})"
 _PRICE_SUM = _SUM.format("l_extendedprice")
 _TOTAL_SUM = _SUM.format("o_totalprice")
 _REVENUE = (
@@ -15,10 +15,10 @@ _REVENUE = (
 )
 
 
-@check("agg_total", f"SELECT {_PRICE_SUM} AS total, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.125) AS DOUBLE) AS eighth FROM lineitem")
+@check("agg_total", f"SELECT {_PRICE_SUM} AS total, exact_sum(l_extendedprice / 3) AS thirds FROM lineitem")
 def agg_total(t):
-    # An eighth of a price in cents has up to five decimals.
-    return t.lineitem.agg(total("l_extendedprice").alias("total"), total(F.col("l_extendedprice") * 0.125).alias("eighth"))
+    # A third of a price has as many decimals as a double can tell apart.
+    return t.lineitem.agg(total("l_extendedprice").alias("total"), total(F.col("l_extendedprice") / 3).alias("thirds"))
 
 
 @check(
@@ -39,8 +39,7 @@ def sum_by_key(t):
 @check(
     "account_balance",
     """
-    SELECT user_id, count(*) AS entries, CAST(sum(CASE WHEN event_type IN ('purchase', 'signup')
-      THEN CAST(value AS DECIMAL(18,2)) ELSE -CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS balance
+    SELECT user_id, count(*) AS entries, exact_sum(CASE WHEN event_type IN ('purchase', 'signup') THEN value ELSE -value END) AS balance
     FROM events GROUP BY 1""",
 )
 def account_balance(t):
@@ -138,8 +137,8 @@ def having_df(t):
 @check(
     "having_sql",
     f"""
-    SELECT o_custkey, count(*) AS orders, {_TOTAL_SUM} AS total FROM orders
-    GROUP BY 1 HAVING {_TOTAL_SUM} > 2500000 AND count(*) >= 10""",
+    SELECT o_custkey, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
+    GROUP BY 1 HAVING total > 2500000 AND count(*) >= 10""",
 )
 def having_sql(t):
     return t.spark.sql(
@@ -177,7 +176,7 @@ def group_stats(t):
     "agg_conditional",
     """
     SELECT o_orderpriority,
-           CAST(coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS paid,
+           coalesce(exact_sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 0) AS paid,
            count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS open_orders
     FROM orders GROUP BY 1""",
 )
@@ -221,8 +220,7 @@ _MONTHS = list(range(1, 13))
     "pivot_month",
     "SELECT o_orderpriority, "
     + ", ".join(
-        "CAST(coalesce(sum(CASE WHEN month(o_orderdate) = {0} THEN CAST(o_totalprice AS DECIMAL(18,2)) END), 0) "
-        'AS DOUBLE) AS "{0}"'.format(m)
+        'coalesce(exact_sum(CASE WHEN month(o_orderdate) = {0} THEN o_totalprice END), 0) AS "{0}"'.format(m)
         for m in _MONTHS
     )
     + " FROM orders GROUP BY 1",

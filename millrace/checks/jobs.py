@@ -41,7 +41,7 @@ def quarantine_counts(t):
     f"""{roles.CHECKED_SQL}
     SELECT year(CAST(txn_date AS DATE)) AS year, month(CAST(txn_date AS DATE)) AS month, txn_date, category,
            count(DISTINCT txn_id) AS orders, CAST(sum(CAST(qty AS BIGINT)) AS BIGINT) AS units_sold,
-           CAST(sum(CAST(qty AS BIGINT) * CAST(unit_price AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue
+           exact_sum(CAST(qty AS BIGINT) * CAST(unit_price AS DECIMAL(12,2))) AS total_revenue
     FROM checked WHERE reject_reason IS NULL GROUP BY 1, 2, 3, 4""",
 )
 def daily(t):
@@ -51,7 +51,7 @@ def daily(t):
 @check(
     "revenue_by_city",
     f"""{roles.CHECKED_SQL}
-    SELECT city, CAST(sum(CAST(qty AS BIGINT) * CAST(unit_price AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue
+    SELECT city, exact_sum(CAST(qty AS BIGINT) * CAST(unit_price AS DECIMAL(12,2))) AS total_revenue
     FROM checked WHERE reject_reason IS NULL GROUP BY 1""",
 )
 def revenue_by_city(t):
@@ -66,7 +66,7 @@ def _enriched(t):
 @check(
     "monthly_revenue",
     f"""{roles.SHOP_SQL}
-    SELECT order_month, category, CAST(sum(revenue) AS DOUBLE) AS revenue, count(*) AS orders
+    SELECT order_month, category, exact_sum(revenue) AS revenue, count(*) AS orders
     FROM enriched GROUP BY 1, 2""",
 )
 def monthly_revenue(t):
@@ -76,7 +76,7 @@ def monthly_revenue(t):
 @check(
     "country_revenue",
     f"""{roles.SHOP_SQL}
-    SELECT country, CAST(sum(revenue) AS DOUBLE) AS revenue FROM enriched GROUP BY 1""",
+    SELECT country, exact_sum(revenue) AS revenue FROM enriched GROUP BY 1""",
 )
 def country_revenue(t):
     return _enriched(t).groupBy("country").agg(total("revenue").alias("revenue"))
@@ -85,7 +85,7 @@ def country_revenue(t):
 @check(
     "top_products",
     f"""{roles.SHOP_SQL},
-    sums AS (SELECT category, product_name, sum(revenue) AS cat_revenue FROM enriched GROUP BY 1, 2)
+    sums AS (SELECT category, product_name, exact_sum(revenue) AS cat_revenue FROM enriched GROUP BY 1, 2)
     SELECT category, product_name, CAST(cat_revenue AS DOUBLE) AS cat_revenue, rank
     FROM (SELECT *, dense_rank() OVER (PARTITION BY category ORDER BY cat_revenue DESC) AS rank FROM sums)
     WHERE rank <= 3""",
@@ -109,7 +109,7 @@ def running_spend(t):
 @check(
     "customer_tier",
     f"""{roles.SHOP_SQL},
-    spent AS (SELECT customer_id, sum(revenue) AS spend FROM enriched GROUP BY 1)
+    spent AS (SELECT customer_id, exact_sum(revenue) AS spend FROM enriched GROUP BY 1)
     SELECT customer_id, CAST(spend AS DOUBLE) AS spend,
            CASE WHEN spend >= {rules.TIER_BANDS[0][0]} THEN 'GOLD'
                 WHEN spend >= {rules.TIER_BANDS[1][0]} THEN 'SILVER' ELSE 'BRONZE' END AS tier
@@ -175,13 +175,13 @@ def compensation(t):
     "dept_metrics",
     """
     WITH bills AS (SELECT l_orderkey AS bill_id, p_type AS department, CAST(l_quantity AS BIGINT) AS patients,
-                          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+                          l_extendedprice AS amount
                    FROM lineitem JOIN part ON l_partkey = p_partkey)
     SELECT department, count(bill_id) AS bills, CAST(sum(patients) AS BIGINT) AS patients,
-           CAST(sum(amount) AS DOUBLE) AS revenue, CAST(sum(amount) AS DOUBLE) / count(bill_id) AS avg_bill,
+           exact_sum(amount) AS revenue, exact_sum(amount) / count(bill_id) AS avg_bill,
            CAST(max(amount) AS DOUBLE) AS max_bill,
-           CAST(sum(amount) AS DOUBLE) / CAST(sum(patients) AS DOUBLE) AS revenue_per_patient,
-           CAST(sum(amount) AS DOUBLE) * 100 / (SELECT CAST(sum(amount) AS DOUBLE) FROM bills) AS share_pct
+           exact_sum(amount) / CAST(sum(patients) AS DOUBLE) AS revenue_per_patient,
+           exact_sum(amount) * 100 / (SELECT exact_sum(amount) FROM bills) AS share_pct
     FROM bills GROUP BY 1""",
 )
 def dept_metrics(t):
@@ -193,7 +193,7 @@ def dept_metrics(t):
     """
     WITH per_customer AS (
       SELECT user_id AS customer_id, count(event_id) AS txn_count,
-             sum(CAST(value AS DECIMAL(18,2))) AS total_amount, max(value) AS max_txn
+             exact_sum(value) AS total_amount, max(value) AS max_txn
       FROM events GROUP BY 1)
     SELECT customer_id, txn_count, CAST(total_amount AS DOUBLE) AS total_amount, max_txn,
            CASE WHEN total_amount >= 50000 OR max_txn >= 40000 THEN 'HIGH'
@@ -209,7 +209,7 @@ def risk_category(t):
     """
     WITH per_order AS (
       SELECT l_orderkey AS customer_id, count(*) AS txn_count,
-             sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total_amount, max(l_extendedprice) AS max_txn
+             exact_sum(l_extendedprice) AS total_amount, max(l_extendedprice) AS max_txn
       FROM lineitem GROUP BY 1)
     SELECT CASE WHEN total_amount >= 50000 OR max_txn >= 40000 THEN 'HIGH'
                 WHEN total_amount >= 5000 OR max_txn >= 1000 OR txn_count >= 10 THEN 'MEDIUM' ELSE 'LOW' END AS risk,
@@ -245,12 +245,12 @@ def _transaction_lines(t):
 @check(
     "three_reports",
     f"""{_TXN_LINES},
-    spend AS (SELECT customer, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total FROM valid GROUP BY 1
+    spend AS (SELECT customer, exact_sum(amount) AS total FROM valid GROUP BY 1
               ORDER BY total DESC, customer LIMIT 3)
     SELECT 'by_category' AS report, category AS label,
-           CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS figure FROM valid GROUP BY 2
+           exact_sum(amount) AS figure FROM valid GROUP BY 2
     UNION ALL SELECT 'top_customers', customer, total FROM spend
-    UNION ALL SELECT 'average', 'all', CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) FROM valid""",
+    UNION ALL SELECT 'average', 'all', exact_sum(amount) / count(*) FROM valid""",
 )
 def three_reports(t):
     made = reports.transaction_reports(_transaction_lines(t))

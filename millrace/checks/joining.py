@@ -125,7 +125,7 @@ def join_using(t):
     "join_broadcast",
     """
     SELECT n_name AS branch_name, r_name AS state, count(*) AS txns,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+           exact_sum(o_totalprice) AS total
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
          JOIN region ON n_regionkey = r_regionkey
     GROUP BY 1, 2""",
@@ -171,7 +171,7 @@ def join_broadcast_sql(t):
     "range_modulo_join",
     """
     SELECT n_name AS branch_name, count(*) AS txns,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+           exact_sum(l_extendedprice) AS total
     FROM lineitem JOIN nation ON l_orderkey % 25 = n_nationkey GROUP BY 1""",
 )
 def range_modulo_join(t):
@@ -243,9 +243,9 @@ def _summary(t):
     "customer_summary",
     """
     SELECT c_custkey AS customer_id, c_name AS name, count(event_id) AS total_orders,
-           CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_spent,
+           coalesce(exact_sum(value), 0) AS total_spent,
            CASE WHEN count(event_id) = 0 THEN 0
-                ELSE CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(event_id) END AS avg_order
+                ELSE exact_sum(value) / count(event_id) END AS avg_order
     FROM customer LEFT JOIN events ON c_custkey = user_id GROUP BY 1, 2""",
 )
 def customer_summary(t):
@@ -255,9 +255,9 @@ def customer_summary(t):
 @check(
     "region_revenue",
     """
-    SELECT n_name AS nation, count(DISTINCT c_custkey) AS customers,
-           CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))), 0) AS DOUBLE) AS revenue
-    FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN events ON c_custkey = user_id
+    WITH spent AS (SELECT user_id, exact_sum(value) AS spent FROM events GROUP BY 1)
+    SELECT n_name AS nation, count(c_custkey) AS customers, coalesce(exact_sum(spent), 0) AS revenue
+    FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN spent ON c_custkey = user_id
     GROUP BY 1""",
 )
 def region_revenue(t):
@@ -270,7 +270,7 @@ def region_revenue(t):
     "join_semi_totals",
     """
     SELECT o_orderstatus, count(*) AS orders,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+           exact_sum(o_totalprice) AS total
     FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
     GROUP BY 1""",
 )

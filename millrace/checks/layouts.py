@@ -14,7 +14,7 @@ from millrace.sources.readers import read_parquet
     "scan_partition_pruned",
     """
     SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS orders,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+           exact_sum(o_totalprice) AS revenue,
            year(o_orderdate) AS year, month(o_orderdate) AS month
     FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) <= 6 GROUP BY ALL""",
 )

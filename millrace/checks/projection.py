@@ -280,7 +280,7 @@ def salary_band_udf(t):
 @check(
     "money_sum",
     """
-    SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    SELECT o_orderpriority, exact_sum(o_totalprice) AS total
     FROM orders GROUP BY 1""",
 )
 def money_sum(t):

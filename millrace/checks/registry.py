@@ -30,6 +30,30 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+# Doubles in units of 2^-70, in which the given tables' values are whole numbers.
+_UNITS = "1180591620717411303424.0"
+_EXACT = (
+    "list_transform([sum(CAST(CAST(({0}) AS DOUBLE) * " + _UNITS + " AS HUGEINT))], lambda s: "
+    "list_transform([CAST(pow(2, greatest(0, floor(log2(greatest(abs(CAST(s AS DOUBLE)), 1))) - 60)) AS HUGEINT)], lambda p: "
+    "CAST(sign(s) AS DOUBLE) * CAST(CAST(abs(s) // p // 2 * 2 "
+    "+ CASE WHEN abs(s) % p <> 0 OR abs(s) // p % 2 = 1 THEN 1 ELSE 0 END AS BIGINT) AS DOUBLE) "
+    "* CAST(p AS DOUBLE) / " + _UNITS + ")[1])[1]"
+)
+
+
+def with_exact_sums(sql: str) -> str:
+    """Write ``exact_sum(x)`` out: whole units are summed, cut to 61 bits, of which the last tells of the rest, and rounded once."""
+    start = sql.find("exact_sum(")
+    while start >= 0:
+        end, depth = start + len("exact_sum("), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        sql = sql[:start] + _EXACT.replace("{0}", sql[start + len("exact_sum(") : end - 1]) + sql[end:]
+        start = sql.find("exact_sum(", start)
+    return sql
+
+
 def check(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under a name, with its SQL twin."""
 
@@ -41,7 +65,7 @@ def check(name: str, sql: str | None = None):
             raise ValueError(f"duplicate check {name}")
         QUERIES[name] = query
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = with_exact_sums(sql)
         return fn
 
     return register

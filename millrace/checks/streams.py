@@ -71,7 +71,7 @@ def _window_sql(source, size, slide, keys, measures, having=""):
     GROUP BY {group} {having}"""
 
 
-_SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+_SUM = "exact_sum(amount)"
 HOUR, DAY = 3600, 86400
 
 

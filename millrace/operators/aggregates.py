@@ -6,22 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.money import exact_total, total
+from millrace.functions import exact
+from millrace.functions.money import total
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str = "share_pct") -> DataFrame:
     """Each group's part of the grand total in percent.
 
     A grand total of zero has no shares: they are NULL. The total is a scalar subquery over the grouped sums: one row, no window
-    over all groups and no trip through the driver program.
+    over all groups and no trip through the driver program. It is exact, as the groups pass on unrounded parts.
     """
-    grouped = df.groupBy(*keys).agg(exact_total(value).alias("__sum"))
-    grand = grouped.select(F.sum("__sum").cast("double")).scalar()
-    return grouped.select(
-        *keys,
-        F.col("__sum").cast("double").alias("total"),
-        F.try_divide(F.col("__sum").cast("double") * 100, grand).alias(name),
-    )
+    grouped = df.groupBy(*keys).agg(*exact.parts(value).named("__sum"))
+    grand = grouped.select(exact.merged("__sum").rounded()).scalar()
+    summed = grouped.select(*keys, exact.held("__sum").rounded().alias("total"))
+    return summed.withColumn(name, F.try_divide(F.col("total") * 100, grand))
 
 
 def pivot_sum(

@@ -6,8 +6,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import bands
-from millrace.functions.money import exact_total, total
+from millrace.functions import bands, exact
+from millrace.functions.money import total
 from millrace.operators import aggregates
 
 
@@ -79,16 +79,17 @@ def department_metrics(bills: DataFrame) -> DataFrame:
     grouped = bills.groupBy("department").agg(
         F.count("bill_id").alias("bills"),
         F.sum("patients").alias("patients"),
-        exact_total("amount").alias("__revenue"),
+        *exact.parts(F.col("amount")).named("__revenue"),
         F.max("amount").alias("max_bill"),
     )
-    grand = grouped.select(F.sum("__revenue").cast("double")).scalar()
-    revenue = F.col("__revenue").cast("double")
+    grand = grouped.select(exact.merged("__revenue").rounded()).scalar()
+    grouped = grouped.withColumn("revenue", exact.held("__revenue").rounded())
+    revenue = F.col("revenue")
     return grouped.select(
         "department",
         "bills",
         "patients",
-        revenue.alias("revenue"),
+        "revenue",
         F.try_divide(revenue, F.col("bills").cast("double")).alias("avg_bill"),
         "max_bill",
         F.try_divide(revenue, F.col("patients").cast("double")).alias("revenue_per_patient"),
@@ -104,7 +105,7 @@ def customer_risk(transactions: DataFrame) -> DataFrame:
     """Risk label from total, largest and number of transactions."""
     per_customer = transactions.groupBy("customer_id").agg(
         F.count("txn_id").alias("txn_count"),
-        exact_total("amount").alias("total_amount"),
+        total("amount").alias("total_amount"),
         F.max("amount").alias("max_txn"),
     )
     return per_customer.withColumn(

@@ -6,8 +6,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import rules, text
-from millrace.functions.money import exact_total, total
+from millrace.functions import exact, rules, text
+from millrace.functions.money import total
 from millrace.operators import aggregates, quality
 from millrace.operators.layout import reused
 
@@ -64,11 +64,11 @@ def branch_totals(fact: DataFrame, branches: DataFrame, *by: str) -> DataFrame:
     meets the join as one row however large the branch table is.
     """
     per_branch = fact.groupBy("branch_id").agg(
-        F.count("*").alias("txns"), exact_total("amount").alias("total")
+        F.count("*").alias("txns"), *exact.parts(F.col("amount")).named("__total")
     )
     joined = per_branch.join(branches, "branch_id")
     return joined.groupBy(*by).agg(
-        F.sum("txns").alias("txns"), F.sum("total").cast("double").alias("total")
+        F.sum("txns").alias("txns"), exact.merged("__total").rounded().alias("total")
     )
 
 

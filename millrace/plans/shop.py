@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from millrace.functions import bands, rules
-from millrace.functions.money import exact_total, line_amount, money, total
+from millrace.functions.money import line_amount, money, total
 from millrace.functions.text import strip
 from millrace.operators import joins, quality, sets, windows
 from millrace.operators.layout import reused
@@ -76,7 +76,7 @@ def monthly_revenue(enriched: DataFrame) -> DataFrame:
 
 def top_products(enriched: DataFrame, n: int = 3) -> DataFrame:
     """Best products per category by revenue, ties share a rank."""
-    sums = enriched.groupBy("category", "product_name").agg(exact_total("revenue").alias("cat_revenue"))
+    sums = enriched.groupBy("category", "product_name").agg(total("revenue").alias("cat_revenue"))
     return windows.top_n(sums, ["category"], "cat_revenue", n)
 
 
@@ -92,7 +92,7 @@ def running_spend(enriched: DataFrame) -> DataFrame:
 
 
 def customer_tiers(enriched: DataFrame, steps: Sequence[tuple[object, str]] = rules.TIER_BANDS) -> DataFrame:
-    spend = enriched.groupBy("customer_id").agg(exact_total("revenue").alias("spend"))
+    spend = enriched.groupBy("customer_id").agg(total("revenue").alias("spend"))
     return spend.withColumn("tier", bands.customer_tier(F.col("spend"), steps))
 
 

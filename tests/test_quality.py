@@ -139,7 +139,7 @@ def test_exact_totals_match_decimal_sums(spark):
     )
     x, d = F.col("x").cast("decimal(18,2)"), F.col("d").cast("decimal(6,4)")
     both = frame.groupBy("k").agg(
-        money.total("x").alias("a"),
+        money.exact_total("x", 2).cast("double").alias("a"),
         F.sum(x).cast("double").alias("b"),
         money.discounted_total("x", "d").alias("c"),
         F.sum(x * (1 - d)).cast("double").alias("e"),
@@ -156,9 +156,13 @@ def test_amounts_are_never_rounded_away(spark):
 
     from millrace.functions import money
 
-    def totals(*values, **scale):
+    def totals(*values):
         frame = spark.createDataFrame([(v,) for v in values], "x double")
-        return frame.agg(money.total("x", **scale).alias("a")).first().a
+        return frame.agg(money.total("x").alias("a")).first().a
+
+    def declared(*values, **scale):
+        frame = spark.createDataFrame([(v,) for v in values], "x double")
+        return frame.agg(money.exact_total("x", **scale).alias("a")).first().a
 
     assert totals(0.125, 0.004, None) == 0.129
     assert totals(1e9, 0.000001) == 1000000000.000001
@@ -166,8 +170,9 @@ def test_amounts_are_never_rounded_away(spark):
     assert totals(1.0, float("nan")) != totals(1.0, float("nan"))
     assert totals(float("inf"), float("-inf")) != 0
     for values, scale in (((0.1234567,), {}), ((0.125,), {"scale": 2})):
+        assert totals(*values) == values[0]
         with pytest.raises(PySparkException):
-            totals(*values, **scale)
+            declared(*values, **scale)
     row = spark.range(1).select(money.line_amount(F.lit(3), F.lit(0.125)).alias("a"), money.money(F.lit(0.125)).alias("b")).first()
     assert row.a == 0.375 and float(row.b) == 0.125
     with pytest.raises(PySparkException):
