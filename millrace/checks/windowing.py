@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
 from millrace.functions.money import money
-from millrace.operators import windows
+from millrace.operators import scans, windows
 
 # Orders per customer by price.
 _BY_PRICE = windows.Track(
@@ -14,12 +14,14 @@ _BY_PRICE = windows.Track(
     tiebreak=["o_orderkey"],
     descending=True,
 )
-_BY_DATE = windows.Track(
-    keys=["o_custkey"],
-    order="o_orderdate",
-    bucket="concat(cast(o_orderdate AS STRING), '|', lpad(cast(o_orderkey div 1000000 AS STRING), 13, '0'))",
-    tiebreak=["o_orderkey"],
-)
+_BY_DATE = scans.Line(keys=["o_custkey"], order=["o_orderdate", "o_orderkey"])
+
+
+def _dated(t):
+    """What a scan over orders carries."""
+    return t.orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+
+
 # Parts per type by size: many equal sizes, so ranks have real ties.
 _BY_SIZE = windows.Track(
     keys=["p_type"],
@@ -85,7 +87,7 @@ def latest_per_key(t):
     FROM orders""",
 )
 def win_lag(t):
-    return windows.with_previous(t.orders, _BY_DATE, "o_totalprice").select("o_orderkey", "previous")
+    return scans.previous(_dated(t), _BY_DATE, F.col("o_totalprice")).select("o_orderkey", "previous")
 
 
 @check(
@@ -95,7 +97,7 @@ def win_lag(t):
     FROM orders""",
 )
 def win_lead(t):
-    return windows.with_next(t.orders, _BY_DATE, "o_totalprice").select("o_orderkey", "next")
+    return scans.following(_dated(t), _BY_DATE, F.col("o_totalprice"), "next").select("o_orderkey", "next")
 
 
 @check(
@@ -106,8 +108,8 @@ def win_lead(t):
     FROM orders""",
 )
 def win_delta(t):
-    exact = t.orders.withColumn("price", money("o_totalprice"))
-    placed = windows.with_previous(exact, _BY_DATE, "price")
+    exact = _dated(t).withColumn("price", money("o_totalprice"))
+    placed = scans.previous(exact, _BY_DATE, F.col("price"))
     return placed.select("o_orderkey", (F.col("price") - F.col("previous")).alias("change"))
 
 
@@ -154,5 +156,5 @@ def top_n_sql(t):
     FROM orders""",
 )
 def running_total(t):
-    run = windows.with_running_sum(t.orders, _BY_DATE, money("o_totalprice"), "running_spend")
+    run = scans.running_sum(_dated(t), _BY_DATE, money("o_totalprice"), "running_spend")
     return run.select("o_orderkey", "o_custkey", "running_spend")

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from millrace.functions import bands, rules
 from millrace.functions.money import line_amount, money, total
 from millrace.functions.text import strip
-from millrace.operators import joins, quality, sets, windows
-from millrace.operators.layout import reused
+from millrace.operators import joins, quality, scans, sets, windows
+from millrace.operators.layout import reused, written
 from millrace.sinks.writers import write_partitioned, write_report
 
 ORDER_LINE = quality.LineSpec(
@@ -81,14 +81,13 @@ def top_products(enriched: DataFrame, n: int = 3) -> DataFrame:
 
 
 def running_spend(enriched: DataFrame) -> DataFrame:
-    """Each customer's spend so far; the order id settles equal dates."""
-    track = windows.Track(
-        keys=["customer_id"],
-        order="order_date",
-        bucket="concat(cast(order_date AS STRING), '|', substr(order_id, 1, 4))",
-        tiebreak=["order_id"],
-    )
-    return windows.with_running_sum(enriched, track, money("revenue"), "running_spend")
+    """Each customer's spend so far; the order id settles equal dates.
+
+    The orders are written first: drawing split points reads them twice, and
+    they are parsed and joined once.
+    """
+    line = scans.Line(keys=["customer_id"], order=["order_date", "order_id"])
+    return scans.running_sum(written(enriched, "enriched"), line, money("revenue"), "running_spend")
 
 
 def customer_tiers(enriched: DataFrame, steps: Sequence[tuple[object, str]] = rules.TIER_BANDS) -> DataFrame:
