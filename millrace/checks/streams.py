@@ -6,7 +6,7 @@ from millrace.checks import roles
 from millrace.checks.registry import check
 from millrace.functions import rules
 from millrace.session import fresh_folder
-from millrace.streaming import accounts, bookings, logs, shop, tables, vitals, windows
+from millrace.streaming import accounts, bookings, keyed, logs, shop, tables, vitals, windows
 
 
 def _table(t, label, aggregate, keys):
@@ -27,7 +27,8 @@ def _in_turns(t, label, name, order, turns, start):
 
     Each slice is appended to a folder and drained before the next one
     arrives, so one slice is one micro-batch; every turn also restarts the
-    query from its checkpoint. ``start(stream, out)`` builds the writer.
+    query from its checkpoint. ``start(stream, out)`` builds the writer, or
+    does the whole turn and gives None.
     """
     out = fresh_folder(t.spark, label)
     source = getattr(t, name).withColumn("__at", order)
@@ -39,7 +40,9 @@ def _in_turns(t, label, name, order, turns, start):
         arrived = source.filter((F.col("__at") >= first) & (F.col("__at") < last)).drop("__at")
         arrived.write.mode("append").parquet(f"{out}/landing")
         stream = t.spark.readStream.schema(arrived.schema).parquet(f"{out}/landing")
-        tables.drain(start(stream, f"{out}/result"))
+        writer = start(stream, f"{out}/result")
+        if writer is not None:
+            tables.drain(writer)
     return f"{out}/result"
 
 
@@ -374,10 +377,10 @@ _BUCKET = "date_trunc('minute', event_time)"
 @check("stream_booking_state", f"{roles.STATE_SQL} SELECT booking_id, item_id, seats, status FROM state")
 def stream_booking_state(t):
     def start(stream, out):
-        return bookings.state_stream(_booked(t, stream), out, _BUCKET)
+        keyed.advance(t.spark, _booked(t, stream), out, _BUCKET)
 
-    out = _in_turns(t, "booking-state", "events", _micros(), 3, start)
-    return tables.read_state(t.spark, out, bookings.schemas.BOOKING_STATE, batch_id=2)
+    out = _in_turns(t, "booking-state", "events", _micros(), 5, start)
+    return keyed.current(t.spark, out)
 
 
 @check(
