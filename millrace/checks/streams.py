@@ -6,7 +6,7 @@ from millrace.checks import roles
 from millrace.checks.registry import check
 from millrace.functions import rules
 from millrace.session import fresh_folder
-from millrace.streaming import accounts, bookings, keyed, logs, shop, tables, vitals, windows
+from millrace.streaming import accounts, bookings, keyed, late, logs, panes, shop, tables, vitals, windows
 
 
 def _table(t, label, aggregate, keys):
@@ -47,6 +47,23 @@ def _in_turns(t, label, name, order, turns, start):
 
 
 
+def _in_batches(t, label, name, order, aggregate, keys, turns=3):
+    """Last value per key of an update-mode aggregate over ``turns`` micro-batches, with a restart before each."""
+    kinds = []
+
+    def start(stream, out):
+        changed = aggregate(stream)
+        kinds[:] = [changed.schema]
+        tables.drain(tables.changes_table(changed, out), closing_batch=False)
+
+    out = _in_turns(t, label, name, order, turns, start)
+    return tables.read_latest(t.spark, out, kinds[0], keys)
+
+
+def _events_in_batches(t, label, aggregate, keys):
+    return _in_batches(t, label, "events", _micros(), aggregate, keys)
+
+
 def _micros():
     return F.unix_micros(F.col("ts").cast("timestamp"))
 
@@ -83,9 +100,8 @@ HOUR, DAY = 3600, 86400
 _LOG_SQL = "SELECT ts, upper(event_type) AS level FROM events"
 
 
-def _log(t):
-    lines = t.stream("events").select(roles.stamped_line().alias("value"))
-    return logs.parse_log(lines)
+def _log(events):
+    return logs.parse_log(events.select(roles.stamped_line().alias("value")))
 
 
 @check(
@@ -93,12 +109,12 @@ def _log(t):
     _window_sql(_LOG_SQL, HOUR, HOUR, [], ["count(CASE WHEN level = 'ERROR' THEN 1 END) AS errors"]),
 )
 def stream_error_count(t):
-    return _table(t, "error-count", logs.error_counts(_log(t), "1 hour"), ["window_start"])
+    return _events_in_batches(t, "error-count", lambda events: logs.error_counts(_log(events), "1 hour"), ["window_start"])
 
 
 @check("stream_level_count", _window_sql(_LOG_SQL, DAY, DAY, ["level"], ["count(*) AS n"]))
 def stream_level_count(t):
-    return _table(t, "level-count", logs.level_counts(_log(t), "1 day"), ["window_start", "level"])
+    return _events_in_batches(t, "level-count", lambda events: logs.level_counts(_log(events), "1 day"), ["window_start", "level"])
 
 
 @check(
@@ -148,14 +164,23 @@ def _account_entries(events):
     return accounts.parse(lines, accounts.ACCOUNT_LINE)
 
 
-def _store_entries(t):
-    lines = _entry_lines(t.stream("events"), [F.col("event_id"), F.col("event_type")], "  ")
+def _store_entries(events):
+    lines = _entry_lines(events, [F.col("event_id"), F.col("event_type")], "  ")
     return windows.timed(accounts.parse(lines, accounts.STORE_LINE), "ts")
 
 
-def _bank_entries(t):
+def _panes(t, label, keys, amount, slide):
+    """Panes of store entries, over three micro-batches."""
+
+    def aggregate(events):
+        return panes.panes(_store_entries(events), keys, amount, slide)
+
+    return _events_in_batches(t, label, aggregate, ["pane", *keys])
+
+
+def _bank_entries(events):
     fields = [F.col("event_id"), F.col("user_id"), F.col("user_id") % 30, F.col("event_type")]
-    lines = _entry_lines(t.stream("events"), fields, ", ")
+    lines = _entry_lines(events, fields, ", ")
     return accounts.parse(lines, accounts.BANK_LINE)
 
 
@@ -204,8 +229,8 @@ def stream_compare(t):
     _window_sql(_ENTRIES_SQL, HOUR, HOUR // 6, [], ["count(*) AS n"]),
 )
 def stream_sliding_count(t):
-    counts = windows.sliding_counts(_store_entries(t), "1 hour", "10 minutes")
-    return _table(t, "sliding-count", counts, ["window_start"])
+    found = _panes(t, "sliding-count", [], None, "10 minutes")
+    return panes.over_panes(found, [], "1 hour", "10 minutes")
 
 
 @check(
@@ -213,8 +238,8 @@ def stream_sliding_count(t):
     _window_sql(_ENTRIES_SQL, 6 * HOUR, HOUR, ["store"], [f"{_SUM} AS total"]),
 )
 def stream_sliding_sum(t):
-    sums = windows.sliding_sums(_store_entries(t), "store", size="6 hours", slide="1 hour")
-    return _table(t, "sliding-sum", sums, ["window_start", "store"])
+    found = _panes(t, "sliding-sum", ["store"], "amount", "1 hour")
+    return panes.over_panes(found, ["store"], "6 hours", "1 hour", count=None, total="total")
 
 
 @check(
@@ -222,8 +247,8 @@ def stream_sliding_sum(t):
     _window_sql(_ENTRIES_SQL, 6 * HOUR, HOUR, [], [f"{_SUM} AS total"]),
 )
 def stream_sliding_total(t):
-    sums = windows.sliding_sums(_store_entries(t), None, size="6 hours", slide="1 hour")
-    return _table(t, "sliding-total", sums, ["window_start"])
+    found = _panes(t, "sliding-total", [], "amount", "1 hour")
+    return panes.over_panes(found, [], "6 hours", "1 hour", count=None, total="total")
 
 
 @check(
@@ -235,7 +260,7 @@ def stream_sliding_total(t):
     WHERE c.n >= 8 AND (coalesce(p.n, 0) = 0 OR c.n >= 2.0 * p.n)""",
 )
 def stream_spike(t):
-    counts = windows.sliding_counts(_store_entries(t), "15 minutes", "5 minutes")
+    counts = windows.sliding_counts(_store_entries(t.stream("events")), "15 minutes", "5 minutes")
     return windows.spikes(_table(t, "spike", counts, ["window_start"]), "5 minutes")
 
 
@@ -258,7 +283,7 @@ def stream_enrich(t):
         F.col("r_name").alias("city"),
         F.when(F.col("n_regionkey") == 0, "HIGH").otherwise("LOW").alias("risk_level"),
     )
-    enriched = accounts.with_branch(_bank_entries(t), branches, big_amount=100)
+    enriched = accounts.with_branch(_bank_entries(t.stream("events")), branches, big_amount=100)
     columns = ("txn_id", "account", "branch_name", "city", "risk_level", "amount", "flag")
     return _appended(t, "enrich", enriched.select(*columns))
 
@@ -270,9 +295,57 @@ def stream_enrich(t):
     ),
 )
 def stream_burst(t):
-    entries = windows.timed(_bank_entries(t), "ts")
-    found = accounts.bursts(entries, limit=5, size="6 hours", slide="1 hour")
-    return _table(t, "burst", found, ["window_start", "account"])
+    def aggregate(events):
+        entries = windows.timed(_bank_entries(events), "ts")
+        return accounts.bursts(entries, limit=5, size="6 hours", slide="1 hour")
+
+    return _events_in_batches(t, "burst", aggregate, ["window_start", "account"])
+
+
+# Every 17th event arrives one slice late and every 29th two slices; the last slice takes the rest.
+_TURNS = 6
+_SLICE = _turn_sql("events", "epoch_us(ts)", _TURNS)
+_LATE_SQL = f"""
+    WITH arrived AS (
+      SELECT *, least({_TURNS - 1}, {_SLICE} + CASE WHEN event_id % 29 = 0 THEN 2 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END) AS turn
+      FROM events
+    ), marks AS (
+      SELECT t.turn, (SELECT max(epoch_us(ts)) FROM arrived a WHERE a.turn < t.turn) - 3600000000 AS mark
+      FROM (SELECT DISTINCT turn FROM arrived) t
+    ), judged AS (
+      SELECT a.*, epoch_us(ts) // 3600000000 * 3600000000 AS ws, coalesce(ws + 3600000000 <= mark, FALSE) AS late
+      FROM arrived a JOIN marks USING (turn)
+    )"""
+
+
+@check(
+    "stream_late_data",
+    f"""{_LATE_SQL}
+    SELECT strftime(make_timestamp(ws), '%Y-%m-%d %H:%M:%S') AS window_start,
+           count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late
+    FROM judged GROUP BY ws""",
+)
+def stream_late_data(t):
+    out = _late_turns(t, "late")
+    return late.reconciled(t.spark, out, "1 hour")
+
+
+@check("stream_late_rows", f"{_LATE_SQL} SELECT event_id, turn AS batch_id FROM judged WHERE late")
+def stream_late_rows(t):
+    return late.late_rows(t.spark, _late_turns(t, "late-rows")).select("event_id", "batch_id")
+
+
+def _late_turns(t, label):
+    low, high = t.events.agg(F.min(_micros()), F.max(_micros())).first()
+    at = F.least(F.lit(_TURNS - 1), F.floor((_micros() - low) * _TURNS / (high - low + 1)))
+    delay = F.when(F.col("event_id") % 29 == 0, 2).when(F.col("event_id") % 17 == 0, 1).otherwise(0)
+    turn = F.least(F.lit(_TURNS - 1).cast("long"), at + delay)
+
+    def start(stream, out):
+        events = stream.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("event_time"))
+        return late.split(events, out, size="1 hour", delay="1 hour")
+
+    return _in_turns(t, label, "events", turn, _TURNS, start)
 
 
 # --- vitals -----------------------------------------------------------------
@@ -290,21 +363,21 @@ _VITALS_SQL = f"""
     WHERE reasons <> ''"""
 
 
-def _vital_alerts(t):
+def _vital_alerts(events):
     key = F.col("event_id")
     heart = F.when(key % 47 == 0, "fast").otherwise((45 + key * 37 % 90).cast("string"))
     temperature = (940 + key % 80) / F.lit(10.0)
     line = F.concat_ws(
         ", ", F.col("user_id"), heart, 88 + key % 13, 80 + key * 11 % 80, temperature
     )
-    lines = t.stream("events").select("ts", "event_id", line.alias("value"))
+    lines = events.select("ts", "event_id", line.alias("value"))
     valid = vitals.readings(lines).filter("is_valid")
     return vitals.alerts(windows.timed(valid, "ts"))
 
 
 @check("stream_vital_alerts", f"SELECT event_id, patient_id, reasons FROM ({_VITALS_SQL})")
 def stream_vital_alerts(t):
-    return _appended(t, "vital-alerts", _vital_alerts(t).select("event_id", "patient_id", "reasons"))
+    return _appended(t, "vital-alerts", _vital_alerts(t.stream("events")).select("event_id", "patient_id", "reasons"))
 
 
 @check(
@@ -312,7 +385,7 @@ def stream_vital_alerts(t):
     f"SELECT patient_id, count(*) AS total_abnormal FROM ({_VITALS_SQL}) GROUP BY 1",
 )
 def stream_running_abnormal(t):
-    return _table(t, "running-abnormal", vitals.running_abnormal(_vital_alerts(t)), ["patient_id"])
+    return _events_in_batches(t, "running-abnormal", lambda events: vitals.running_abnormal(_vital_alerts(events)), ["patient_id"])
 
 
 @check(
@@ -320,8 +393,10 @@ def stream_running_abnormal(t):
     _window_sql(_VITALS_SQL, 6 * HOUR, HOUR, ["patient_id"], ["count(*) AS n"], "HAVING count(*) >= 3"),
 )
 def stream_repeated(t):
-    found = vitals.repeated(_vital_alerts(t), 3, "6 hours", "1 hour")
-    return _table(t, "repeated", found, ["window_start", "patient_id"])
+    def aggregate(events):
+        return vitals.repeated(_vital_alerts(events), 3, "6 hours", "1 hour")
+
+    return _events_in_batches(t, "repeated", aggregate, ["window_start", "patient_id"])
 
 
 # --- bookings ---------------------------------------------------------------
@@ -333,8 +408,8 @@ def _booked(t, stream):
     return bookings.known_items(roles.booking_events(stream), roles.inventory(t))
 
 
-def _timed_bookings(t):
-    return windows.timed(_booked(t, t.stream("events")), "event_time")
+def _timed_bookings(t, events):
+    return windows.timed(_booked(t, events), "event_time")
 
 
 @check(
@@ -351,8 +426,10 @@ def _timed_bookings(t):
     ),
 )
 def stream_item_activity(t):
-    activity = bookings.item_activity(_timed_bookings(t), "1 day", "6 hours")
-    return _table(t, "item-activity", activity, ["window_start", "item_id"])
+    def aggregate(events):
+        return bookings.item_activity(_timed_bookings(t, events), "1 day", "6 hours")
+
+    return _events_in_batches(t, "item-activity", aggregate, ["window_start", "item_id"])
 
 
 @check(
@@ -367,8 +444,10 @@ def stream_item_activity(t):
     ),
 )
 def stream_cancel_alert(t):
-    alerts = bookings.cancel_alerts(_timed_bookings(t), 3, "1 hour", "30 minutes")
-    return _table(t, "cancel-alert", alerts, ["window_start"])
+    def aggregate(events):
+        return bookings.cancel_alerts(_timed_bookings(t, events), 3, "1 hour", "30 minutes")
+
+    return _events_in_batches(t, "cancel-alert", aggregate, ["window_start"])
 
 
 _BUCKET = "date_trunc('minute', event_time)"
@@ -417,11 +496,13 @@ def stream_occupancy(t):
     ),
 )
 def stream_tumbling(t):
-    orders = t.stream("events").select(
-        F.col("user_id").cast("string").alias("product_id"),
-        (F.col("event_id") % 5).cast("int").alias("qty"),
-        F.col("value").alias("price"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
-    )
-    revenue = shop.category_revenue(orders, roles.shop_products(t))
-    return _table(t, "tumbling", revenue, ["window_start", "category"])
+    def aggregate(events):
+        orders = events.select(
+            F.col("user_id").cast("string").alias("product_id"),
+            (F.col("event_id") % 5).cast("int").alias("qty"),
+            F.col("value").alias("price"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
+        )
+        return shop.category_revenue(orders, roles.shop_products(t))
+
+    return _events_in_batches(t, "tumbling", aggregate, ["window_start", "category"])

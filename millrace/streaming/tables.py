@@ -65,9 +65,22 @@ def batch_report(
     return per_batch(stream, f"{out}/checkpoint", handle, mode)
 
 
-def changes_table(aggregate: DataFrame, out: str) -> DataStreamWriter:
-    """Write the rows an update-mode aggregate changed in every micro-batch."""
-    return batch_report(aggregate, out, lambda changed: changed, mode="update")
+def changes_table(
+    aggregate: DataFrame, out: str, keys: Sequence[str] | None = None, compact_every: int | None = None
+) -> DataStreamWriter:
+    """Write the rows an update-mode aggregate changed in every micro-batch.
+
+    With ``keys`` and ``compact_every`` the batches before the current one are
+    folded into a base each time so many have come together.
+    """
+    schema = aggregate.schema
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/data/{BATCH}={batch_id}")
+        if keys and compact_every and batch_id and batch_id % compact_every == 0:
+            compact(batch.sparkSession, out, schema, keys, batch_id - 1)
+
+    return per_batch(aggregate, f"{out}/checkpoint", handle, "update")
 
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
@@ -75,9 +88,65 @@ def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFra
     return spark.read.schema(with_batch).parquet(f"{out}/data")
 
 
+def _fs(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders ``prefix=number`` below a folder, ascending."""
+    fs, path = _fs(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = {s.getPath().getName(): s.getPath() for s in fs.listStatus(path)}
+    done = [name for name, at in names.items() if name.startswith(f"{prefix}=") and fs.exists(at.suffix("/_SUCCESS"))]
+    return sorted(int(name.partition("=")[2]) for name in done)
+
+
+def _changes_since(spark: SparkSession, out: str, schema: T.StructType, bases: list[int], upto: int | None = None) -> DataFrame:
+    """The newest finished base, if there is one, and the batches after it."""
+    with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    batches = [n for n in _numbered(spark, f"{out}/data", BATCH) if (not bases or n > bases[-1]) and (upto is None or n <= upto)]
+    reader = spark.read.schema(with_batch)
+    found = [reader.parquet(f"{out}/base/upto={bases[-1]}")] if bases else []
+    if batches:
+        # Their batch numbers are read from the names of the folders.
+        paths = [f"{out}/data/{BATCH}={n}" for n in batches]
+        found.append(reader.option("basePath", f"{out}/data").parquet(*paths))
+    if not found:
+        return spark.createDataFrame([], with_batch)
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 def read_latest(spark: SparkSession, out: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """Current value per key: the last batch that changed it wins."""
-    return latest_per_key(read_batches(spark, out, schema), keys, [F.col(BATCH).desc()]).drop(BATCH)
+    """Current value per key: the last batch that changed it wins. Reads the newest base and the batches after it."""
+    changes = _changes_since(spark, out, schema, _numbered(spark, f"{out}/base", "upto"))
+    return latest_per_key(changes, keys, [F.col(BATCH).desc()]).drop(BATCH)
+
+
+def compact(spark: SparkSession, out: str, schema: T.StructType, keys: Sequence[str], upto: int | None = None) -> int | None:
+    """Write the last value per key up to a batch as a new base, then remove what it replaces.
+
+    ``upto`` is the last finished batch unless it is named; a batch that may
+    still be retried must not be folded in, so name the one before it while a
+    query runs. A base counts once its _SUCCESS is there: a crash before that
+    leaves the old base and its batches in use, and a crash afterwards leaves
+    files that nobody reads and that the next call removes. Readers that began
+    before the call may lose their files; they read again.
+    """
+    batches, bases = _numbered(spark, f"{out}/data", BATCH), _numbered(spark, f"{out}/base", "upto")
+    batches = [n for n in batches if upto is None or n <= upto]
+    last = batches[-1] if batches else None
+    if last is not None and (not bases or last > bases[-1]):
+        changes = _changes_since(spark, out, schema, bases, last)
+        latest = latest_per_key(changes, keys, [F.col(BATCH).desc()])
+        latest.write.mode("overwrite").parquet(f"{out}/base/upto={last}")
+        bases.append(last)
+    for folder, prefix, old in ((f"{out}/data", BATCH, [n for n in batches if bases and n <= bases[-1]]), (f"{out}/base", "upto", bases[:-1])):
+        for n in old:
+            fs, path = _fs(spark, f"{folder}/{prefix}={n}")
+            fs.delete(path, True)
+    return bases[-1] if bases else None
 
 
 def append_table(stream: DataFrame, out: str) -> DataStreamWriter:
