@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.checks.registry import check
 from millrace.functions.money import total
-from millrace.operators import aggregates, layout
+from millrace.operators import aggregates, differences, layout
 from millrace.session import fresh_folder
 from millrace.sinks.writers import write_partitioned
 from millrace.sources.readers import read_parquet
@@ -56,3 +56,21 @@ def hash_partition_total(t):
     # Combined before the shuffle, so a customer with very many orders is one row a task.
     combined = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("largest"))
     return layout.spread_by(combined, "o_custkey")
+
+
+_RESTATED = "CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice + 1 ELSE o_totalprice END"
+
+
+@check(
+    "table_differences",
+    f"""
+    WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+    b AS (SELECT o_orderkey, o_custkey, {_RESTATED} AS o_totalprice FROM orders WHERE o_orderkey % 1009 <> 0)
+    SELECT *, 'left' AS side, CAST(1 AS BIGINT) AS surplus FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+    UNION ALL SELECT *, 'right', 1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+)
+def table_differences(t):
+    """Orders against a copy in which some are restated and some are missing."""
+    left = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    right = left.filter("o_orderkey % 1009 <> 0").withColumn("o_totalprice", F.expr(_RESTATED))
+    return differences.differences(left, right, ["o_orderkey"])
