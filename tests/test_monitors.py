@@ -1,5 +1,7 @@
 """Assembled monitors over two micro-batches of a file stream."""
 
+import os
+
 import pytest
 
 from millrace import schemas
@@ -13,7 +15,10 @@ def feed(spark, tmp_path):
     def make(*batches):
         (tmp_path / "in").mkdir()
         for n, lines in enumerate(batches):
-            (tmp_path / "in" / f"{n}.txt").write_text("\n".join(lines) + "\n")
+            path = tmp_path / "in" / f"{n}.txt"
+            path.write_text("\n".join(lines) + "\n")
+            # Files arrive in the order of their times, which must differ.
+            os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
         return spark.readStream.option("maxFilesPerTrigger", 1).schema(schemas.LINES).text(str(tmp_path / "in"))
 
     return make
