@@ -6,7 +6,8 @@ from millrace.checks import roles
 from millrace.checks.registry import check
 from millrace.functions import rules
 from millrace.session import fresh_folder
-from millrace.streaming import accounts, bookings, keyed, late, logs, panes, shop, tables, vitals, windows
+from millrace.sources import growing
+from millrace.streaming import accounts, alerts, bookings, keyed, late, logs, panes, shop, tables, vitals, windows
 
 
 def _table(t, label, aggregate, keys):
@@ -117,6 +118,23 @@ def stream_level_count(t):
     return _events_in_batches(t, "level-count", lambda events: logs.level_counts(_log(events), "1 day"), ["window_start", "level"])
 
 
+@check(
+    "stream_growing_lines",
+    "SELECT level, count(*) AS n, count(DISTINCT date_trunc('second', ts)) AS seconds FROM (" + _LOG_SQL + ") GROUP BY level",
+)
+def stream_growing_lines(t):
+    """Log files that come in three turns, followed by byte offsets over two restarts."""
+    out = fresh_folder(t.spark, "growing-lines")
+    for turn in range(3):
+        events = t.events.filter(F.pmod("event_id", F.lit(3)) == turn)
+        lines = events.select(roles.stamped_line().alias("value"))
+        lines.write.mode("append").text(f"{out}/landing")
+        followed = growing.growing_lines(t.spark, f"{out}/landing", piece_bytes=1 << 20)
+        tables.drain(tables.append_table(logs.parse_log(followed, None), f"{out}/result"))
+    found = tables.read_appended(t.spark, f"{out}/result")
+    return found.groupBy("level").agg(F.count("*").alias("n"), F.count_distinct("event_time").alias("seconds"))
+
+
 @check(
     "stream_top_words",
     rf"""
@@ -264,6 +282,27 @@ def stream_spike(t):
     return windows.spikes(_table(t, "spike", counts, ["window_start"]), "5 minutes")
 
 
+@check(
+    "stream_spike_alerts",
+    f"""
+    WITH counts AS ({_window_sql(_ENTRIES_SQL, 900, 300, [], ["count(*) AS n", "ws"])}),
+    mark AS (SELECT max(epoch_us(ts)) // 1000 * 1000 - 600 * 1000000 AS us FROM ({_ENTRIES_SQL}))
+    SELECT c.window_start, c.window_end, c.n, coalesce(p.n, 0) AS previous
+    FROM counts c LEFT JOIN counts p ON p.ws = c.ws - 300 * 1000000
+    WHERE c.n >= 8 AND (coalesce(p.n, 0) = 0 OR c.n >= 2.0 * p.n)
+          AND c.ws + 900 * 1000000 <= (SELECT us FROM mark)""",
+)
+def stream_spike_alerts(t):
+    """Alerts as the stream gives them: of the windows that the watermark has closed."""
+
+    def start(stream, out):
+        entries = accounts.parse(_entry_lines(stream, [F.col("event_id"), F.col("event_type")], "  "), accounts.STORE_LINE)
+        found = alerts.spike_alerts(windows.timed(entries, "ts", "10 minutes"), size="15 minutes", slide="5 minutes")
+        return tables.append_table(found, out)
+
+    return tables.read_appended(t.spark, _in_turns(t, "spike-alerts", "events", _micros(), 3, start))
+
+
 @check(
     "stream_enrich",
     f"""
