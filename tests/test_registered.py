@@ -9,7 +9,7 @@ from tests.compare import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # At this scale no hour holds so many events.
-MAY_BE_EMPTY = {"stream_burst", "stream_spike", "stream_cancel_alert", "overbooked", "having_sql", "having_df"}
+MAY_BE_EMPTY = {"stream_burst", "stream_spike", "stream_spike_alerts", "stream_cancel_alert", "overbooked", "having_sql", "having_df"}
 
 
 @pytest.fixture(scope="module")
