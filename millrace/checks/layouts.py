@@ -1,12 +1,13 @@
 """Partition layout and partitioned storage."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.checks.registry import check
 from millrace.functions.money import total
 from millrace.operators import aggregates, differences, layout
 from millrace.session import fresh_folder
 from millrace.sinks.writers import write_partitioned
+from millrace.sources import placed
 from millrace.sources.readers import read_parquet
 
 
@@ -74,3 +75,38 @@ def table_differences(t):
     left = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     right = left.filter("o_orderkey % 1009 <> 0").withColumn("o_totalprice", F.expr(_RESTATED))
     return differences.differences(left, right, ["o_orderkey"])
+
+
+# Events as lines: a word for a number, a field too few, an empty line, a byte that is no UTF-8.
+_LINES_SQL = f"""
+    SELECT CASE WHEN event_id % 61 = 0 THEN '{placed.EMPTY}' WHEN event_id % 67 = 0 THEN '{placed.NOT_UTF8}'
+                WHEN event_id % 53 = 0 OR event_id % 59 = 0 THEN '{placed.UNFIT}' ELSE 'fits' END AS outcome,
+           CASE WHEN event_id % 61 = 0 THEN 0
+                ELSE strlen(CAST(event_id AS VARCHAR)) + 1
+                     + CASE WHEN event_id % 53 = 0 THEN 4 ELSE strlen(CAST(user_id AS VARCHAR)) END
+                     + CASE WHEN event_id % 59 = 0 THEN 0 ELSE 1 + strlen(event_type) END
+                     + CASE WHEN event_id % 67 = 0 THEN 1 ELSE 0 END END AS bytes,
+           CASE WHEN outcome = 'fits' THEN user_id END AS user_id
+    FROM events"""
+
+
+@check(
+    "placed_rejects",
+    f"""
+    SELECT outcome, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(user_id) AS BIGINT) AS users
+    FROM ({_LINES_SQL}) GROUP BY 1""",
+)
+def placed_rejects(t):
+    """Every line of a feed with planted defects is a record or a reject of its kind, byte for byte."""
+    key, folder = F.col("event_id"), fresh_folder(t.spark, "placed")
+    user = F.when(key % 53 == 0, "many").otherwise(F.col("user_id").cast("string"))
+    kind = F.when(key % 59 != 0, F.col("event_type"))
+    line = F.concat_ws(",", key.cast("string"), user, kind)
+    line = F.when(key % 67 == 0, F.concat(line, F.unhex(F.lit("FF")).cast("string"))).otherwise(line)
+    t.events.select(F.when(key % 61 == 0, "").otherwise(line).alias("value")).write.text(folder)
+    schema = T.StructType().add("event_id", T.LongType()).add("user_id", T.LongType()).add("event_type", T.StringType())
+    marked = placed.placed_csv(t.spark, folder, schema)
+    outcome = F.coalesce("reason", F.lit("fits")).alias("outcome")
+    fitting = F.when(F.col("reason").isNull(), F.col("record.user_id"))
+    size = F.octet_length(F.col("value").cast("binary")).cast("long")
+    return marked.groupBy(outcome).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"), F.sum(fitting).alias("users"))

@@ -7,7 +7,7 @@ from millrace.checks.registry import check
 from millrace.functions import rules
 from millrace.session import fresh_folder
 from millrace.sources import growing
-from millrace.streaming import accounts, alerts, bookings, keyed, late, logs, panes, shop, tables, vitals, windows
+from millrace.streaming import accounts, alerts, bookings, distinct, keyed, late, logs, panes, shop, tables, vitals, windows
 
 
 def _table(t, label, aggregate, keys):
@@ -387,6 +387,30 @@ def _late_turns(t, label):
     return _in_turns(t, label, "events", turn, _TURNS, start)
 
 
+@check(
+    "stream_distinct_users",
+    """
+    WITH per AS (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS period, user_id FROM events
+                 UNION ALL SELECT strftime(date_trunc('month', ts), '%Y-%m'), user_id FROM events)
+    SELECT period, count(DISTINCT user_id) AS users, TRUE AS within FROM per GROUP BY 1""",
+)
+def stream_distinct_users(t):
+    """Users per day by sketches over three batches, and per month by merging the days, each next to the exact number."""
+
+    def aggregate(events):
+        return distinct.sketches(windows.timed(events, "ts"), "user_id", size="1 day")
+
+    found = _events_in_batches(t, "distinct-users", aggregate, ["window_start"])
+    both, exact = [], []
+    for period in ("yyyy-MM-dd", "yyyy-MM"):
+        both.append(distinct.estimates(found.withColumn("period", F.date_format("window_start", period)), ["period"]))
+        users = t.events.groupBy(F.date_format("ts", period).alias("period"))
+        exact.append(users.agg(F.count_distinct("user_id").alias("users")))
+    joined = both[0].union(both[1]).join(exact[0].union(exact[1]), "period", "full")
+    close = F.abs(F.col("n_distinct") - F.col("users")) <= distinct.relative_error() * F.col("users")
+    return joined.select("period", "users", F.coalesce(close, F.lit(False)).alias("within"))
+
+
 # --- vitals -----------------------------------------------------------------
 
 _REASONS_SQL = ", ".join(

@@ -13,7 +13,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+KINDS = {"bigint": "BIGINT", "boolean": "BOOLEAN", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
