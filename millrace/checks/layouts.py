@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.checks.registry import check
 from millrace.functions.money import total
-from millrace.operators import aggregates, differences, layout
+from millrace.operators import aggregates, buckets, differences, layout
 from millrace.session import fresh_folder
 from millrace.sinks.writers import write_partitioned
 from millrace.sources import placed
@@ -77,6 +77,21 @@ def table_differences(t):
     return differences.differences(left, right, ["o_orderkey"])
 
 
+@check(
+    "bucketed_join",
+    """
+    SELECT o_custkey AS custkey, count(*) AS n, exact_sum(o_totalprice) AS total, any_value(c_nationkey) AS nation
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1""",
+)
+def bucketed_join(t):
+    """Orders and customers laid out by customer, joined bucket by bucket; only partial sums per customer are shuffled."""
+    orders = t.orders.select(F.col("o_custkey").alias("custkey"), "o_totalprice")
+    customers = t.customer.select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nation"))
+    laid = buckets.lay_out({"orders": orders, "customers": customers}, "custkey", buckets=8)
+    joined = laid["orders"].join(laid["customers"], "left")
+    return joined.groupBy("custkey").agg(F.count("*").alias("n"), total("o_totalprice").alias("total"), F.max("nation").alias("nation"))
+
+
 # Events as lines: a word for a number, a field too few, an empty line, a byte that is no UTF-8.
 _LINES_SQL = f"""
     SELECT CASE WHEN event_id % 61 = 0 THEN '{placed.EMPTY}' WHEN event_id % 67 = 0 THEN '{placed.NOT_UTF8}'
