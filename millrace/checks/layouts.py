@@ -80,7 +80,7 @@ def table_differences(t):
 @check(
     "bucketed_join",
     """
-    SELECT o_custkey AS custkey, count(*) AS n, exact_sum(o_totalprice) AS total, any_value(c_nationkey) AS nation
+    SELECT o_custkey AS custkey, count(*) AS n, exact_sum(o_totalprice) AS total, CAST(any_value(c_nationkey) AS BIGINT) AS nation
     FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1""",
 )
 def bucketed_join(t):
