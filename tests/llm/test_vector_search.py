@@ -93,3 +93,53 @@ def test_other_lengths_do_not_depend_on_batches(llm):
             found.setdefault(r.query_id, []).append(r.vec_id)
         assert set(found) == set(expected)
         assert sum(len(set(found[q]) & set(expected[q])) for q in expected) >= 0.9 * 5 * len(expected)
+
+
+def test_scan_keeps_the_nearest_within_the_bound():
+    """With a test that never errs, the scan is exact; bounds cut off what lies beyond them and nothing else."""
+    rng = np.random.default_rng(11)
+    held, asked = (vector_search.unit(rng.normal(size=(n, 40))) for n in (3000, 70))
+    columns = [held[:, a : a + 16] for a in range(0, 40, 16)]
+    far = ((asked[:, None, :] - held[None, :, :]) ** 2).sum(axis=2)
+    best = np.sort(far, axis=1)
+    for limits in (np.full(70, np.inf), best[:, 5], best[:, 2]):
+        who, at = vector_search.scan(asked, limits, columns, 6, width=1e6)
+        got = {(q, c) for q, c in zip(who.tolist(), at.tolist())}
+        expected = {(q, int(c)) for q in range(70) for c in np.argsort(far[q])[:6] if far[q, c] <= limits[q] * (1 + 1e-9)}
+        assert got == expected
+    # The usual width abandons early and errs little.
+    who, at = vector_search.scan(asked, np.full(70, np.inf), columns, 6)
+    true = {(q, int(c)) for q in range(70) for c in np.argsort(far[q])[:6]}
+    assert len(true & set(zip(who.tolist(), at.tolist()))) >= 0.97 * len(true)
+    assert [len(x) for x in vector_search.scan(asked[:0], np.zeros(0), columns, 6)] == [0, 0]
+
+
+def test_first_bounds_hold_enough_vectors():
+    rng = np.random.default_rng(12)
+    some, asked = (vector_search.unit(rng.normal(size=(n, 12))) for n in (300, 20))
+    bounds = vector_search.first_bounds(asked, some, 6)
+    far = ((asked[:, None, :] - some[None, :, :]) ** 2).sum(axis=2)
+    assert ((far <= bounds[:, None] + 1e-12).sum(axis=1) == 6).all()
+    assert np.isinf(vector_search.first_bounds(asked, some[:5], 6)).all()
+
+
+def test_probes_follow_the_data():
+    """Clusters need few lists, rows without any need many; either way the recall is the one asked for."""
+    rng = np.random.default_rng(13)
+    centers = rng.normal(size=(60, 32))
+    clustered = vector_search.unit(centers[rng.integers(60, size=4000)] + 0.05 * rng.normal(size=(4000, 32)))
+    plain = vector_search.unit(rng.normal(size=(4000, 32)))
+    needed = {}
+    for name, rows in (("clustered", clustered), ("plain", plain)):
+        centroids = vector_search.fitted_centroids(rows, 60)
+        needed[name] = vector_search.probes_needed(rows, centroids, 5, 0.9)
+        own = (rows @ centroids.T).argmax(axis=1)
+        hits = total = 0
+        for n in range(0, 4000, 40):
+            near = np.argsort(-(rows @ rows[n]))[1:6]
+            probed = np.argsort(-(centroids @ rows[n]))[: needed[name]]
+            hits, total = hits + np.isin(own[near], probed).sum(), total + 5
+        assert hits / total >= 0.87
+    assert needed["clustered"] <= 5 < 20 <= needed["plain"]
+    one = vector_search.unit(rng.normal(size=(1, 4)))
+    assert vector_search.probes_needed(one, one, 5) == 1
