@@ -7,7 +7,7 @@ from millrace.checks.registry import check
 from millrace.functions import rules
 from millrace.session import fresh_folder
 from millrace.sources import growing
-from millrace.streaming import accounts, alerts, bookings, distinct, keyed, late, logs, panes, shop, tables, vitals, windows
+from millrace.streaming import accounts, alerts, bookings, comparing, distinct, keyed, late, logs, panes, shop, tables, vitals, windows
 
 
 def _table(t, label, aggregate, keys):
@@ -242,6 +242,30 @@ def stream_compare(t):
     return tables.read_batches(t.spark, out, accounts.COMPARISON)
 
 
+@check(
+    "stream_compare_keyed",
+    f"""
+    WITH turned AS (SELECT *, {_EVENT_TURN} AS turn FROM ({_ENTRIES_SQL})),
+    grid AS (SELECT account, unnest(range(min(turn), 3)) AS batch_id FROM turned GROUP BY 1)
+    SELECT g.batch_id, g.account, CAST(count(*) FILTER (t.turn = g.batch_id) AS BIGINT) AS batch_n,
+           count(*) AS total_n, {_SUM} AS total_amount
+    FROM grid g JOIN turned t ON t.account = g.account AND t.turn <= g.batch_id
+    GROUP BY g.batch_id, g.account""",
+)
+def stream_compare_keyed(t):
+    """The reports after each of three batches; the totals stay in the state store."""
+    reports = []
+
+    def start(stream, out):
+        comparing.advance(t.spark, _account_entries(stream), out)
+        report = comparing.compared(t.spark, out)
+        report.write.parquet(f"{out}/reports/turn={len(reports)}")
+        reports.append(report.schema)
+
+    out = _in_turns(t, "compare-keyed", "events", _micros(), 3, start)
+    return t.spark.read.schema(reports[0]).parquet(f"{out}/reports/*")
+
+
 @check(
     "stream_sliding_count",
     _window_sql(_ENTRIES_SQL, HOUR, HOUR // 6, [], ["count(*) AS n"]),

@@ -103,6 +103,11 @@ def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
     return sorted(int(name.partition("=")[2]) for name in done)
 
 
+def finished_batches(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the batches below ``out`` that are written in full, ascending."""
+    return _numbered(spark, f"{out}/data", BATCH)
+
+
 def _changes_since(spark: SparkSession, out: str, schema: T.StructType, bases: list[int], upto: int | None = None) -> DataFrame:
     """The newest finished base, if there is one, and the batches after it."""
     with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
