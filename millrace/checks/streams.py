@@ -568,6 +568,23 @@ def stream_occupancy(t):
     return t.spark.read.schema(schema).csv(f"{out}/occupancy", header=True)
 
 
+@check(
+    "stream_occupancy_keyed",
+    f"""{roles.OCCUPANCY_SQL}
+    SELECT item_id, item_name, item_type, capacity, occupied, capacity - occupied AS available,
+           ((occupied * 2000 + capacity) // (capacity * 2)) / 10.0 AS occupancy_pct, cancelled
+    FROM report""",
+)
+def stream_occupancy_keyed(t):
+    """Seats per item kept in the state store by the changes of each of three batches."""
+
+    def start(stream, out):
+        keyed.advance_items(t.spark, _booked(t, stream), out, _BUCKET)
+
+    out = _in_turns(t, "occupancy-keyed", "events", _micros(), 3, start)
+    return keyed.occupancy(t.spark, roles.inventory(t), out)
+
+
 # --- shop -------------------------------------------------------------------
 
 

@@ -81,6 +81,11 @@ def occupancy(inventory: DataFrame, state: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("status") == rules.BOOKED, F.col("seats"))).alias("occupied"),
         F.count_if(F.col("status") == rules.CANCELLED).alias("cancelled"),
     )
+    return occupancy_of(inventory, per_item)
+
+
+def occupancy_of(inventory: DataFrame, per_item: DataFrame) -> DataFrame:
+    """The report of ``occupancy`` from (item_id, occupied, cancelled); an item without a row is idle."""
     full = inventory.join(per_item, "item_id", "left").na.fill({"occupied": 0, "cancelled": 0})
     percent = F.try_divide(F.col("occupied") * F.lit(Decimal("100.0")), F.col("capacity"))
     return full.select(

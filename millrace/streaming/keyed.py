@@ -5,7 +5,9 @@ booking with ordinary distributed windows and aggregates, so a booking with
 very many events in a batch meets no single task, and writes the effects under
 the number of their batch. The second reads effects as they are written and
 applies them to a value per booking in the state store. It gives the bookings
-that changed, and writes nothing for the others.
+that changed, and writes nothing for the others. A third one adds what changed
+to the seats and cancellations of the items, so a report over all items reads
+one row an item and no booking. Each query runs when the one before is done.
 
 A retried batch of the first query writes its effects again under the same
 number; the state holds the number of the last effect that it took and passes
@@ -21,7 +23,7 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
 from millrace import schemas
 from millrace.functions import rules
-from millrace.plans import bookings
+from millrace.plans import bookings, reports
 from millrace.streaming.tables import BATCH, batch_report, changes_table, drain, read_latest
 
 _CHOICE = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("seats", T.IntegerType())])
@@ -33,6 +35,10 @@ EFFECTS = T.StructType(
         T.StructField("last_action", T.StringType()),
     ]
 )
+# A booking as it is, and as it was before the micro-batch.
+_WAS = [T.StructField(f"was_{f.name}", f.dataType) for f in schemas.BOOKING_STATE.fields[1:]]
+CHANGES = T.StructType([*schemas.BOOKING_STATE.fields, *_WAS])
+ITEMS = T.StructType([T.StructField(name, kind) for name, kind in (("item_id", T.StringType()), ("occupied", T.LongType()), ("cancelled", T.LongType()))])
 _HELD = "item_id string, seats int, status string, applied long"
 
 
@@ -74,28 +80,58 @@ class BookingState(StatefulProcessor):
             after = advanced(after, effect)
         if after is not None and after != before:
             self.held.update(after)
-            yield Row(booking_id=key[0], item_id=after[0], seats=after[1], status=after[2])
+            was = before or (None, None, None)
+            yield Row(
+                booking_id=key[0], item_id=after[0], seats=after[1], status=after[2], was_item_id=was[0], was_seats=was[1], was_status=was[2]
+            )
 
     def close(self) -> None:
         pass
 
 
 def state_changes(spark: SparkSession, out: str, files_per_batch: int | None = None) -> DataFrame:
-    """Bookings as they change, from the effects below ``out``."""
+    """CHANGES: bookings as they change, from the effects below ``out``."""
     reader = spark.readStream.schema(T.StructType([*EFFECTS.fields, T.StructField(BATCH, T.LongType())]))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     found = reader.parquet(f"{out}/effects/data")
     return found.groupBy("booking_id").transformWithState(
-        statefulProcessor=BookingState(), outputStructType=schemas.BOOKING_STATE, outputMode="update", timeMode="none"
+        statefulProcessor=BookingState(), outputStructType=CHANGES, outputMode="update", timeMode="none"
     )
 
 
+def item_totals(spark: SparkSession, out: str) -> DataFrame:
+    """ITEMS as they change, from the changes of bookings below ``out``; a batch touches the items of its bookings."""
+    changes = spark.readStream.schema(T.StructType([*CHANGES.fields, T.StructField(BATCH, T.LongType())])).parquet(f"{out}/state/data")
+
+    def side(prefix: str, sign: int):
+        seats, status = F.col(f"{prefix}seats").cast("long"), F.col(f"{prefix}status")
+        return F.struct(
+            F.col(f"{prefix}item_id").alias("item_id"),
+            F.when(status == rules.BOOKED, sign * seats).otherwise(0).cast("long").alias("seats"),
+            F.when(status == rules.CANCELLED, sign).otherwise(0).cast("long").alias("cancels"),
+        )
+
+    sides = changes.select(F.inline(F.array(side("", 1), side("was_", -1)))).filter("item_id IS NOT NULL AND (seats <> 0 OR cancels <> 0)")
+    return sides.groupBy("item_id").agg(F.sum("seats").alias("occupied"), F.sum("cancels").alias("cancelled"))
+
+
 def steps(spark: SparkSession, events: DataFrame, out: str, bucket: str) -> list[Callable[[], DataStreamWriter]]:
-    """The two queries in order; the second needs what the first has written."""
+    """The first two queries in order; the second needs what the first has written."""
     return [lambda: effects(events, out, bucket), lambda: changes_table(state_changes(spark, out), f"{out}/state")]
 
 
+def advance_items(spark: SparkSession, events: DataFrame, out: str, bucket: str) -> None:
+    """Take in everything that has arrived, totals of items included."""
+    advance(spark, events, out, bucket)
+    drain(changes_table(item_totals(spark, out), f"{out}/items"), closing_batch=False)
+
+
+def occupancy(spark: SparkSession, inventory: DataFrame, out: str) -> DataFrame:
+    """The occupancy report from the totals of items; no booking is read."""
+    return reports.occupancy_of(inventory, read_latest(spark, f"{out}/items", ITEMS, ["item_id"]))
+
+
 def advance(spark: SparkSession, events: DataFrame, out: str, bucket: str) -> None:
     """Take in everything that has arrived."""
     for step in steps(spark, events, out, bucket):

@@ -74,6 +74,28 @@ def test_several_effects_of_one_booking_at_once(spark, tmp_path):
     assert states(keyed.current(spark, f"{tmp_path}/out")) == expected
 
 
+def test_items_follow_their_bookings(spark, tmp_path):
+    """Seats and cancellations per item after each turn, and only items of changed bookings are written."""
+    rows, _ = sequences(5, 30)
+    out = f"{tmp_path}/out"
+    for turn, (low, high) in enumerate(((0, 2), (2, 4), (4, 9))):
+        keyed.advance_items(spark, arrive(spark, rows, str(tmp_path), low, high), out, BUCKET)
+        now = keyed.current(spark, out).collect()
+        booked, cancelled = {}, {}
+        for r in now:
+            booked[r.item_id] = booked.get(r.item_id, 0) + (r.seats if r.status == "BOOKED" else 0)
+            cancelled[r.item_id] = cancelled.get(r.item_id, 0) + (r.status == "CANCELLED")
+        found = {r.item_id: (r.occupied, r.cancelled) for r in tables.read_latest(spark, f"{out}/items", keyed.ITEMS, ["item_id"]).collect()}
+        assert {i: x for i, x in found.items() if x != (0, 0)} == {i: (booked[i], cancelled[i]) for i in booked if (booked[i], cancelled[i]) != (0, 0)}
+        changes = spark.read.schema(keyed.CHANGES).parquet(f"{out}/state/data/batch_id={turn}").collect()
+        touched = {x for r in changes for x in (r.item_id, r.was_item_id) if x}
+        assert {r.item_id for r in spark.read.parquet(f"{out}/items/data/batch_id={turn}").collect()} <= touched
+    inventory = spark.createDataFrame([("I1", "one", "BUS", 4), ("idle", "two", "BUS", 4)], "item_id string, item_name string, item_type string, capacity int")
+    report = {r.item_id: r for r in keyed.occupancy(spark, inventory, out).collect()}
+    assert (report["I1"].occupied, report["I1"].cancelled) == (booked.get("I1", 0), cancelled.get("I1", 0))
+    assert (report["idle"].occupied, report["idle"].available, report["idle"].occupancy_pct) == (0, 4, 0.0)
+
+
 def test_single_steps():
     book, other = {"item_id": "I1", "seats": 2}, {"item_id": "I2", "seats": 3}
 
