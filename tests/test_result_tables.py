@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.layout import plan_text
-from millrace.streaming import late, panes, tables, windows
+from millrace.streaming import accounts, late, panes, tables, windows
 
 SCHEMA = "k string, v long"
 
@@ -85,6 +85,19 @@ def test_panes_equal_sliding_windows_and_copy_no_row(spark):
         panes.over_panes(found, ["k"], "12 minutes", "5 minutes")
 
 
+def test_bursts_come_from_panes(spark):
+    rows = [("a", s) for s in (0, 3500, 3700, 10700, 10900)] + [("b", 50), ("b", 7300), ("b", 90000)] + [("c", 40)] * 3 + [("d", 40000 + 3600 * n) for n in range(9)]
+    entries = spark.createDataFrame([(k, n + 0.25, at(s)) for n, (k, s) in enumerate(rows)], "account string, amount double, event_time timestamp")
+    found = accounts.burst_panes(entries, slide="1 hour")
+    # The stream keeps one row a key and hour, and copies none into the windows that share it.
+    assert "Expand" not in plan_text(found) and found.count() == len({(k, s // 3600) for k, s in rows})
+    got = accounts.bursts(found, limit=3, size="3 hours", slide="1 hour")
+    measures = [F.count("*").alias("n"), F.sum("amount").alias("amount")]
+    whole = windows.windowed(entries, measures, ["account"], "3 hours", "1 hour").filter("n >= 3")
+    assert got.columns == whole.columns and sorted(got.collect()) == sorted(whole.collect())
+    assert {r.account for r in got.collect()} == {"a", "c", "d"}
+
+
 def test_late_rows_are_listed_with_their_mark(spark, tmp_path):
     out, schema = str(tmp_path), "id long, event_time timestamp"
     batches = [[(1, at(0)), (2, at(100))], [(3, at(5)), (4, at(400)), (9, None)], [(5, at(70)), (6, at(130)), (7, at(390))], [(8, at(389)), (10, at(20))]]
