@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.operators import joins
 from tests.test_windows import same
 
@@ -83,3 +84,16 @@ def test_large_lookup_is_salted(spark, how):
     fact, dim = fact.withColumnRenamed("fk", "k"), dim.withColumnRenamed("dk", "k").filter("k IS NOT NULL")
     same(joins.look_up(fact, dim, "k", how, salts=4), fact.join(dim, "k", how))
     same(joins.look_up(fact, dim, "k", how), fact.join(dim, "k", how))
+
+
+def test_join_tasks_stay_small(spark):
+    # Adaptive execution joins no shuffle partitions beyond 16 MB, whatever the session came with; less stays.
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("64MB", 16 << 20), ("67108864b", 16 << 20), ("1g", 16 << 20), ("8m", 8 << 20), ("16k", 16 << 10)):
+            spark.conf.set(name, given)
+            session.configure(spark)
+            assert session.size_in_bytes(spark.conf.get(name)) == kept
+    finally:
+        spark.conf.set(name, before)
