@@ -29,6 +29,10 @@ MIN_LENGTH = 24
 LINES_PER_BUCKET = 6_000
 SLICE_BYTES = 2 << 20
 SKETCH_BITS = 256
+# Code points of lines whose signatures are made together.
+SIGNED_AT_ONCE = 1 << 20
+# Lines that are sketched together: what a step holds fits into a cache.
+LINES_AT_ONCE = 512
 # Pairs that are verified together, their code points, and below how many they are taken one by one.
 PAIRS_AT_ONCE, POINTS_AT_ONCE, FEW_PAIRS = 8192, 2_000_000, 16
 _MULTIPLIER = 0x9FB21C651E98DF25
@@ -42,15 +46,20 @@ def lines(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     counts = np.diff(np.searchsorted(breaks, offsets)) + 1
     owner = np.repeat(np.arange(len(offsets) - 1), counts)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    word_starts = ragged.words(buf, offsets)[0]
-    filled = np.searchsorted(word_starts, starts) < np.searchsorted(word_starts, ends)
+    solid = np.zeros(len(buf) + 1, np.int32 if len(buf) < 2**31 - 1 else np.int64)
+    np.cumsum(~ragged.IS_SPACE[buf], out=solid[1:])
+    filled = solid[starts] < solid[ends]
     return starts[filled], ends[filled], owner[filled], number[filled]
 
 
 def line_names(buf, starts, ends) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit names of every line; the first is not negative as a signed number."""
-    one = ragged.span_hashes(buf, starts, ends) >> np.uint64(1)
-    return one.view(np.int64), ragged.span_hashes(buf, starts, ends, 1).view(np.int64)
+    one, two = ragged.families_of_hashes(buf, starts, ends, (0, 1))
+    return (one >> np.uint64(1)).view(np.int64), two.view(np.int64)
+
+
+def _first_names(buf, starts, ends) -> np.ndarray:
+    return (ragged.span_hashes(buf, starts, ends) >> np.uint64(1)).view(np.int64)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -71,24 +80,48 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 def different_lines(buf, offsets, least: int):
     """Code points, bounds and name of each different line of a slice with ``least`` code points or more."""
     starts, ends, _, _ = lines(buf, offsets)
-    one, _ = line_names(buf, starts, ends)
+    one = _first_names(buf, starts, ends)
     one, place = np.unique(one, return_index=True)
-    inner = np.zeros(len(place) + 1, np.int64)
-    np.cumsum(ends[place] - starts[place], out=inner[1:])
-    held = buf[np.arange(inner[-1]) + np.repeat(starts[place] - inner[:-1], np.diff(inner))]
+    # No line has more code points than bytes.
+    long = ends[place] - starts[place] >= least
+    one, place = one[long], place[long]
+    order = np.argsort(place)
+    one, starts, ends = one[order], starts[place[order]], ends[place[order]]
+    held = ragged.spans_held(buf, starts, ends)
+    inner = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=inner[1:])
     points, bounds, _ = ragged.code_points(held, inner)
     long = np.flatnonzero(np.diff(bounds) >= least)
-    points, bounds = ragged.taken(points, bounds, long)
+    if len(long) < len(one):
+        points, bounds = ragged.taken(points, bounds, long)
     return points, bounds, one[long]
 
 
+def _point_values(points: np.ndarray) -> np.ndarray:
+    """A random value of every code point."""
+    most = int(points.max()) + 1 if len(points) else 0
+    if most <= len(points):
+        return ragged.mixed(np.arange(77, 77 + most, dtype=np.uint64))[points]
+    return ragged.mixed(points.astype(np.uint64) + np.uint64(77))
+
+
 def signatures(points: np.ndarray, bounds: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, line, role): indexed segments, and the substrings that probe for them."""
-    values = ragged.mixed(points.astype(np.uint64) + np.uint64(77))
+    # Parts of lines, one line at least.
+    cuts = [0, *(np.flatnonzero(np.diff(bounds[1:] // SIGNED_AT_ONCE)) + 1).tolist(), len(bounds) - 1]
+    found = [(a, _some_signatures(points[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], edits)) for a, b in zip(cuts[:-1], cuts[1:])]
+    names, owner, role = zip(*((names, owner + a, role) for a, (names, owner, role) in found))
+    return np.concatenate(names), np.concatenate(owner), np.concatenate(role)
+
+
+def _some_signatures(points, bounds, edits: int):
+    values = _point_values(points)
     total = np.zeros(len(points) + 1, np.uint64)
     scale = ragged.powers(_MULTIPLIER, len(points) + 1)
     inverse = ragged.powers(pow(_MULTIPLIER, -1, 2**64), len(points) + 1)
-    np.cumsum(values * scale[: len(points)], out=total[1:])
+    values *= scale[: len(points)]
+    np.cumsum(values, out=total[1:])
+    del values
     lengths = np.diff(bounds)
     parts = edits + 1
     out: list[tuple[np.ndarray, np.ndarray, int]] = []
@@ -126,13 +159,19 @@ def signatures(points: np.ndarray, bounds: np.ndarray, edits: int) -> tuple[np.n
 
 def pair_sketches(points, bounds):
     """Sketches of each line's adjacent pairs; an edit changes at most four of them."""
-    texts = len(bounds) - 1
-    owner = np.repeat(np.arange(texts), np.diff(bounds))
-    if len(points) < 2:
-        return meetings.sketches(np.zeros(0, np.uint64), np.zeros(0, np.int64), texts, SKETCH_BITS)
-    pairs = ragged.mixed((points[:-1].astype(np.uint64) << np.uint64(32)) | points[1:])
+    values = _point_values(points)
+    parts = [_some_pair_sketches(values, bounds[k : k + LINES_AT_ONCE + 1]) for k in range(0, len(bounds) - 1, LINES_AT_ONCE)]
+    return np.concatenate(parts) if parts else np.zeros((0, SKETCH_BITS // 8), np.uint8)
+
+
+def _some_pair_sketches(values, bounds):
+    lengths = np.diff(bounds)
+    values = values[bounds[0] : bounds[-1]]
+    pairs = values[:-1] * np.uint64(_MULTIPLIER)
+    pairs += values[1:]
+    owner = np.repeat(np.arange(len(lengths)), lengths)
     inner = owner[1:] == owner[:-1]
-    return meetings.sketches(pairs[inner], owner[:-1][inner], texts, SKETCH_BITS)
+    return meetings.sketches(pairs[inner], owner[:-1][inner], len(lengths), SKETCH_BITS)
 
 
 def within_edits(one: str, two: str, edits: int) -> bool:
@@ -282,7 +321,7 @@ def _texts(docs: DataFrame, occurrences: DataFrame):
             for batch in ragged.slices(batches, "text"):
                 buf, offsets = ragged.column_bytes(batch["text"])
                 starts, ends, owner, _ = lines(buf, offsets)
-                names, _ = line_names(buf, starts, ends)
+                names = _first_names(buf, starts, ends)
                 asked, bounds = ragged.flattened(batch["names"].to_pylist())
                 pairs = {(k, x) for k in range(batch.num_rows) for x in asked[bounds[k] : bounds[k + 1]].tolist()}
                 raw, items, texts = buf.tobytes(), [], []

@@ -33,6 +33,8 @@ BLOCK_SIZES = 1 << 20
 HUBS = 64
 FIRST_MEETINGS = 2
 INDEX, PROBE = 1, 2
+# Items whose sketches are counted together.
+ITEMS_AT_ONCE = 512
 PACKED = "bucket int, chunk long, kind int, keys binary, items binary, tags binary"
 _NAMES = ["bucket", "chunk", "kind", "keys", "items", "tags"]
 _KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -59,12 +61,15 @@ class Bound:
 def sketches(hashes: np.ndarray, owner: np.ndarray, items: int, bits: int) -> np.ndarray:
     """Parity of each item's hashes in each of ``bits`` parts, packed."""
     out = []
-    for start in range(0, items, 4096):
-        end = min(items, start + 4096)
+    for start in range(0, items, ITEMS_AT_ONCE):
+        end = min(items, start + ITEMS_AT_ONCE)
         a, b = np.searchsorted(owner, [start, end])
-        place = (owner[a:b] - start) * bits + (hashes[a:b] >> np.uint64(7)).astype(np.int64) % bits
-        parity = np.bincount(place, minlength=(end - start) * bits) & 1
-        out.append(np.packbits(parity.astype(np.uint8).reshape(-1, bits), axis=1))
+        place = (hashes[a:b] >> np.uint64(7)).astype(np.int64)
+        # The remainder by a power of two is its lowest bits.
+        place = place % bits if bits & (bits - 1) else place & (bits - 1)
+        place += (owner[a:b] - start) * bits
+        parity = np.bincount(place, minlength=(end - start) * bits).astype(np.uint8) & 1
+        out.append(np.packbits(parity.reshape(-1, bits), axis=1))
     return np.concatenate(out) if out else np.zeros((0, bits // 8), np.uint8)
 
 
@@ -80,7 +85,8 @@ def packed(chunk: int, buckets: int, ids, sizes, sketch, names, owner, role, tag
         return
     bucket = ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     short = (names.astype(np.uint32) & np.uint32(0xFFFFFFFC)) | role
-    order = np.argsort(bucket, kind="stable")
+    # Numbers of 16 bits are sorted by their digits.
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 2**16 else bucket, kind="stable")
     bucket, short = bucket[order], short[order]
     owner = owner[order]
     tag = tags[owner] if tags is not None else None

@@ -6,7 +6,7 @@ start and end arrays. Nothing here is per row or per character in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -14,9 +14,11 @@ import pyarrow as pa
 
 # Bytes of text that one numpy step holds at a time; a longer single text is taken whole.
 SLICE_BYTES = 2 << 20
+# Bytes of spans that are hashed together: what a step holds fits into a cache.
+SPANS_AT_ONCE = 1 << 18
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SEEDED = np.random.default_rng(20240229)
 # Random values of bytes, or of the first code points, for two independent hashes.
 _VALUES = _SEEDED.integers(1, 2**64, (2, 1024), dtype=np.uint64)
@@ -70,11 +72,12 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 def mixed(values: np.ndarray) -> np.ndarray:
     """Scatter 64-bit values so that every bit depends on every bit."""
     values = values.astype(np.uint64, copy=True)
-    values ^= values >> np.uint64(30)
+    shifted = values >> np.uint64(30)
+    values ^= shifted
     values *= np.uint64(0xBF58476D1CE4E5B9)
-    values ^= values >> np.uint64(27)
+    values ^= np.right_shift(values, np.uint64(27), out=shifted)
     values *= np.uint64(0x94D049BB133111EB)
-    values ^= values >> np.uint64(31)
+    values ^= np.right_shift(values, np.uint64(31), out=shifted)
     return values
 
 
@@ -94,7 +97,7 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Start and end of each run of bytes other than ``[\\x20\\x09-\\x0D]``, and each text's first word."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~_IS_SPACE[buf]
+    solid = ~IS_SPACE[buf]
     border = np.zeros(len(buf) + 1, bool)
     border[offsets] = True
     begins = solid.copy()
@@ -107,24 +110,37 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
     """A 64-bit hash of each span of bytes (or of code points below 1024); spans ascend and do not overlap."""
+    return families_of_hashes(data, starts, ends, (family,))[0]
+
+
+def families_of_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, families: Sequence[int]) -> list[np.ndarray]:
+    """``span_hashes`` of several families at once."""
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64) for _ in families]
     lengths = ends - starts
-    total = int(lengths.sum())
-    kind = np.int32 if len(data) < 2**31 - 1 else np.int64
-    place = np.arange(total, dtype=kind)
-    first = np.cumsum(lengths) - lengths
-    if np.array_equal(starts[1:], ends[:-1]):
-        held = data[starts[0] : ends[-1]]
-    else:
-        held = data[place + np.repeat((starts - first).astype(kind), lengths)]
-    place -= np.repeat(first.astype(kind), lengths)
-    values = powers(int(_ODD), int(lengths.max()) + 1)[place]
-    values *= _VALUES[family][held]
-    sums = np.add.reduceat(values, np.minimum(first, total - 1)) if total else np.zeros(len(starts), np.uint64)
-    if not lengths.all():
-        sums[lengths == 0] = 0
-    return mixed(sums + lengths.astype(np.uint64))
+    upto = np.cumsum(lengths)
+    total = int(upto[-1])
+    if total > 2 * SPANS_AT_ONCE and len(starts) > 1:
+        # A part takes spans while it has room, and one at least.
+        cuts = np.flatnonzero(np.diff(upto // SPANS_AT_ONCE)) + 1
+        if len(cuts):
+            parts = [families_of_hashes(data, *x, families) for x in zip(np.split(starts, cuts), np.split(ends, cuts))]
+            return [np.concatenate(x) for x in zip(*parts)]
+    first = upto - lengths
+    held = spans_held(data, starts, ends)
+    place = np.arange(total)
+    place -= np.repeat(first, lengths)
+    scale = powers(int(_ODD), int(lengths.max()) + 1)[place]
+    del place
+    out = []
+    for family in families:
+        values = _VALUES[family][held]
+        values *= scale
+        sums = np.add.reduceat(values, np.minimum(first, total - 1)) if total else np.zeros(len(starts), np.uint64)
+        if not lengths.all():
+            sums[lengths == 0] = 0
+        out.append(mixed(sums + lengths.astype(np.uint64)))
+    return out
 
 
 def window_hashes(values: np.ndarray, size: int, multiplier: int) -> np.ndarray:
@@ -160,6 +176,17 @@ def taken(flat: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.n
     return flat[np.arange(out[-1]) + np.repeat(bounds[which] - out[:-1], lengths)], out
 
 
+def spans_held(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What lies in spans that ascend and do not overlap, one after the other."""
+    if not len(starts) or np.array_equal(starts[1:], ends[:-1]):
+        return flat[starts[0] : ends[-1]] if len(starts) else flat[:0]
+    # Between and in spans by turns.
+    lengths = np.empty(2 * len(starts), np.int64)
+    lengths[0], lengths[2::2] = 0, starts[1:] - ends[:-1]
+    lengths[1::2] = ends - starts
+    return flat[starts[0] : ends[-1]][np.repeat(np.tile([False, True], len(starts)), lengths)]
+
+
 def flattened(lists: list) -> tuple[np.ndarray, np.ndarray]:
     """A list of short sequences of ids as a flat array with its bounds."""
     bounds = np.zeros(len(lists) + 1, np.int64)

@@ -1,9 +1,10 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from millrace.llm import line_dedup
+from millrace.llm import line_dedup, ragged
 
 
 def distance(a, b):
@@ -130,3 +131,41 @@ def test_columns_of_any_name_stay_and_equal_ids_lose_their_own_lines(llm):
     texts = {r._gone: r.text for r in out.collect()}
     assert texts == {1: rows[0][1], 2: "alone here", 3: "kept in the other text\nwith this line of its own", 4: "alone here", None: line, 5: None}
     assert line_dedup.deduplicated(docs.limit(0)).collect() == []
+
+
+def test_a_slice_is_signed_in_parts():
+    rng = np.random.default_rng(5)
+    buf = rng.integers(97, 123, line_dedup.SLICE_BYTES).astype(np.uint8)
+    buf[80::81] = 0x0A
+    offsets = np.array([0, len(buf) // 2, len(buf)])
+
+    def signed():
+        points, bounds, names = line_dedup.different_lines(buf, offsets, 24)
+        return points, bounds, names, line_dedup.pair_sketches(points, bounds), line_dedup.signatures(points, bounds, 3)
+
+    signed()
+    tracemalloc.start()
+    points, bounds, names, sketch, (found, owner, role) = signed()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Some fifty bytes a byte of text when all lines were taken at once.
+    assert peak < 36 * len(buf)
+    assert len(names) == len(sketch) == len(bounds) - 1 > 2 * line_dedup.LINES_AT_ONCE
+    for k in (0, 511, 512, 13_000, len(names) - 1):
+        alone = points[bounds[k] : bounds[k + 1]], np.array([0, bounds[k + 1] - bounds[k]])
+        assert (line_dedup.pair_sketches(*alone)[0] == sketch[k]).all()
+        own = sorted(zip(found[owner == k].tolist(), role[owner == k].tolist()))
+        assert own == sorted(zip(*(x.tolist() for x in line_dedup.signatures(*alone, 3)[::2])))
+
+
+def test_hashes_of_spans_do_not_depend_on_the_parts():
+    rng = np.random.default_rng(6)
+    buf = rng.integers(0, 256, 3 * ragged.SPANS_AT_ONCE).astype(np.uint8)
+    cuts = np.sort(np.append(rng.choice(len(buf), 4000), [0, 0, 7, 7]))
+    # A span that is longer than a part, and empty ones; with and without gaps.
+    cuts = cuts[(cuts < 100_000) | (cuts > 100_000 + 2 * ragged.SPANS_AT_ONCE)]
+    for starts, ends in ((cuts[:-1], cuts[1:]), (cuts[:-1:2], cuts[1::2])):
+        one, two = ragged.families_of_hashes(buf, starts, ends, (0, 1))
+        for k in rng.choice(len(starts), 50):
+            assert ragged.span_hashes(buf, starts[k : k + 1], ends[k : k + 1])[0] == one[k]
+            assert ragged.span_hashes(buf, starts[k : k + 1], ends[k : k + 1], 1)[0] == two[k]
