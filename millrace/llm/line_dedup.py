@@ -30,7 +30,7 @@ LINES_PER_BUCKET = 6_000
 SLICE_BYTES = 2 << 20
 SKETCH_BITS = 256
 # Code points of lines whose signatures are made together.
-SIGNED_AT_ONCE = 1 << 20
+SIGNED_AT_ONCE = 1 << 18
 # Lines that are sketched together: what a step holds fits into a cache.
 LINES_AT_ONCE = 512
 # Pairs that are verified together, their code points, and below how many they are taken one by one.
@@ -90,7 +90,7 @@ def different_lines(buf, offsets, least: int):
     held = ragged.spans_held(buf, starts, ends)
     inner = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=inner[1:])
-    points, bounds, _ = ragged.code_points(held, inner)
+    points, bounds = ragged.points_of_spans(held, inner)
     long = np.flatnonzero(np.diff(bounds) >= least)
     if len(long) < len(one):
         points, bounds = ragged.taken(points, bounds, long)
@@ -136,7 +136,7 @@ def _some_signatures(points, bounds, edits: int):
         start = k * size + np.maximum(0, k - (parts - longer))
         return start, size + (k >= parts - longer)
 
-    every = np.arange(len(lengths))
+    every = np.arange(len(lengths), dtype=np.int32)
     for k in range(parts):
         start, size = segment_of(lengths, k)
         out.append((content(bounds[:-1] + start, size, lengths, k), every, meetings.INDEX))
@@ -149,24 +149,23 @@ def _some_signatures(points, bounds, edits: int):
                 ok = np.flatnonzero((low + step <= high) & (length > 0))
                 if len(ok):
                     at = bounds[ok] + low[ok] + step
-                    out.append((content(at, size[ok], length[ok], k), ok, meetings.PROBE))
+                    out.append((content(at, size[ok], length[ok], k), ok.astype(np.int32), meetings.PROBE))
     return (
         np.concatenate([x for x, _, _ in out]),
         np.concatenate([x for _, x, _ in out]),
-        np.concatenate([np.full(len(x), role, np.uint32) for x, _, role in out]),
+        np.concatenate([np.full(len(x), role, np.uint8) for x, _, role in out]),
     )
 
 
 def pair_sketches(points, bounds):
     """Sketches of each line's adjacent pairs; an edit changes at most four of them."""
-    values = _point_values(points)
-    parts = [_some_pair_sketches(values, bounds[k : k + LINES_AT_ONCE + 1]) for k in range(0, len(bounds) - 1, LINES_AT_ONCE)]
+    parts = [_some_pair_sketches(points, bounds[k : k + LINES_AT_ONCE + 1]) for k in range(0, len(bounds) - 1, LINES_AT_ONCE)]
     return np.concatenate(parts) if parts else np.zeros((0, SKETCH_BITS // 8), np.uint8)
 
 
-def _some_pair_sketches(values, bounds):
+def _some_pair_sketches(points, bounds):
     lengths = np.diff(bounds)
-    values = values[bounds[0] : bounds[-1]]
+    values = _point_values(points[bounds[0] : bounds[-1]])
     pairs = values[:-1] * np.uint64(_MULTIPLIER)
     pairs += values[1:]
     owner = np.repeat(np.arange(len(lengths)), lengths)

@@ -146,7 +146,10 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    words = WordTokenizer(path)
+    # The vocabulary file's own objects go.
+    ragged.give_back()
+    return words
 
 
 def pieces_of(
