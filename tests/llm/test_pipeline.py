@@ -80,3 +80,13 @@ def test_run_equals_the_stages(llm, folder):
         docs = llm.createDataFrame(stage(llm, docs, folder).collect(), docs.schema)
     expected = {(r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.STAGES[-1][1](llm, docs, folder).collect()}
     assert {(r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.run(llm, folder).collect()} == expected
+
+
+def test_every_stage_bounds_the_texts_that_a_reader_holds(llm, folder):
+    """4096 texts, Spark's own number, filled the executors' heaps with buffers that doubled as they grew."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    docs = llm.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        llm.conf.unset(key)
+        stage(llm, docs, folder)
+        assert int(llm.conf.get(key)) <= 1024
